@@ -28,7 +28,7 @@ TIME_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{3})?Z?$"
 
 def omit_empty(c: Column) -> Column:
     """'' becomes NULL."""
-    return F.nullif(c, F.lit(""))
+    return F.when(c != "", c)
 
 
 def omit_empty_list(c: Column) -> Column:
@@ -74,8 +74,8 @@ def event_time(c: Column, strict: bool = False, required: bool = True) -> Column
     ``required=False`` absent text is NULL even when strict.
     """
     # The trailing Z makes the cast independent of the session time zone.
-    instant = F.concat(F.rtrim(c, F.lit("Z")), F.lit("Z")).try_cast("timestamp")
-    parsed = F.when(c.rlike(TIME_TEXT), instant)
+    zoned = F.when(c.endswith("Z"), c).otherwise(F.concat(c, F.lit("Z")))
+    parsed = F.when(c.rlike(TIME_TEXT), zoned.try_cast("timestamp"))
     if not strict:
         return parsed
     failure = F.raise_error(F.concat(F.lit("not an event time: "), F.coalesce(c, F.lit("NULL"))))
@@ -87,7 +87,8 @@ def event_time(c: Column, strict: bool = False, required: bool = True) -> Column
 
 def insertion_time(c: Column, strict: bool = False) -> Column:
     """As :func:`event_time`, with longer fractions cut (not rounded) to milliseconds."""
-    return event_time(F.regexp_replace(c, r"(\.\d{3})\d+", "$1"), strict)
+    cut = F.when(F.length(c) > len("2020-01-02T03:04:05.678Z"), F.substring(c, 1, 23))
+    return event_time(cut.otherwise(c), strict)
 
 
 def optional_time(c: Column, strict: bool = False) -> Column:
@@ -103,7 +104,9 @@ def mime_list(by_bytes: Column, by_extension: Column) -> Column:
 def extension(file_name: Column) -> Column:
     """Text after the last dot of the last path part; NULL when there is none."""
     base = F.substring_index(file_name, "/", -1)
-    return omit_empty(F.when(base.contains("."), F.substring_index(base, ".", -1)))
+    return F.when(
+        base.contains(".") & ~base.endswith("."), F.substring_index(base, ".", -1)
+    )
 
 
 def user_email(device_user: Column, actor: Column) -> Column:
@@ -111,26 +114,31 @@ def user_email(device_user: Column, actor: Column) -> Column:
 
 
 def user_name(email: Column) -> Column:
-    return omit_empty(F.when(email.contains("@"), F.split_part(email, F.lit("@"), F.lit(1))))
+    """Text before the first @, when there is one."""
+    return F.when(email.rlike("^[^@]+@"), F.substring_index(email, "@", 1))
 
 
 def user_domain(email: Column) -> Column:
-    return omit_empty(F.when(email.contains("@"), F.split_part(email, F.lit("@"), F.lit(2))))
+    """Text after the first @, up to the next."""
+    return F.when(email.rlike("^[^@]*@[^@]"), F.split_part(email, F.lit("@"), F.lit(2)))
 
 
 def user_id(os_user: Column, user_uid: Column) -> Column:
     """The operating-system user wins unless it is absent or not available."""
-    named = F.nullif(omit_empty(os_user), F.lit(NAME_NOT_AVAILABLE))
+    named = F.when((os_user != "") & (os_user != NAME_NOT_AVAILABLE), os_user)
     return F.coalesce(named, omit_empty(user_uid))
 
 
-def user(device_user: Column, actor: Column, os_user: Column, user_uid: Column) -> Column:
-    email = user_email(device_user, actor)
-    return struct_if_any(
-        email=email,
-        id=user_id(os_user, user_uid),
-        name=user_name(email),
-        domain=user_domain(email),
+def user(email: Column, user_id: Column) -> Column:
+    """Identity struct; NULL for nobody. Name and domain are parts of the e-mail."""
+    return F.when(
+        any_present(email, user_id),
+        F.struct(
+            email.alias("email"),
+            user_id.alias("id"),
+            user_name(email).alias("name"),
+            user_domain(email).alias("domain"),
+        ),
     )
 
 

@@ -8,14 +8,14 @@ bracketed IPv6 addresses are kept, paths are percent-decoded.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filetrail.functions.fields import omit_empty
 
 SCHEME, USER, PASSWORD, HOST, PORT, PATH, QUERY, FRAGMENT = range(1, 9)
 
-_BAD_ESCAPE = r"%(?![0-9a-fA-F]{2})"
+_ESCAPE = "%[0-9a-fA-F]{2}"
 _HOST_CHAR = r"[^ /?#@\\^`{|}]"
 _USER_CHAR = r"A-Za-z0-9\-._~!$&'()*+,;=%@"
 
@@ -23,20 +23,21 @@ _USER_CHAR = r"A-Za-z0-9\-._~!$&'()*+,;=%@"
 # host and port: it is accepted but not captured.
 _AUTHORITY = (
     rf"(?:(?<=:)|(?!///))//(?:([{_USER_CHAR}]*)(?::([{_USER_CHAR}:]*))?@)?"
-    r"(?![^/?#]*%(?!25)[0-7])"
-    rf"(?:\[({_HOST_CHAR}*)\]:(\d*)|\[{_HOST_CHAR}*\]"
-    r"|(?!\[)([^ /?#@:\[\]\\^`{|}]*)(?::(\d*))?"
-    rf"|(?!\[){_HOST_CHAR}*:\d*)(?=[/?#]|\z)"
+    r"(?![^/?#%]*+%(?!25)[0-7])"
+    rf"(?:\[({_HOST_CHAR}*)\]:(\d*+)|\[{_HOST_CHAR}*\]"
+    r"|(?!\[)([^ /?#@:\[\]\\^`{|}]*+)(?::(\d*+))?"
+    rf"|(?!\[){_HOST_CHAR}*:\d*+)(?=[/?#]|\z)"
 )
 PARTS = (
-    r"(?s)\A(?![^\x00-\x1f\x7f]*[\x00-\x1f\x7f])"  # no control characters
-    r"(?:([a-zA-Z][a-zA-Z0-9+.\-]*):)?"
-    r"(?:(?<=:)[^/?#][^?#]*"  # scheme:opaque, of which nothing more is read
-    rf"|(?![^?#]*{_BAD_ESCAPE})(?:(?<=:)|(?![^/?#]*:))"  # no colon in a first segment
-    rf"(?:{_AUTHORITY}|(?!//)|\A(?=///))([^?#]*))"
-    rf"(?:\?([^#]*))?(?:#((?!.*{_BAD_ESCAPE}).*))?\z"
+    r"(?s)\A(?![^\x00-\x1f\x7f]*+[\x00-\x1f\x7f])"  # no control characters
+    r"(?:([a-zA-Z][a-zA-Z0-9+.\-]*+):)?"
+    r"(?:(?<=:)[^/?#][^?#]*+"  # scheme:opaque, of which nothing more is read
+    rf"|(?!(?:[^?#%]*+{_ESCAPE})*+[^?#%]*+%)"  # no bad escapes
+    r"(?:(?<=:)|(?![^/?#:]*+:))"  # no colon in a first segment
+    rf"(?:{_AUTHORITY}|(?!//)|\A(?=///))([^?#]*+))"
+    rf"(?:\?([^#]*+))?(?:#((?!(?:[^%]*+{_ESCAPE})*+[^%]*+%).*+))?\z"
 )
-_CUT = "\u0001"
+_CUT = "\u0001"  # a control character, so in no URL
 _CAPTURED = ["", "$1", "$2", "$3", "$4$6", "$5$7", "$8", "$9", "$10"]
 
 
@@ -47,10 +48,13 @@ def _decode(c: Column) -> Column:
 
 
 def url_parts(url: Column) -> Column:
-    """Decoded parts at the indexes above, '' when absent; one element if not a URL."""
-    clean = F.translate(url, _CUT, "\u0002")  # still refused, and cannot cut
-    cut = F.split(F.regexp_replace(clean, PARTS, _CUT.join(_CAPTURED)), _CUT)
-    return F.transform(cut, lambda p, i: F.when(i == QUERY, p).otherwise(_decode(p)))
+    """Raw parts at the indexes above, '' when absent; one element if not a URL.
+
+    Keep this in a column of its own (or a lambda variable) before reading parts from
+    it, as :func:`url_info` and ``with_url_info`` do: then it is evaluated once.
+    """
+    uncut = F.when(~url.contains(_CUT), url)
+    return F.split(F.regexp_replace(uncut, PARTS, _CUT.join(_CAPTURED)), _CUT)
 
 
 def url_struct(url: Column, parts: Column, domains=None) -> Column:
@@ -60,31 +64,45 @@ def url_struct(url: Column, parts: Column, domains=None) -> Column:
     ``domains(domain) -> (registered, suffix)`` fills the two public-suffix fields,
     which stay NULL without it.
     """
+
+    def raw(i: int) -> Column:
+        return omit_empty(F.get(parts, F.lit(i)))
+
+    def part(i: int) -> Column:
+        return _decode(raw(i))
+
     none = F.lit(None).cast("string")
-    domain, path = omit_empty(F.get(parts, F.lit(HOST))), omit_empty(F.get(parts, F.lit(PATH)))
+    domain, path = part(HOST), part(PATH)
     registered, suffix = domains(domain) if domains else (none, none)
+    extension = F.when(path.contains(".") & ~path.endswith("."), F.substring_index(path, ".", -1))
     fields = {
         "full": url,
         "domain": domain,
-        "extension": omit_empty(F.when(path.contains("."), F.substring_index(path, ".", -1))),
-        "fragment": omit_empty(F.get(parts, F.lit(FRAGMENT))),
+        "extension": extension,
+        "fragment": part(FRAGMENT),
         "path": path,
         "port": F.get(parts, F.lit(PORT)).try_cast("int"),
-        "query": omit_empty(F.get(parts, F.lit(QUERY))),
-        "scheme": omit_empty(F.lower(F.get(parts, F.lit(SCHEME)))),
-        "username": omit_empty(F.get(parts, F.lit(USER))),
-        "password": omit_empty(F.get(parts, F.lit(PASSWORD))),
+        "query": raw(QUERY),
+        "scheme": F.lower(raw(SCHEME)),
+        "username": part(USER),
+        "password": part(PASSWORD),
         "registered_domain": registered,
         "top_level_domain": suffix,
     }
-    # `parts` in the condition lets Spark evaluate the split once for all fields.
-    return F.when(
-        parts.isNotNull() & (url != ""), F.struct(*[c.alias(n) for n, c in fields.items()])
-    )
+    return F.when(url != "", F.struct(*[c.alias(n) for n, c in fields.items()]))
 
 
 def url_info(url: Column, domains=None) -> Column:
-    return url_struct(url, url_parts(url), domains)
+    """The URL struct as one expression, for use on a single column."""
+    return F.get(
+        F.transform(F.array(url_parts(url)), lambda p: url_struct(url, p, domains)), F.lit(0)
+    )
+
+
+def with_url_info(df: DataFrame, url: str, out: str) -> DataFrame:
+    """Add the URL struct of column ``url`` as column ``out``."""
+    parts = df.withColumn("_parts", url_parts(F.col(url)))
+    return parts.withColumn(out, url_struct(F.col(url), F.col("_parts"))).drop("_parts")
 
 
 def tab_list(tabs: Column, domains=None) -> Column:

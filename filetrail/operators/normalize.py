@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from filetrail.functions import fields as E
 from filetrail.functions import urls as U
+from filetrail.operators.domains import add_domains, domain_lookup
 from filetrail.schemas import FLAT_TARGET, GEO, RAW, RAW_TIMES
 
 
@@ -39,16 +40,37 @@ def clean_raw(df: DataFrame, strip_zone: bool = False) -> DataFrame:
     return df.withColumns(cleaned)
 
 
-def event_struct(
-    strict: bool = False, dataset: str = "file_activity", module: str = "file_activity"
-) -> Column:
+def derive(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Add the values several parts of the record share, one column each.
+
+    As columns they are evaluated once per row, and the record expressions over them
+    stay small.
+    """
+    return df.withColumns(
+        {
+            "_happened": E.event_time(F.col("eventTimestamp"), strict),
+            "_inserted": E.insertion_time(F.col("insertionTimestamp"), strict),
+            "_created": E.optional_time(F.col("createTimestamp"), strict),
+            "_modified": E.optional_time(F.col("modifyTimestamp"), strict),
+            "_hash": hash_struct(),
+            "_email": E.user_email(F.col("deviceUserName"), F.col("actor")),
+            "_user_id": E.user_id(F.col("operatingSystemUser"), F.col("userUid")),
+        }
+    )
+
+
+def hash_struct() -> Column:
+    return E.struct_if_any(md5=F.col("md5Checksum"), sha256=F.col("sha256Checksum"))
+
+
+def event_struct(dataset: str, module: str) -> Column:
     return F.struct(
         F.col("eventType").alias("action"),
         F.lit("file").alias("category"),
-        E.event_time(F.col("eventTimestamp"), strict).alias("created"),
+        F.col("_happened").alias("created"),
         F.lit(dataset).alias("dataset"),
         F.col("eventId").alias("id"),
-        E.insertion_time(F.col("insertionTimestamp"), strict).alias("ingested"),
+        F.col("_inserted").alias("ingested"),
         F.lit("event").alias("kind"),
         F.lit(module).alias("module"),
         F.lit(None).cast("string").alias("outcome"),
@@ -57,36 +79,29 @@ def event_struct(
     )
 
 
-def hash_struct() -> Column:
-    return E.struct_if_any(md5=F.col("md5Checksum"), sha256=F.col("sha256Checksum"))
-
-
-def file_struct(strict: bool = False) -> Column:
+def file_struct() -> Column:
     return F.struct(
-        E.optional_time(F.col("createTimestamp"), strict).alias("created"),
+        F.col("_created").alias("created"),
         F.col("directoryId").alias("directory"),
         E.extension(F.col("fileName")).alias("extension"),
         E.mime_list(F.col("mimeTypeByBytes"), F.col("mimeTypeByExtension")).alias("mime_type"),
-        E.optional_time(F.col("modifyTimestamp"), strict).alias("mtime"),
+        F.col("_modified").alias("mtime"),
         F.col("fileName").alias("name"),
         F.col("fileOwner").alias("owner"),
         F.col("filePath").alias("path"),
         F.col("fileSize").alias("size"),
         E.file_class(F.col("fileType")).alias("type"),
-        hash_struct().alias("hash"),
+        F.col("_hash").alias("hash"),
     )
 
 
 def host_struct(geo: Column | None = None) -> Column:
     location = F.lit(None).cast(GEO) if geo is None else geo
-    user = E.user(
-        F.col("deviceUserName"), F.col("actor"), F.col("operatingSystemUser"), F.col("userUid")
-    )
     return F.struct(
         F.col("deviceUid").alias("id"),
         F.col("osHostName").alias("name"),
         F.col("domainName").alias("hostname"),
-        user.alias("user"),
+        E.user(F.col("_email"), F.col("_user_id")).alias("user"),
         E.host_ips(F.col("privateIpAddresses"), F.col("publicIpAddress")).alias("ip"),
         E.geo_struct(location).alias("geo"),
     )
@@ -98,13 +113,12 @@ def _pick(**names: str) -> Column:
 
 
 def source_struct(
-    url: Column, tabs: Column, strict: bool = False, destination_name: str = "detectionSourceAlias"
+    url: Column, tabs: Column, destination_name: str = "detectionSourceAlias"
 ) -> Column:
     """The source envelope: the vendor's own view of the event, typed and cleaned.
 
     ``destination_name`` is the raw column that fills ``destination.name``.
     """
-    time = E.event_time(F.col("eventTimestamp"), strict)
     file = F.struct(
         F.col("filePath").alias("path"),
         F.col("fileName").alias("name"),
@@ -114,9 +128,9 @@ def source_struct(
         F.col("mimeTypeByExtension").alias("mime_type_by_extension"),
         F.col("fileSize").alias("size"),
         F.col("fileOwner").alias("owner"),
-        hash_struct().alias("hash"),
-        E.optional_time(F.col("createTimestamp"), strict).alias("create_timestamp"),
-        E.optional_time(F.col("modifyTimestamp"), strict).alias("modify_timestamp"),
+        F.col("_hash").alias("hash"),
+        F.col("_created").alias("create_timestamp"),
+        F.col("_modified").alias("modify_timestamp"),
         F.col("fileId").alias("id"),
         F.col("mimeTypeMismatch").alias("mime_type_mismatch"),
         F.col("fileCategoryByBytes").alias("category_by_bytes"),
@@ -132,9 +146,9 @@ def source_struct(
         F.struct(
             F.col("eventId").alias("id"),
             F.col("eventType").alias("type"),
-            time.alias("timestamp"),
+            F.col("_happened").alias("timestamp"),
         ).alias("event"),
-        E.insertion_time(F.col("insertionTimestamp"), strict).alias("insertion_timestamp"),
+        F.col("_inserted").alias("insertion_timestamp"),
         file.alias("file"),
         _pick(username="deviceUserName", uid="deviceUid").alias("device"),
         F.col("osHostName").alias("os_host_name"),
@@ -199,22 +213,19 @@ def normalize(
     ``keep`` lists input columns to carry along. A narrow map over the rows: only
     ``rules`` adds joins, against a table of fixed size.
     """
-    from filetrail.operators.domains import add_domains, domain_lookup
-
-    df = clean_raw(with_raw_columns(df), strip_zone)
-    if rules is None:
-        url, in_tabs = U.url_info(F.col("url")), None
-    else:
-        df = add_domains(df.withColumn("_url", U.url_info(F.col("url"))), "_url", rules)
-        url, in_tabs = F.col("_url"), domain_lookup(rules)
+    df = derive(clean_raw(with_raw_columns(df), strip_zone), strict)
+    df = U.with_url_info(df, "url", "_url")
+    in_tabs = None
+    if rules is not None:
+        df, in_tabs = add_domains(df, "_url", rules), domain_lookup(rules)
     return df.select(
-        event_struct(strict, dataset, module).alias("event"),
-        E.event_time(F.col("eventTimestamp"), strict).alias("@timestamp"),
-        file_struct(strict).alias("file"),
+        event_struct(dataset, module).alias("event"),
+        F.col("_happened").alias("@timestamp"),
+        file_struct().alias("file"),
         host_struct(F.col(geo_col) if geo_col else None).alias("host"),
-        source_struct(url, U.tab_list(F.col("tabs"), in_tabs), strict, destination_name).alias(
-            "source_event"
-        ),
+        source_struct(
+            F.col("_url"), U.tab_list(F.col("tabs"), in_tabs), destination_name
+        ).alias("source_event"),
         *keep,
     )
 

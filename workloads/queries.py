@@ -20,7 +20,7 @@ from filetrail.operators import routing as R
 from filetrail.operators import windows as W
 from filetrail.operators.domains import add_domains, domain_lookup
 from filetrail.plans.filters import QuerySpec, bounds, compile_filters, with_bounds
-from filetrail.schemas import QUERIES, SUFFIX_RULES
+from filetrail.schemas import GEO_CACHE, QUERIES, SUFFIX_RULES
 from filetrail.session import configure
 from filetrail.sinks.files import json_lines
 from filetrail.sinks.targets import with_field_aliases
@@ -199,7 +199,7 @@ USER_UID = "case when c_custkey % 2 = 0 then '' else cast(c_custkey as string) e
     "email is null and id is null as nobody from e"
 )
 def user_identity(spark, sf):
-    user = E.user(F.col("d"), F.col("a"), F.col("o"), F.col("i"))
+    user = E.user(F.col("email"), F.col("id"))
     return (
         table(spark, sf, "customer")
         .selectExpr(
@@ -207,6 +207,11 @@ def user_identity(spark, sf):
             *[f"nullif({e}, '') as {n}" for e, n in
               [(DEVICE_USER, "d"), (ACTOR, "a"), (OS_USER, "o"), (USER_UID, "i")]],
         )
+        .select(
+            "c_custkey",
+            E.user_email(F.col("d"), F.col("a")).alias("email"),
+            E.user_id(F.col("o"), F.col("i")).alias("id"),
+        )
         .select("c_custkey", user.alias("user"))
         .select(
             "c_custkey", "user.email", "user.id", "user.name", "user.domain",
@@ -412,7 +417,7 @@ URL_FIELDS = ("full domain extension fragment path port query scheme username pa
     "cast(null as varchar) as password from p"
 )
 def url_parts(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", U.url_info(F.col("url")).alias("u"))
+    pages = U.with_url_info(table(spark, sf, "pages").select("page_id", "url"), "url", "u")
     return pages.select("page_id", *[F.col(f"u.{f}").alias(f) for f in URL_FIELDS])
 
 
@@ -480,7 +485,7 @@ def url_registered_domain(spark, sf):
     pages = table(spark, sf, "pages").selectExpr(
         "page_id", f"concat('https://', {HOST}, '/x') as url"
     )
-    urls = pages.select("page_id", U.url_info(F.col("url")).alias("u"))
+    urls = U.with_url_info(pages, "url", "u")
     return add_domains(urls, "u", suffix_rules(spark)).select(
         "page_id",
         F.col("u.domain").alias("domain"),
@@ -827,7 +832,7 @@ UPSERTED = (
 
 @query(f"with {UPSERTED} select ip, lang, expires_ms, status, message, city from cache")
 def geo_upsert(spark, sf):
-    empty = spark.createDataFrame([], G_CACHE)
+    empty = spark.createDataFrame([], GEO_CACHE)
     first, rest = F.col("written_at") < F.lit(utc(2024, 1, 15)), lookup_results(spark, sf)
     cache = G.upsert_cache(empty, rest.where(first))
     cache = G.upsert_cache(cache, rest.where(~first))
@@ -838,7 +843,7 @@ def geo_upsert(spark, sf):
 
 
 def user_cache(spark, sf) -> DataFrame:
-    return G.upsert_cache(spark.createDataFrame([], G_CACHE), lookup_results(spark, sf))
+    return G.upsert_cache(spark.createDataFrame([], GEO_CACHE), lookup_results(spark, sf))
 
 
 @query(
@@ -986,11 +991,11 @@ def route_targets(spark, sf):
 @query(
     "select distinct strftime(o_orderdate, 'orders-%Y-%m') as target from orders where "
     "strftime(o_orderdate, 'orders-%Y-%m') not in (select strftime(l_shipdate, 'orders-%Y-%m') "
-    "from lineitem where l_returnflag = 'A')"
+    "from lineitem where l_shipdate < timestamp '1998-01-01')"
 )
 def targets_missing(spark, sf):
     needed = R.route(table(spark, sf, "orders"), "orders", F.col("o_orderdate"), "2006-01")
-    shipped = table(spark, sf, "lineitem").where("l_returnflag = 'A'")
+    shipped = table(spark, sf, "lineitem").where("l_shipdate < timestamp_ntz '1998-01-01'")
     existing = R.targets_needed(R.route(shipped, "orders", F.col("l_shipdate"), "2006-01"))
     return R.targets_missing(needed, existing)
 
@@ -1035,6 +1040,3 @@ def target_quality(spark, sf):
     names = table(spark, sf, "part").selectExpr(f"{TARGET_TEXT} as t")
     problem = Q.target_name_problem(F.col("t")).alias("problem")
     return names.groupBy(problem).agg(F.count("*").alias("n_targets"))
-
-
-from filetrail.schemas import GEO_CACHE as G_CACHE  # noqa: E402
