@@ -6,10 +6,10 @@ a host needs one equality lookup per label count: with ``d`` labels a normal rul
 makes the suffix d labels long, a wildcard d+1, an exception d-1. Exceptions win,
 then the longest suffix; without a match the last label is the suffix.
 
-The events never move: each lookup is a join against the rule table (public lists
-have some ten thousand rows, well under the broadcast threshold). Hosts inside an
-array column cannot be joined, so :func:`domain_lookup` offers the same rules as a
-literal map.
+The events do not move: each lookup is a join with the rule table, which is counted
+and broadcast (public lists have some ten thousand rules; a list above the limit is
+joined by shuffle). Hosts inside an array column cannot be joined, so
+:func:`domain_lookup` offers the same rules as a literal map.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from filetrail.functions.fields import omit_empty
 
 NORMAL, WILDCARD, EXCEPTION = 1, 2, 4
-MAX_LITERAL_RULES = 50_000
+MAX_RULES = 50_000
 
 
 def rules_by_base(rules: DataFrame) -> DataFrame:
@@ -68,19 +68,18 @@ def _domain_pair(domain: Column, n: Column) -> tuple[Column, Column]:
     return omit_empty(registered), omit_empty(last_labels(domain, n))
 
 
-def _depth(bases: DataFrame) -> int:
-    return bases.agg(F.max("depth")).first()[0] or 0
-
-
 def add_domains(df: DataFrame, url_col: str, rules: DataFrame) -> DataFrame:
     """Fill ``registered_domain`` and ``top_level_domain`` of a URL struct column."""
     bases = rules_by_base(rules)
+    n_rules, depth = bases.agg(F.count("*"), F.max("depth")).first()
     domain = F.col(url_col)["domain"]
     flags = {}
-    for d in range(1, _depth(bases) + 1):
+    for d in range(1, (depth or 0) + 1):
         side = bases.where(F.col("depth") == d).select(
             F.col("base").alias(f"_base_{d}"), F.col("flags").alias(f"_flags_{d}")
         )
+        if n_rules <= MAX_RULES:
+            side = F.broadcast(side)
         tail = F.when(label_count(domain) >= d, last_labels(domain, d))
         df = df.join(side, tail == F.col(f"_base_{d}"), "left").drop(f"_base_{d}")
         flags[d] = F.col(f"_flags_{d}")
@@ -97,11 +96,11 @@ def domain_lookup(rules: DataFrame) -> Callable[[Column], tuple[Column, Column]]
 
     The rules become a literal map by last label, then by base, so that a lookup
     scans the few rules under one top-level label. Rule lists are of fixed size;
-    more than ``MAX_LITERAL_RULES`` of them is refused.
+    more than ``MAX_RULES`` of them is refused.
     """
-    rows = rules_by_base(rules).limit(MAX_LITERAL_RULES + 1).collect()
-    if len(rows) > MAX_LITERAL_RULES:
-        raise ValueError(f"more than {MAX_LITERAL_RULES} suffix rules: not a public-suffix list")
+    rows = rules_by_base(rules).limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} suffix rules: not a public-suffix list")
     by_last: dict[str, dict[str, int]] = {}
     for r in rows:
         by_last.setdefault(r["base"].rpartition(".")[2], {})[r["base"]] = r["flags"]

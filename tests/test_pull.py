@@ -1,0 +1,125 @@
+import json
+from dataclasses import replace
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from filetrail.operators.windows import open_windows
+from filetrail.plans.filters import QuerySpec
+from filetrail.plans.pull import Options, pull_windows, run_pull
+from filetrail.schemas import GEO, GEO_CACHE, SUFFIX_RULES, WINDOWS
+from filetrail.sinks.files import write_windows
+from filetrail.sinks.targets import write_targets
+from filetrail.sources.state import append_windows, load_windows
+from tests.util import raw_rows, utc
+
+T0 = utc(2024, 1, 1)
+SPEC = QuerySpec.from_dict({
+    "name": "q", "gap": timedelta(seconds=10), "base": "files", "route_by": "onOrBefore",
+    "groups": [{"filters": [
+        {"operator": "IS", "term": "fileName", "value": "*"},
+        {"operator": "ON_OR_AFTER", "term": "insertionTimestamp",
+         "value": "2024-01-01T00:00:00.000Z"},
+        {"operator": "ON_OR_BEFORE", "term": "insertionTimestamp", "value": ""},
+    ]}]})
+
+
+def events(spark, n=60, **extra):
+    """One event per second from T0, every tenth without a file name."""
+    rows = []
+    for i in range(n):
+        t = (T0 + timedelta(seconds=i, microseconds=i * 16_000 + 999)).isoformat()[:26] + "Z"
+        rows.append(dict(eventId=str(i), insertionTimestamp=t, eventTimestamp="2023-12-31T10:00:00Z",
+                         fileName=None if i % 10 == 9 else "f", publicIpAddress="1.1.1.1", **extra))
+    return raw_rows(spark, rows)
+
+
+def ids(df, field="event.id"):
+    return sorted(int(r[0]) for r in df.select(field).collect())
+
+
+def test_pulls_cover_events_once_and_resume(spark, tmp_path):
+    state, out = str(tmp_path / "s"), str(tmp_path / "o")
+    raw = events(spark).repartition(3).cache()
+
+    def pull(seconds):
+        return run_pull(raw, SPEC, state, lambda df: write_targets(df, out),
+                        T0 + timedelta(minutes=15, seconds=seconds), T0)
+
+    assert pull(25) == 3  # two whole windows and one cut by the lag
+    got = spark.read.parquet(out)
+    first = [i for i in range(26) if i % 10 != 9 and i + i * 0.016 < 25.001]
+    assert ids(got) == first
+    assert {r[0] for r in got.select("target").distinct().collect()} == {"files-2024-01-01"}
+    assert pull(25) == 0
+    assert pull(100) == 8
+    assert ids(spark.read.parquet(out)) == [i for i in range(60) if i % 10 != 9]
+    assert open_windows(load_windows(spark, state)).count() == 0
+
+
+def test_crash_between_write_and_progress_repeats_without_doubling(spark, tmp_path):
+    state, out = str(tmp_path / "s"), str(tmp_path / "o")
+    raw, as_of = events(spark, 30), T0 + timedelta(minutes=16)
+
+    def write_and_die(df):
+        write_windows(df, out)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        run_pull(raw, SPEC, state, write_and_die, as_of, T0)
+    assert open_windows(load_windows(spark, state)).count() == 6
+    n = run_pull(raw, SPEC, state, lambda df: write_windows(df, out), as_of, T0)
+    assert n == 6
+    got = spark.read.json(out)
+    assert ids(got) == [i for i in range(30) if i % 10 != 9]
+    assert "qA2024.01.01.00.00.00.000B2024.01.01.00.00.10.000" in {
+        r[0] for r in got.select("window_id").distinct().collect()}
+
+
+def test_open_windows_keep_their_own_bounds(spark, tmp_path):
+    state = str(tmp_path / "s")
+    left = spark.createDataFrame(
+        [("q", T0 + timedelta(seconds=2), T0 + timedelta(seconds=4), "open"),
+         ("other", T0, T0 + timedelta(seconds=50), "open")], WINDOWS)
+    append_windows(left, state)
+    seen = []
+    done = run_pull(events(spark, 20), SPEC, state, lambda df: seen.extend(ids(df)),
+                    T0 + timedelta(minutes=15, seconds=5), T0)
+    assert done == 2 and seen == [2, 3, 4]  # 4 arrives at 4.065 s, in the next window
+    assert open_windows(load_windows(spark, state)).select("query_name").collect() == [("other",)]
+
+
+@pytest.mark.parametrize("route_by, target", [
+    ("timeNow", "files-2024-02-02"), ("onOrBefore", "files-2024-01-01"),
+    ("eventTimestamp", "files-2023-12-31"), ("insertionTimestamp", "files-2024-01-01")])
+def test_routes(spark, route_by, target):
+    w = spark.createDataFrame([("q", T0, T0 + timedelta(seconds=10), "open")], WINDOWS)
+    spec = replace(SPEC, route_by=route_by)
+    for mode in ("ECS", "raw"):
+        df = pull_windows(events(spark, 3), spec, w, utc(2024, 2, 2), Options(mode=mode))
+        assert {r[0] for r in df.select("target").collect()} == {target}
+
+
+def test_enriched_pull_in_both_modes(spark):
+    w = spark.createDataFrame([("q", T0, T0 + timedelta(seconds=10), "open")], WINDOWS)
+    place = F.from_json(F.lit(json.dumps({"country": "C", "status": "success"})), GEO)
+    cache = spark.range(1).select(
+        F.lit("1.1.1.1").alias("ip"), F.lit("").alias("lang"), F.lit(T0).alias("written_at"),
+        F.lit(T0 + timedelta(days=1)).alias("expiration_time"), place.alias("location"))
+    assert cache.columns == GEO_CACHE.fieldNames()
+    rules = spark.createDataFrame([("uk", "normal"), ("co.uk", "normal")], SUFFIX_RULES)
+    raw = events(spark, 5, url="https://a.b.co.uk/x", tabs=[("t", "http://c.d.uk")])
+    row = pull_windows(raw, SPEC, w, T0, Options(dataset="d"), cache, rules).first()
+    assert row["host"]["geo"]["country_name"] == "C" and row["event"]["dataset"] == "d"
+    assert row["source_event"]["url"]["registered_domain"] == "b.co.uk"
+    assert row["source_event"]["tabs"][0]["url"]["registered_domain"] == "d.uk"
+    flat = pull_windows(raw, SPEC, w, T0, Options(mode=""), cache).first()
+    assert flat["country"] == "C" and flat["url"] == "https://a.b.co.uk/x"
+    with pytest.raises(ValueError):
+        pull_windows(raw, SPEC, w, T0, Options(mode="half"))
+
+
+def test_no_windows_give_no_rows(spark):
+    none = spark.createDataFrame([], WINDOWS)
+    assert pull_windows(events(spark, 3), SPEC, none, T0).count() == 0
