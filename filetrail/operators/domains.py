@@ -17,7 +17,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from filetrail.functions.fields import omit_empty
@@ -68,20 +68,34 @@ def _domain_pair(domain: Column, n: Column) -> tuple[Column, Column]:
     return omit_empty(registered), omit_empty(last_labels(domain, n))
 
 
-def add_domains(df: DataFrame, url_col: str, rules: DataFrame) -> DataFrame:
-    """Fill ``registered_domain`` and ``top_level_domain`` of a URL struct column."""
+def collect_rules(rules: DataFrame) -> list[Row] | None:
+    """The rules by base as driver rows, or None when there are too many of them."""
+    rows = rules_by_base(rules).limit(MAX_RULES + 1).collect()
+    return rows if len(rows) <= MAX_RULES else None
+
+
+def add_domains(df: DataFrame, url_col: str, rules: DataFrame,
+                rows: list[Row] | None = None) -> DataFrame:
+    """Fill ``registered_domain`` and ``top_level_domain`` of a URL struct column.
+
+    ``rows`` is the result of :func:`collect_rules`, if the caller has it already.
+    """
     bases = rules_by_base(rules)
-    n_rules, depth = bases.agg(F.count("*"), F.max("depth")).first()
+    rows = collect_rules(rules) if rows is None else rows
+    if rows is None:
+        depth = bases.agg(F.max("depth")).first()[0]
+    else:
+        depth = max((r["depth"] for r in rows), default=0)
     domain = F.col(url_col)["domain"]
     flags = {}
-    for d in range(1, (depth or 0) + 1):
+    for d in range(1, depth + 1):
         side = bases.where(F.col("depth") == d).select(
             F.col("base").alias(f"_base_{d}"), F.col("flags").alias(f"_flags_{d}")
         )
-        if n_rules <= MAX_RULES:
-            side = F.broadcast(side)
         tail = F.when(label_count(domain) >= d, last_labels(domain, d))
-        df = df.join(side, tail == F.col(f"_base_{d}"), "left").drop(f"_base_{d}")
+        df = df.join(
+            F.broadcast(side) if rows is not None else side, tail == F.col(f"_base_{d}"), "left"
+        ).drop(f"_base_{d}")
         flags[d] = F.col(f"_flags_{d}")
     registered, suffix = _domain_pair(domain, _suffix_labels(domain, flags))
     filled = F.col(url_col).withField("registered_domain", registered)
@@ -91,15 +105,16 @@ def add_domains(df: DataFrame, url_col: str, rules: DataFrame) -> DataFrame:
     )
 
 
-def domain_lookup(rules: DataFrame) -> Callable[[Column], tuple[Column, Column]]:
+def domain_lookup(rules: DataFrame,
+                  rows: list[Row] | None = None) -> Callable[[Column], tuple[Column, Column]]:
     """``domain -> (registered, suffix)`` as expressions, for use inside array lambdas.
 
     The rules become a literal map by last label, then by base, so that a lookup
     scans the few rules under one top-level label. Rule lists are of fixed size;
     more than ``MAX_RULES`` of them is refused.
     """
-    rows = rules_by_base(rules).limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
+    rows = collect_rules(rules) if rows is None else rows
+    if rows is None:
         raise ValueError(f"more than {MAX_RULES} suffix rules: not a public-suffix list")
     by_last: dict[str, dict[str, int]] = {}
     for r in rows:

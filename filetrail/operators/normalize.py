@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from filetrail.functions import fields as E
 from filetrail.functions import urls as U
-from filetrail.operators.domains import add_domains, domain_lookup
+from filetrail.operators.domains import add_domains, collect_rules, domain_lookup
 from filetrail.schemas import FLAT_TARGET, GEO, RAW, RAW_TIMES
 
 
@@ -213,11 +213,12 @@ def normalize(
     ``keep`` lists input columns to carry along. A narrow map over the rows: only
     ``rules`` adds joins, against a table of fixed size.
     """
-    df = derive(clean_raw(with_raw_columns(df), strip_zone), strict)
+    df = derive(with_raw_columns(clean_raw(df, strip_zone)), strict)
     df = U.with_url_info(df, "url", "_url")
     in_tabs = None
     if rules is not None:
-        df, in_tabs = add_domains(df, "_url", rules), domain_lookup(rules)
+        rows = collect_rules(rules)
+        df, in_tabs = add_domains(df, "_url", rules, rows), domain_lookup(rules, rows)
     return df.select(
         event_struct(dataset, module).alias("event"),
         F.col("_happened").alias("@timestamp"),
@@ -234,7 +235,7 @@ def flatten_raw(
     df: DataFrame, geo_col: str, strip_zone: bool = False, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Raw mode: raw fields, location fields beside them, and ``geoPoint``."""
-    df = clean_raw(with_raw_columns(df), strip_zone)
+    df = with_raw_columns(clean_raw(df, strip_zone))
     geo = F.col(geo_col)
     location = [
         (E.omit_empty(geo[f.name]) if isinstance(f.dataType, T.StringType) else geo[f.name]).alias(

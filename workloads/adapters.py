@@ -96,6 +96,11 @@ def raw_events(spark: SparkSession, sf_dir: str, source: str = "events") -> Data
             "l_orderkey * 8 + l_linenumber as event_id", "l_shipdate as ts",
             "l_suppkey as user_id", "l_returnflag as event_type",
         )
+    return as_raw_events(df)
+
+
+def as_raw_events(df: DataFrame) -> DataFrame:
+    """Raw events from rows with (event_id, ts, user_id, event_type)."""
     return df.selectExpr(*_exprs(SPARK))
 
 

@@ -3,7 +3,10 @@ can say the same, the DuckDB text it is checked against."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +27,8 @@ from filetrail.schemas import GEO_CACHE, QUERIES, SUFFIX_RULES
 from filetrail.session import configure
 from filetrail.sinks.files import json_lines
 from filetrail.sinks.targets import with_field_aliases
-from workloads.adapters import EVENTS, SHIPMENTS, raw_events, raw_sql, table
+from filetrail.streaming import runs as S
+from workloads.adapters import EVENTS, SHIPMENTS, as_raw_events, raw_events, raw_sql, table
 
 QUERIES_BY_NAME: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -718,6 +722,63 @@ def window_ids(spark, sf):
     )
 
 
+# --- streams --------------------------------------------------------------------
+
+
+def run_folder(spark) -> str:
+    """A new folder for one streaming run, under the shared checkpoint folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="streams-")
+    return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+
+
+def stream_table(spark, sf, name) -> DataFrame:
+    schema = table(spark, sf, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet*")
+
+
+@query(
+    "with w as (select (epoch_us(ts) - epoch_us(timestamp '2024-01-01')) // "
+    f"{STRIDE_MS * 1000} as i, max(epoch_us(ts)) over () as last_us from events) select "
+    f"epoch_ms(timestamp '2024-01-01') + i * {STRIDE_MS} as start_ms, "
+    f"epoch_ms(timestamp '2024-01-01') + i * {STRIDE_MS} + {STRIDE_MS - 1} as end_ms, "
+    "count(*) as n_events from w group by i, last_us having epoch_ms(timestamp '2024-01-01') + "
+    f"(i + 1) * {STRIDE_MS} <= last_us // 1000 - 900000"
+)
+def stream_window_counts(spark, sf):
+    folder = run_folder(spark)
+    counts = S.windowed_counts(
+        stream_table(spark, sf, "events"), F.col("ts"), utc(2024, 1, 1), GAP
+    )
+    run = (
+        counts.writeStream.format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    return spark.read.schema(counts.schema).parquet(f"{folder}/out").select(
+        ms("on_or_after").alias("start_ms"), ms("on_or_before").alias("end_ms"), "n_events"
+    )
+
+
+@query(
+    f"{RAW_CTE} select strftime(ts, 'files-%Y-%m-%d') as target, {CLASS_SQL} as event_class, "
+    "count(*) as n_events, sum(fileSize)::bigint as bytes from raw where event_id % 4 = 0 "
+    "and ts >= timestamp '2024-01-03' group by 1, 2"
+)
+def stream_targets(spark, sf):
+    folder = run_folder(spark)
+    spec = with_bounds(ARCHIVES, utc(2024, 1, 3), None)
+    spec = replace(spec, base="files", route_by="insertionTimestamp")
+    raw = as_raw_events(stream_table(spark, sf, "events"))
+    S.start_stream(raw, spec, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    written = spark.read.parquet(f"{folder}/out")
+    return written.groupBy("target", F.col("event.type").alias("event_class")).agg(
+        F.count("*").alias("n_events"), F.sum("file.size").alias("bytes")
+    )
+
+
 # --- geo lookups ----------------------------------------------------------------
 
 AS_OF = utc(2024, 1, 30, 20)
@@ -798,7 +859,7 @@ def geo_join_spread(spark, sf):
     )
 
 
-def lookup_results(spark, sf) -> DataFrame:
+def lookup_results(spark, sf, *keep: str) -> DataFrame:
     """Every event as the answer to a lookup of its user."""
     status = (
         F.when(F.col("event_type") == "click", "fail")
@@ -816,6 +877,7 @@ def lookup_results(spark, sf) -> DataFrame:
         F.col("ts").cast("timestamp").alias("written_at"),
         F.when(F.col("event_type") == "error", "timed out").alias("error"),
         F.when(F.col("event_type") != "error", location).alias("location"),
+        *keep,
     )
 
 
@@ -914,14 +976,8 @@ def cache_metrics(spark, sf):
     "'error' then 'timed out' end as message from events"
 )
 def lookup_outcomes(spark, sf):
-    results = lookup_results(spark, sf)
-    ids = table(spark, sf, "events").select(
-        "event_id", F.col("user_id").cast("string").alias("ip"),
-        F.col("ts").cast("timestamp").alias("written_at"),
-    )
-    return ids.join(G.lookup_outcomes(results), ["ip", "written_at"]).select(
-        "event_id", "kind", "location.message"
-    )
+    results = lookup_results(spark, sf, "event_id")
+    return G.lookup_outcomes(results).select("event_id", "kind", "location.message")
 
 
 # --- raw mode, routing, quality -------------------------------------------------
