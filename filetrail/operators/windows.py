@@ -164,9 +164,9 @@ def assign_windows(df: DataFrame, time: Column, windows: DataFrame, gap: timedel
     Adds ``query_name, on_or_after, on_or_before``; an event inside several windows
     appears once for each, an event in none is dropped. Windows are cut into buckets
     of one stride, so the join is an equality on the bucket and compares an event
-    only with the one to three windows near it. A list of at most ``broadcast_rows``
-    windows is broadcast; a longer one is joined by shuffle, where adaptive execution
-    splits a crowded bucket.
+    only with the few windows near it. A list of at most ``broadcast_rows`` buckets is
+    broadcast; a longer one is joined by shuffle, where adaptive execution splits a
+    crowded bucket.
     """
     stride = millis(gap) + 1
 
@@ -177,10 +177,10 @@ def assign_windows(df: DataFrame, time: Column, windows: DataFrame, gap: timedel
     buckets = F.sequence(
         bucket(F.col("on_or_after")), bucket(F.col("on_or_before")), F.lit(stride).cast("bigint")
     )
-    small = fits_broadcast(windows, broadcast_rows)
     side = windows.select(
         "query_name", "on_or_after", "on_or_before", F.explode(buckets).alias("_bucket")
     )
+    small = fits_broadcast(side, broadcast_rows)
     moment = F.col("_moment")
     joined = df.withColumn("_moment", time.cast("timestamp")).withColumn(
         "_event_bucket", bucket(moment)

@@ -7,16 +7,17 @@ what it reads. The window log only grows; its current state is an aggregate.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from filetrail.operators.geo import FAILED_TTL, SUCCESS_TTL, upsert_cache
 from filetrail.operators.windows import current_windows
 from filetrail.plans.filters import QuerySpec, bounds
-from filetrail.schemas import GEO_CACHE, QUERIES, WINDOWS
+from filetrail.schemas import GEO, GEO_CACHE, QUERIES, WINDOWS
 
 VERSIONS = T.StructType([T.StructField("version", T.LongType())])
 
@@ -53,6 +54,26 @@ def load_cache(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(GEO_CACHE).parquet(f"{path}/v{version}")
 
 
+def read_locations(spark: SparkSession, path: str, written_at: datetime, lang: str = "",
+                   fmt: str = "parquet") -> DataFrame:
+    """A landed table of locations, keyed by its ``query`` field, as lookup results."""
+    location = F.struct(*GEO.fieldNames())
+    return spark.read.format(fmt).schema(GEO).load(path).select(
+        F.col("query").alias("ip"),
+        F.lit(lang).alias("lang"),
+        F.lit(written_at).alias("written_at"),
+        F.lit(None).cast("string").alias("error"),
+        location.alias("location"),
+    )
+
+
+def refresh_cache(results: DataFrame, path: str, success_ttl: timedelta = SUCCESS_TTL,
+                  failed_ttl: timedelta = FAILED_TTL) -> int:
+    """Add lookup results to the saved cache as a new snapshot."""
+    cache = load_cache(results.sparkSession, path)
+    return save_cache(upsert_cache(cache, results, success_ttl, failed_ttl), path)
+
+
 def append_windows(windows: DataFrame, path: str, status: str | None = None) -> None:
     """Add rows to the window log, with ``status`` in place of their own if given."""
     if status:

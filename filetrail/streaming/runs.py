@@ -73,6 +73,7 @@ def start_stream(source: DataFrame, spec: QuerySpec, path: str,
     return (
         source.where(compile_filters(spec))
         .withColumn("_processed_at", F.current_timestamp())
+        .observe("events", F.count(F.lit(1)).alias("n_events"))
         .writeStream.queryName(spec.name)
         .option("checkpointLocation", checkpoint or checkpoint_dir(spark, spec.name))
         .trigger(**_trigger(interval))
@@ -87,6 +88,17 @@ def start_streams(source: DataFrame, specs: list[QuerySpec], path: str,
     return {s.name: start_stream(source, s, f"{path}/{s.name}", **kwargs) for s in specs}
 
 
+def batch_durations(query: StreamingQuery) -> DataFrame:
+    """Events and stage durations of the query's recent micro-batches."""
+    rows = []
+    for p in query.recentProgress:
+        seen = p["observedMetrics"].get("events")
+        n = seen["n_events"] if seen else 0
+        rows += [(p["name"], p["batchId"], n, k, ms) for k, ms in p["durationMs"].items()]
+    schema = "query_name string, batch_id long, n_events long, stage string, millis long"
+    return SparkSession.active().createDataFrame(rows, schema)
+
+
 def windowed_counts(source: DataFrame, time: Column, start: datetime, gap: timedelta,
                     lag: str = DEFAULT_LAG) -> DataFrame:
     """Events per pull window on a stream, emitted once the watermark passes a window."""

@@ -10,7 +10,9 @@ from filetrail.operators import routing as R
 from filetrail.schemas import FLAT_TARGET, GEO, GEO_CACHE, RAW_ALIASES, WINDOWS
 from filetrail.sinks import files, targets
 from filetrail.sources.events import read_raw
-from filetrail.sources.state import append_windows, load_cache, load_windows, save_cache
+from filetrail.sources.state import (
+    append_windows, load_cache, load_windows, read_locations, refresh_cache, save_cache,
+)
 from tests.util import raw_rows, utc
 
 NOW = utc(2024, 1, 1)
@@ -70,6 +72,19 @@ def test_cache_snapshots(spark, tmp_path):
     assert load_cache(spark, path).count() == 2
 
 
+def test_landed_locations_refresh_the_cache(spark, tmp_path):
+    path, src = str(tmp_path / "cache"), str(tmp_path / "geo")
+    rows = [{"query": "a", "status": "success", "country": "A"}, {"query": "b", "status": "fail"}]
+    spark.createDataFrame([tuple(r.get(n) for n in GEO.fieldNames()) for r in rows],
+                          GEO).write.parquet(src)
+    assert refresh_cache(read_locations(spark, src, NOW), path) == 1
+    assert refresh_cache(read_locations(spark, src, NOW + timedelta(hours=1)), path) == 2
+    got = {r["ip"]: r for r in load_cache(spark, path).select(
+        "ip", F.unix_millis("expiration_time").alias("e")).collect()}
+    base = int(NOW.timestamp() * 1000)
+    assert {k: (r["e"] - base) / 3_600_000 for k, r in got.items()} == {"a": 9, "b": 1.5}
+
+
 def test_window_log(spark, tmp_path):
     path = str(tmp_path / "windows")
     assert load_windows(spark, path).collect() == []

@@ -38,13 +38,17 @@ def run(spark, src, out, ck, spec=SPEC, **kw):
     q = runs.start_stream(stream_raw(spark, src, maxFilesPerTrigger=1), spec, out, ck, **kw)
     q.awaitTermination(120)
     assert q.exception() is None
+    return q
 
 
 def test_stream_restarts_and_equals_batch(spark, tmp_path):
     src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
     land(spark, src, range(-2, 10))
     land(spark, src, range(10, 30))
-    run(spark, src, out, ck)
+    q = run(spark, src, out, ck)
+    timed = runs.batch_durations(q).where("stage = 'addBatch'").orderBy("batch_id").collect()
+    assert [(r["query_name"], r["batch_id"]) for r in timed] == [("s", 0), ("s", 1)]
+    assert sum(r["n_events"] for r in timed) == 24 and all(r["millis"] > 0 for r in timed)
     land(spark, src, [3, *range(30, 40)])  # a late row reaches its own target
     run(spark, src, out, ck)
     run(spark, src, out, ck)  # nothing new

@@ -391,15 +391,19 @@ def envelope_parts(spark, sf):
 def json_fields(spark, sf):
     rows = N.normalize(raw_events(spark, sf))
     text = json_lines(rows)
-    part = {
-        "type": "$.event.type", "md5": "$.file.hash.md5", "mime": "$.file.mime_type",
-        "media": "$.source_event.removable_media", "process": "$.source_event.process",
-    }
-    return text.select(
-        F.substring(F.get_json_object("value", "$.event.id"), 4, 20).cast("bigint").alias(
-            "event_id"
-        ),
-        *[F.get_json_object("value", p).alias(n) for n, p in part.items()],
+    # A string field of the schema takes the JSON text found there, whatever its type.
+    schema = (
+        "event struct<id:string,type:string>, file struct<hash:struct<md5:string>,"
+        "mime_type:string>, source_event struct<removable_media:string,process:string>"
+    )
+    parsed = text.select("value", F.from_json("value", schema).alias("j"))
+    return parsed.select(
+        F.substring("j.event.id", 4, 20).cast("bigint").alias("event_id"),
+        F.col("j.event.type").alias("type"),
+        F.col("j.file.hash.md5").alias("md5"),
+        F.col("j.file.mime_type").alias("mime"),
+        F.col("j.source_event.removable_media").alias("media"),
+        F.col("j.source_event.process").alias("process"),
         F.col("value").contains(':""').alias("empty_text"),
         F.col("value").contains("\n").alias("many_lines"),
     )
