@@ -23,10 +23,11 @@ from filetrail.operators import routing as R
 from filetrail.operators import windows as W
 from filetrail.operators.domains import add_domains, domain_lookup
 from filetrail.plans.filters import QuerySpec, bounds, compile_filters, with_bounds
+from filetrail.plans.pull import run_pull
 from filetrail.schemas import GEO_CACHE, QUERIES, SUFFIX_RULES
 from filetrail.session import configure
-from filetrail.sinks.files import json_lines
-from filetrail.sinks.targets import with_field_aliases
+from filetrail.sinks.files import json_lines, write_windows
+from filetrail.sinks.targets import with_field_aliases, write_targets
 from filetrail.streaming import runs as S
 from workloads.adapters import EVENTS, SHIPMENTS, as_raw_events, raw_events, raw_sql, table
 
@@ -783,6 +784,74 @@ def stream_targets(spark, sf):
     )
 
 
+# --- pulls and sinks --------------------------------------------------------------
+
+DAY_STRIDE = 86_400_001
+FIRST_LIMIT, LAST_LIMIT = utc(2024, 1, 10), utc(2024, 1, 31, 23, 45)
+ID_SQL = (
+    "strftime(make_timestamp(a * 1000), 'dailyA%Y.%m.%d.%H.%M.%S.%g') || "
+    "strftime(make_timestamp(b * 1000), 'B%Y.%m.%d.%H.%M.%S.%g')"
+)
+
+
+@query(
+    "with e as (select epoch_us(ts) // 1000 as m, epoch_ms(timestamp '2024-01-01') as s1, "
+    "epoch_ms(timestamp '2024-01-10') as l1, epoch_ms(timestamp '2024-01-31 23:45:00') as l2 "
+    "from events), o as (select *, case when m <= l1 then s1 else l1 + 1 end as s, case when "
+    "m <= l1 then l1 else l2 end as l from e), w as (select *, s + ((m - s) // "
+    f"{DAY_STRIDE}) * {DAY_STRIDE} as a from o), b as (select a, least(a + 86400000, l) as b "
+    f"from w) select strftime(make_timestamp(b * 1000), 'files-%Y-%m-%d') as target, {ID_SQL} "
+    "as window_id, count(*) as n_events from b group by 1, 2"
+)
+def pulled_targets(spark, sf):
+    # Two pulls of one query: the second goes on where the settle lag cut the first.
+    folder = run_folder(spark)
+    spec = QuerySpec.from_dict({
+        "name": "daily", "gap": timedelta(days=1), "base": "files", "route_by": "onOrBefore",
+        "groups": [{"filters": [
+            {"operator": "ON_OR_AFTER", "term": "insertionTimestamp",
+             "value": "2024-01-01T00:00:00.000Z"},
+            {"operator": "ON_OR_BEFORE", "term": "insertionTimestamp", "value": ""},
+        ]}],
+    })
+    raw = raw_events(spark, sf)
+    for limit in (FIRST_LIMIT, LAST_LIMIT):
+        run_pull(raw, spec, f"{folder}/windows", lambda df: write_targets(df, f"{folder}/out"),
+                 as_of=limit + W.SETTLE_LAG, started_at=utc(2024, 1, 1))
+    written = spark.read.parquet(f"{folder}/out")
+    return written.groupBy("target", "window_id").agg(F.count("*").alias("n_events"))
+
+
+@query(
+    "with w as (select (epoch_us(ts) - epoch_us(timestamp '2024-01-01')) // "
+    f"{DAY_STRIDE * 1000} as i, event_id from events), n as (select epoch_ms(timestamp "
+    f"'2024-01-01') + i * {DAY_STRIDE} as a, epoch_ms(timestamp '2024-01-01') + i * {DAY_STRIDE} "
+    f"+ 86400000 as b, event_id from w) select {ID_SQL} as window_id, count(*) as n_events, "
+    "sum(event_id * 10)::bigint as bytes, 0::bigint as odd_rows from n group by a, b"
+)
+def window_files(spark, sf):
+    # JSON files by window, written twice: the second run replaces the first.
+    folder = run_folder(spark)
+    raw = W.assign_tumbling(
+        raw_events(spark, sf), E.insertion_time(F.col("insertionTimestamp")),
+        utc(2024, 1, 1), timedelta(days=1),
+    )
+    rows = N.normalize(raw, keep=("on_or_after", "on_or_before"))
+    rows = rows.withColumns({
+        "query_name": F.lit("daily"),
+        "window_id": window_id("daily", F.col("on_or_after"), F.col("on_or_before")),
+    }).drop("on_or_after", "on_or_before")
+    for _ in range(2):
+        write_windows(rows, f"{folder}/out")
+    schema = "event struct<id:string>, file struct<size:bigint>, query_name string, window_id string"
+    written = spark.read.schema(schema).json(f"{folder}/out")
+    return written.groupBy("window_id").agg(
+        F.count("*").alias("n_events"),
+        F.sum("file.size").alias("bytes"),
+        F.count_if(~F.col("event.id").startswith("ev-")).alias("odd_rows"),
+    )
+
+
 # --- geo lookups ----------------------------------------------------------------
 
 AS_OF = utc(2024, 1, 30, 20)
