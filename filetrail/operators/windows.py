@@ -132,6 +132,7 @@ def assign_tumbling(df: DataFrame, time: Column, start: datetime, gap: timedelta
     Same windows as :func:`plan_windows` from ``start``; events outside them are
     dropped. No join and no shuffle, and the time range reaches the scan.
     """
+    start = _to_millis(start)
     ends = [e for e in (max_time, as_of - lag if as_of else None) if e is not None]
     kept = time >= instant(start)
     if ends:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from filetrail.operators.geo import FAILED_TTL, SUCCESS_TTL, upsert_cache
 from filetrail.operators.windows import current_windows
-from filetrail.plans.filters import QuerySpec, bounds
+from filetrail.plans.filters import MILLISECOND, QuerySpec, bounds
 from filetrail.schemas import GEO, GEO_CACHE, QUERIES, WINDOWS
 
 VERSIONS = T.StructType([T.StructField("version", T.LongType())])
@@ -97,5 +97,5 @@ def query_table(spark: SparkSession, specs: list[QuerySpec], started_at: datetim
     rows = []
     for s in specs:
         start, end = bounds(s)
-        rows.append((s.name, start or started_at, end, int(s.gap.total_seconds() * 1000)))
+        rows.append((s.name, start or started_at, end, s.gap // MILLISECOND))
     return spark.createDataFrame(rows, QUERIES)

@@ -83,9 +83,14 @@ def start_stream(source: DataFrame, spec: QuerySpec, path: str,
 
 
 def start_streams(source: DataFrame, specs: list[QuerySpec], path: str,
-                  **kwargs) -> dict[str, StreamingQuery]:
-    """Several named queries over one source, each with its own checkpoint."""
-    return {s.name: start_stream(source, s, f"{path}/{s.name}", **kwargs) for s in specs}
+                  checkpoint: str | None = None, **kwargs) -> dict[str, StreamingQuery]:
+    """Several named queries over one source, each with its own output and checkpoint."""
+    return {
+        s.name: start_stream(
+            source, s, f"{path}/{s.name}", checkpoint and f"{checkpoint}/{s.name}", **kwargs
+        )
+        for s in specs
+    }
 
 
 def batch_durations(query: StreamingQuery) -> DataFrame:

@@ -100,6 +100,26 @@ def test_spread_join_equals_broadcast_join(spark):
     assert [(i, g and g["country"]) for i, g in a] == [(i, g and g["country"]) for i, g in b]
 
 
+def test_hot_rows_and_copies_are_spread(spark):
+    ev = spark.createDataFrame([("same", "hot")] * 400 + [(str(i), None) for i in range(400)],
+                               "eventId string, publicIpAddress string").repartition(8)
+    known = cache(spark, ("hot", "", NOW, NOW, "H"))
+    # keep the shuffle, as for a large cache, and see where the rows end up
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rich = G.enrich_geo(ev, known, NOW, broadcast_rows=0, hot_rows=50)
+        where = rich.groupBy(F.spark_partition_id().alias("p"), "publicIpAddress").count()
+        rows = where.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(r["count"] for r in rows) == 800
+    for ip in ("hot", None):
+        mine = [r["count"] for r in rows if r["publicIpAddress"] == ip]
+        assert len(mine) >= 3 and max(mine) <= 260
+
+
 def test_cache_size(spark):
     df = cache(spark, ("a", "", NOW, NOW, "x"), ("b", "", NOW, NOW - MS, "x"))
     assert tuple(M.cache_metrics(df, NOW).first()) == (2, 1)

@@ -704,7 +704,7 @@ def replayed_windows(spark, sf):
     "count(*) from days d where d.query_name = e.event_type and d.status = 'open') as "
     "windows_in_progress from events e group by 1"
 )
-def pipeline_metrics(spark, sf):
+def query_counters(spark, sf):
     events = table(spark, sf, "events").withColumn("query_name", F.col("event_type"))
     return M.pipeline_metrics(events, day_windows(spark, sf))
 
