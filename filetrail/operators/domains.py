@@ -50,9 +50,8 @@ def last_labels(domain: Column, n: int | Column) -> Column:
     return F.call_function("substring_index", domain, F.lit("."), -n)
 
 
-def _suffix_labels(domain: Column, flags: dict[int, Column]) -> Column:
+def _suffix_labels(labels: Column, flags: dict[int, Column]) -> Column:
     """Length of the public suffix in labels, from the rule flags at each depth."""
-    labels = label_count(domain)
     exception, lengths = [], [F.lit(1)]
     for d, f in sorted(flags.items(), reverse=True):
         exception.append(F.when(f.bitwiseAND(EXCEPTION) != 0, d - 1))
@@ -65,7 +64,7 @@ def _domain_pair(domain: Column, n: Column) -> tuple[Column, Column]:
     """(registered domain, public suffix) given the suffix length."""
     blank_label = domain.startswith(".") | domain.endswith(".") | domain.contains("..")
     registered = F.when(~blank_label & (label_count(domain) > n), last_labels(domain, n + 1))
-    return omit_empty(registered), omit_empty(last_labels(domain, n))
+    return registered, omit_empty(last_labels(domain, n))
 
 
 def collect_rules(rules: DataFrame) -> list[Row] | None:
@@ -86,22 +85,23 @@ def add_domains(df: DataFrame, url_col: str, rules: DataFrame,
         depth = bases.agg(F.max("depth")).first()[0]
     else:
         depth = max((r["depth"] for r in rows), default=0)
-    domain = F.col(url_col)["domain"]
-    flags = {}
+    domain, labels, flags = F.col(url_col)["domain"], F.col("_labels"), {}
+    df = df.withColumn("_labels", label_count(domain))
     for d in range(1, depth + 1):
         side = bases.where(F.col("depth") == d).select(
             F.col("base").alias(f"_base_{d}"), F.col("flags").alias(f"_flags_{d}")
         )
-        tail = F.when(label_count(domain) >= d, last_labels(domain, d))
+        tail = F.when(labels >= d, last_labels(domain, d))
         df = df.join(
             F.broadcast(side) if rows is not None else side, tail == F.col(f"_base_{d}"), "left"
         ).drop(f"_base_{d}")
         flags[d] = F.col(f"_flags_{d}")
-    registered, suffix = _domain_pair(domain, _suffix_labels(domain, flags))
+    df = df.withColumn("_suffix_labels", _suffix_labels(labels, flags))
+    registered, suffix = _domain_pair(domain, F.col("_suffix_labels"))
     filled = F.col(url_col).withField("registered_domain", registered)
     filled = filled.withField("top_level_domain", suffix)
-    return df.withColumn(url_col, F.when(F.col(url_col).isNotNull(), filled)).drop(
-        *[f"_flags_{d}" for d in flags]
+    return df.withColumn(url_col, filled).drop(
+        "_labels", "_suffix_labels", *[f"_flags_{d}" for d in flags]
     )
 
 
@@ -130,6 +130,9 @@ def domain_lookup(rules: DataFrame,
             )
             for d in depths
         }
-        return _domain_pair(domain, _suffix_labels(domain, flags))
+        n = F.array(_suffix_labels(label_count(domain), flags))
+        pairs = F.transform(n, lambda n: F.array(*_domain_pair(domain, n)))
+        pair = F.get(pairs, F.lit(0))
+        return F.get(pair, F.lit(0)), F.get(pair, F.lit(1))
 
     return lookup
