@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filetrail.llm import decontaminate, line_dedup, pieces, resample, simhash, store, token_files
+from filetrail.llm import (
+    decontaminate,
+    extract,
+    inner_product,
+    line_dedup,
+    pieces,
+    resample,
+    simhash,
+    store,
+    token_files,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,6 +76,18 @@ def op2_simhash_dedup(spark, sf_dir):
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+@query(
+    "with p as (select page_id, coalesce(html, '') as html from pages), d as (select page_id, "
+    "octet_length(encode(html)) as payload_bytes, sha256(html) as payload_digest from p), "
+    "f as (select *, min(page_id) over (partition by payload_digest) as first from d) "
+    "select page_id, payload_bytes, payload_digest, case when payload_bytes >= "
+    f"{warc.MIN_REVISIT} and first <> page_id then 'revisit' else 'response' end as record_type, "
+    f"case when payload_bytes >= {warc.MIN_REVISIT} and first <> page_id then first end as refers_to from f"
+)
+def op3_warc(spark, sf_dir):
+    return warc.archive_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def words_sql(text: str) -> str:
     lower = f"translate(coalesce({text}, ''), '{UPPER}', '{LOWER}')"
     return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -137,3 +161,27 @@ def op7_sentencepiece(spark, sf_dir):
     return piece_digests(
         pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), keep_text=False)
     )
+
+
+@query()
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), keep_text=False)
+
+
+@query()
+def op9_html_extraction(spark, sf_dir):
+    return extract.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query(
+    "with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v "
+    "from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or "
+    "not isfinite(x))) = 0), s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform("
+    "list_zip(q.v, c.v), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)))::bigint as score from v q join v c "
+    "on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id), r as (select *, row_number() over ("
+    "partition by query_id order by score desc, vec_id) as rank from s) "
+    "select query_id, rank::int as rank, vec_id, score from r where rank <= 5"
+)
+def op10_top_products(spark, sf_dir):
+    return inner_product.top_products(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
