@@ -10,8 +10,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,7 @@ from tokenizers import Tokenizer
 from filetrail.llm.store import cut, ship
 
 END = 0
-CACHE = 400_000
+CACHE = 800_000
 ROWS = 500
 STRIPE_BYTES = 16 << 20
 STRIDE = 1_000
@@ -33,51 +33,109 @@ FILES = "doc_id bigint, part int, offset bigint, ids array<int>"
 
 #: A token never spans a space and a character before it that isn't white space.
 _BORDER = re.compile(r"(?<=\S)(?= )")
+#: Letters, with only ASCII marks but the apostrophe after them.
+_LINES = re.compile(r"\S+(?:\n\S+)+")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies.
+
+    Printable bytes stand for themselves, the others for characters from 256 on.
+    """
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(0x100, 0x200))
+    return [chr(b if b in printable else next(other)) for b in range(256)]
+
+
+class _Words(dict):
+    """Ids of words with a space before them, found when they are first asked for.
+
+    Half of the entries are a younger generation; when it is full the older one goes, so
+    frequent words stay.
+    """
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self.encoder, self.old = encoder, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encoder.word(word)
+        if len(word) <= 64:
+            if len(self) >= CACHE // 2:
+                self.old = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 class Encoder:
-    """A byte-level tokenizer, with the ids of words kept in caches of bounded size."""
+    """A byte-level tokenizer, with the ids of words kept in a cache of bounded size.
+
+    Ids are bytes here: 32 bits each in the machine's order.
+    """
 
     def __init__(self, tokenizer_file: str):
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        #: Ids of a word at the start of a text, and of a word with a space before it.
-        self.first: dict[str, tuple[int, ...]] = {}
-        self.later: dict[str, tuple[int, ...]] = {}
+        self.model = self.tokenizer.model
+        self.letters = {b: c for b, c in enumerate(_byte_letters())}
+        self.words = _Words(self)
+        self.tails: dict[str, bytes] = {}
         #: Words that end in white space: a space after them may belong to their token.
         self.open: set[str] = {""}
 
-    def _learn(self, known: dict, words: set[str], before: str) -> None:
-        new = [w for w in words if w not in known]
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            self.open.clear()
-            self.open.add("")
-            new = list(words)
-        self.open.update(w for w in new if w[-1:].isspace())
-        found = self.tokenizer.encode_batch_fast([before + w for w in new], add_special_tokens=False)
-        known.update((w, tuple(e.ids)) for w, e in zip(new, found, strict=True))
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of whole texts, as the tokenizer gives them.
+    def _whole(self, text: str) -> bytes:
+        return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def word(self, word: str) -> bytes:
+        """Ids of a space and a word that has none."""
+        plain = _PLAIN.fullmatch(word)
+        if plain is not None:
+            core, tail = plain.groups()
+            if not tail:
+                return self._unit(" " + core)
+            # Letters and the marks after them are always different tokens.
+            return self.words[core] + self._tail(tail)
+        if not word or word[-1].isspace():
+            self.open.add(word)
+        elif _LINES.fullmatch(word):
+            # A single line end between other characters is a token of its own.
+            first, *later = word.split("\n")
+            return self.words[first] + b"".join(self._tail("\n") + self._line(x) for x in later)
+        return self._whole(" " + word)
+
+    def _unit(self, letters: str) -> bytes:
+        """Ids of letters, or a space and letters: one unit, which the model can take."""
+        unit = letters.encode().decode("latin-1").translate(self.letters)
+        return array("i", [t.id for t in self.model.tokenize(unit)]).tobytes()
+
+    def _tail(self, tail: str) -> bytes:
+        if tail not in self.tails:
+            if len(self.tails) >= CACHE:
+                self.tails.clear()
+            self.tails[tail] = self._whole(tail)
+        return self.tails[tail]
+
+    def _line(self, word: str) -> bytes:
+        """Ids of a word at the start of a line."""
+        plain = _PLAIN.fullmatch(word)
+        return self._unit(plain[1]) + (self._tail(plain[2]) if plain[2] else b"") if plain else self._whole(word)
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of a whole text, as the tokenizer gives them.
 
         A text is cut before its single spaces, and its ids are those of its words in a
-        row. Only words not met before go through the tokenizer, those of a batch at once.
+        row. Only words that aren't in the cache go through the tokenizer.
         """
-        cuts = [t.split(" ") for t in texts]
-        self._learn(self.first, {c[0] for c in cuts}, "")
-        self._learn(self.later, {w for c in cuts for w in c[1:]}, " ")
-        out = []
-        for text, words in zip(texts, cuts, strict=True):
-            if not self.open.isdisjoint(words):
-                parts = _BORDER.split(text)
-                found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False) if text else []
-                out.append([*chain.from_iterable(e.ids for e in found)])
-                continue
-            ids = [*self.first[words[0]]]
-            del words[0]
-            ids += chain.from_iterable(map(self.later.__getitem__, words))
-            out.append(ids)
-        return out
+        if not text:
+            return b""
+        first, *words = text.split(" ")
+        ids = b"".join(map(self.words.__getitem__, words))
+        if first[-1:].isspace() or not self.open.isdisjoint(words):
+            return b"".join(map(self._whole, _BORDER.split(text)))
+        return (self._whole(first) if first else b"") + ids
 
 
 _encoders: dict[str, Encoder] = {}
@@ -91,24 +149,20 @@ def load(tokenizer_file: str) -> Encoder:
     return _encoders[tokenizer_file]
 
 
-def _lists(ids: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-    return pa.ListArray.from_arrays(ends, np.fromiter(chain.from_iterable(ids), np.int32, ends[-1]))
-
-
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer_file: str, end: int) -> Iterator[pa.RecordBatch]:
     encoder, part, offset = load(tokenizer_file), TaskContext.get().partitionId(), 0
+    last = array("i", [end]).tobytes()
     for whole in batches:
         for at in range(0, whole.num_rows, ROWS):
             batch = whole.slice(at, ROWS)
-            ids = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
-            for x in ids:
-                x.append(end)
-            sizes = np.array(list(map(len, ids)), dtype=np.int64)
+            ids = [encoder.encode(t) + last for t in batch.column(1).to_pylist()]
+            sizes = np.array(list(map(len, ids)), dtype=np.int64) // 4
             starts = offset + np.cumsum(sizes) - sizes
             offset += int(sizes.sum())
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(ids), dtype=np.int32))
             yield pa.record_batch(
-                [batch.column(0), pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), _lists(ids)],
+                [batch.column(0), pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), lists],
                 names=["doc_id", "part", "offset", "ids"],
             )
 
