@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain, pairwise
 
 import ahocorasick
@@ -24,25 +24,32 @@ from pyspark.sql import functions as F
 from filetrail.llm.store import put, ship
 
 SPACE = "▁"
-CACHE = 300_000
+CACHE = 600_000
 ROWS = 500
 
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+$")
 
 
-class _Words(dict):
-    """Ids of words that follow a single space, found when they are first asked for."""
+class _Cache(dict):
+    """Ids of texts, found when they are first asked for.
 
-    def __init__(self, model: Pieces):
-        super().__init__()
-        self.model = model
+    Half of the entries are a younger generation; when it is full the older one goes, so
+    frequent texts stay. Long texts aren't kept.
+    """
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.model.word(SPACE + word)
-        if len(word) <= 64:
-            if len(self) >= CACHE:
+    def __init__(self, find: Callable[[str], tuple[int, ...]]):
+        super().__init__()
+        self.find, self.old = find, {}
+
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        ids = self.old.get(text)
+        if ids is None:
+            ids = self.find(text)
+        if len(text) <= 64:
+            if len(self) >= CACHE // 2:
+                self.old = dict(self)
                 self.clear()
-            self[word] = ids
+            self[text] = ids
         return ids
 
 
@@ -84,8 +91,9 @@ class Pieces:
             self.automaton.add_word(p[::-1], p)
         self.automaton.make_automaton()
         self.fits: dict[tuple[str, str], bool] = {}
-        self.runs: dict[str, tuple[int, ...]] = {}
-        self.words = _Words(self)
+        self.runs = _Cache(self._run)
+        #: By words that follow a single space.
+        self.words = _Cache(lambda word: self.word(SPACE + word))
 
     def _check(self, merged: list[str]) -> None:
         sp = self.model
@@ -161,22 +169,23 @@ class Pieces:
         return fits
 
     def search(self, text: str) -> list[str]:
-        """Pieces of a text of known characters without inner runs of spaces."""
+        """Pieces of a text of known characters without inner runs of spaces.
+
+        Places in ``longest`` count from the end of the text.
+        """
         n = len(text)
-        longest: list[str] = [""] * n
-        for at, piece in self.automaton.iter(text[::-1]):
-            if len(piece) > len(longest[n - 1 - at]):
-                longest[n - 1 - at] = piece
+        # At each place the automaton reports the longest piece first, so it is set last.
+        longest = dict([*self.automaton.iter(text[::-1])][::-1])
         open_ = bytearray(b"\xff" * (n // 8 + 1))  # a cleared bit: no piece can go on here
         found: list[str] = []
-        at, piece = 0, longest[0]
+        at, piece = 0, longest[n - 1]
         while True:
             end = at + len(piece)
             if open_[end >> 3] >> (end & 7) & 1 and (not found or self.compatible(found[-1], piece)):
                 found.append(piece)
                 if end == n:
                     return found
-                at, piece = end, longest[end]
+                at, piece = end, longest[n - 1 - end]
                 continue
             shorter = self.shorter[piece]
             while shorter is None:
@@ -189,30 +198,21 @@ class Pieces:
 
     def _run(self, run: str) -> tuple[int, ...]:
         """Ids of characters between two cuts."""
-        ids = self.runs.get(run)
-        if ids is not None:
-            return ids
-        if run in self.id_of and len(run) == 1:
-            ids = (self.id_of[run],)
-        elif run[0] not in self.id_of:
-            ids = tuple(self.byte_id[b] for b in run.encode())
-        elif run.startswith(SPACE * 2):
+        if len(run) == 1 and run in self.id_of:
+            return (self.id_of[run],)
+        if run[0] not in self.id_of:
+            return tuple(self.byte_id[b] for b in run.encode())
+        if run.startswith(SPACE * 2):
             # Runs of spaces tie in score, so the order of their merges counts.
-            ids = tuple(self.id_of[p] for p in self.merge(run)[0])
-        else:
-            ids = tuple(self.id_of[p] for p in self.search(run))
-        if len(run) <= 64:
-            if len(self.runs) >= CACHE:
-                self.runs.clear()
-            self.runs[run] = ids
-        return ids
+            return tuple(self.id_of[p] for p in self.merge(run)[0])
+        return tuple(self.id_of[p] for p in self.search(run))
 
     def word(self, word: str) -> tuple[int, ...]:
         """Ids of the spaces before a word and the word, up to the next space."""
         inside = self.inside
         cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in inside]
         return tuple(chain.from_iterable(
-            self._run(word[a:b]) for a, b in pairwise((0, *cuts, len(word)))
+            self.runs[word[a:b]] for a, b in pairwise((0, *cuts, len(word)))
         ))
 
     def encode(self, text: str | None) -> list[int]:
