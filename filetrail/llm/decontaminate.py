@@ -19,7 +19,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filetrail.llm.store import file_system, new_folder, put, ship
+from filetrail.llm.store import file_system, keep_columns, new_folder, put, ship
 
 WORDS = 10
 BLOCK_BYTES = 32 << 20
@@ -136,7 +136,7 @@ def _scan(batches: Iterator[pa.RecordBatch], folder: str, paths: list[str], kept
     store, root = file_system(folder)
     for batch in batches:
         parts, n_words = [], []
-        for text in batch.column("_text").to_pylist():
+        for text in batch.column("__text").to_pylist():
             w = words_of(text)
             parts.append(b" " + b" ".join(w) + b" " if w else b" ")
             n_words.append(len(w))
@@ -217,13 +217,15 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
     folder, paths = write_patterns(benchmark, words, block_bytes)
     new = {"n_words", "n_hit", "hits", *(() if keep_text else ("text",))}
     kept = [c for c in docs.columns if c.lower() not in new]
-    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.col("text").alias("_text"))
-    fields = put(given.drop("_text"), "n_words bigint, n_hit bigint")
+    given = docs.select(*(F.col(f"`{c}`") for c in kept), F.col("text").alias("__text"))
+    fields = put(given.drop("__text"), "n_words bigint, n_hit bigint")
     return given.mapInArrow(lambda it: _scan(it, folder, paths, kept), f"{fields}, hits {_HITS}")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs."""
-    found = find_benchmark(docs, benchmark, words, block_bytes)
-    return found.where("n_hit = 0").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return keep_columns(
+        docs, {"n_words", "n_hit", "hits"},
+        lambda df: find_benchmark(df, benchmark, words, block_bytes).where("n_hit = 0"),
+    )

@@ -349,7 +349,7 @@ def main_text(html: str | None) -> str:
 
 def _extract(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(h) for h in batch.column("_html").to_pylist()]
+        texts = [main_text(h) for h in batch.column("__html").to_pylist()]
         columns = [batch.column(c) for c in names]
         columns += [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
         yield pa.record_batch(columns, names=[*names, "text", "n_chars"])
@@ -367,6 +367,6 @@ def extract_text(pages: DataFrame, keep_html: bool = False) -> DataFrame:
     ship(pages.sparkSession)
     new = {"text", "n_chars", *(() if keep_html else ("html",))}
     names = [c for c in pages.columns if c.lower() not in new]
-    given = pages.select(*(F.col(f"`{c}`") for c in names), F.col("html").alias("_html"))
-    fields = put(given.drop("_html"), "text string, n_chars bigint")
+    given = pages.select(*(F.col(f"`{c}`") for c in names), F.col("html").alias("__html"))
+    fields = put(given.drop("__html"), "text string, n_chars bigint")
     return given.mapInArrow(lambda it: _extract(it, names), fields)

@@ -92,15 +92,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS,
     gone = cut(
         lines.join(spread, "key").where("doc_id != keeper").select("doc_id", "version", "pos"), "gone"
     )
-    drops = gone.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("_drop"))
-    drops = drops.withColumnsRenamed({"doc_id": "_id", "version": "_version"})
+    drops = gone.groupBy("doc_id", "version").agg(F.collect_set("pos").alias("__drop"))
+    drops = drops.withColumnsRenamed({"doc_id": "__id", "version": "__version"})
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     docs = docs.select(*(F.col(f"`{c}`") for c in names))
     joined = docs.join(
-        drops, (F.col("doc_id").cast("long") == F.col("_id")) & (version == F.col("_version")), "left"
+        drops, (F.col("doc_id").cast("long") == F.col("__id")) & (version == F.col("__version")), "left"
     )
-    done = joined.withColumn("_out", F.pandas_udf(_without, _KEPT)("text", "_drop"))
+    done = joined.withColumn("__out", F.pandas_udf(_without, _KEPT)("text", "__drop"))
     columns = [
-        F.col("_out.text").alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in names
+        F.col("__out.text").alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in names
     ]
-    return done.select(*columns, "_out.n_lines", "_out.n_dropped")
+    return done.select(*columns, "__out.n_lines", "__out.n_dropped")

@@ -244,7 +244,7 @@ def _encode(batches: Iterator[pa.RecordBatch], model_file: str, names: list[str]
     for whole in batches:
         for at in range(0, max(1, whole.num_rows), ROWS):
             batch = whole.slice(at, ROWS)
-            ids = [[*model.encode(t), model.end] for t in batch.column("_text").to_pylist()]
+            ids = [[*model.encode(t), model.end] for t in batch.column("__text").to_pylist()]
             decoded = [model.decode(x) for x in ids]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
@@ -265,6 +265,6 @@ def encode_decode(docs: DataFrame, model_file: str, keep_text: bool = True) -> D
     ship(docs.sparkSession)
     new = {"ids", "decoded", *(() if keep_text else ("text",))}
     names = [c for c in docs.columns if c.lower() not in new]
-    given = docs.select(*(F.col(f"`{c}`") for c in names), F.col("text").alias("_text"))
-    fields = put(given.drop("_text"), "ids array<int>, decoded string")
+    given = docs.select(*(F.col(f"`{c}`") for c in names), F.col("text").alias("__text"))
+    fields = put(given.drop("__text"), "ids array<int>, decoded string")
     return given.mapInArrow(lambda it: _encode(it, model_file, names), fields)

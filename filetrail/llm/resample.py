@@ -140,7 +140,7 @@ def _score(batches: Iterator[pa.RecordBatch], ratios, buckets: int, names: list[
     grams, ratios = Grams(buckets), ratios.value
     for batch in _slices(batches):
         weight = np.zeros(batch.num_rows)
-        for bucket, doc in grams([t or "" for t in batch.column("_text").to_pylist()]):
+        for bucket, doc in grams([t or "" for t in batch.column("__text").to_pylist()]):
             weight += np.bincount(doc, weights=ratios[bucket], minlength=batch.num_rows)
         columns = [batch.column(c) for c in names]
         yield pa.record_batch([*columns, pa.array(weight)], names=[*names, "log_weight"])
@@ -224,11 +224,11 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, floor: fl
     names = [c for c in docs.columns if c.lower() not in new]
     noise = (F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     given = docs.select(
-        *(F.col(f"`{c}`") for c in names), F.col("text").alias("_text"), (-F.log(-F.log(noise))).alias("_noise")
+        *(F.col(f"`{c}`") for c in names), F.col("text").alias("__text"), (-F.log(-F.log(noise))).alias("__noise")
     )
-    schema = put(given.drop("_text"), "log_weight double")
-    scored = given.mapInArrow(lambda it: _score(it, ratios, buckets, [*names, "_noise"]), schema)
-    scored = scored.withColumn("gumbel_key", F.col("log_weight") + F.col("_noise")).drop("_noise")
+    schema = put(given.drop("__text"), "log_weight double")
+    scored = given.mapInArrow(lambda it: _score(it, ratios, buckets, [*names, "__noise"]), schema)
+    scored = scored.withColumn("gumbel_key", F.col("log_weight") + F.col("__noise")).drop("__noise")
     scored = cut(scored, "scored")
     if k is None:
         k = scored.where(F.col("log_weight") > floor).count()

@@ -64,7 +64,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.
     for batch in batches:
         values = [fingerprint(t, words) for t in batch.column("text").to_pylist()]
         column = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
-        names = [n for n in batch.schema.names if n != "text"] + ["_fp"]
+        names = [n for n in batch.schema.names if n != "text"] + ["__fp"]
         columns = [batch.column(n) for n in names[:-1]] + [column]
         yield pa.record_batch(columns, names=names)
 
@@ -233,11 +233,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
     added = {"fingerprint", "component_id", "kept", "text"}
     others = [c for c in docs.columns if c.lower() not in added]
     version = F.xxhash64("text")
-    slim = docs.select(*(F.col(f"`{c}`") for c in others), version.alias("_version"), "text")
-    schema = put(slim.drop("text"), "_fp bigint")
+    slim = docs.select(*(F.col(f"`{c}`") for c in others), version.alias("__version"), "text")
+    schema = put(slim.drop("text"), "__fp bigint")
     prints = cut(slim.mapInArrow(lambda it: _fingerprints(it, words), schema), "prints")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), "_version")
-    classes = cut(prints.groupBy(F.col("_fp").alias("fp")).agg(F.min(first).alias("first")), "classes")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), "__version")
+    classes = cut(prints.groupBy(F.col("__fp").alias("fp")).agg(F.min(first).alias("first")), "classes")
     groups = cut(connected(near_links(classes.select("fp"), radius, tile)), "components")
     members = cut(
         classes.join(groups, F.col("fp") == F.col("node"), "left").select(
@@ -246,17 +246,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
     )
     heads = cut(members.groupBy("component").agg(F.min("first").alias("head")), "heads")
     heads = cut(
-        members.join(heads, "component").select(F.col("fp").alias("_class"), F.col("head").alias("_head")),
+        members.join(heads, "component").select(F.col("fp").alias("__class"), F.col("head").alias("__head")),
         "classes",
     )
-    done = prints.join(heads, F.col("_fp") == F.col("_class"))
+    done = prints.join(heads, F.col("__fp") == F.col("__class"))
     return done.select(
         *(F.col(f"`{c}`") for c in others),
-        _hex(F.col("_fp")).alias("fingerprint"),
-        F.col("_head.id").alias("component_id"),
+        _hex(F.col("__fp")).alias("fingerprint"),
+        F.col("__head.id").alias("component_id"),
         F.coalesce(
-            F.col("doc_id").cast("long").eqNullSafe(F.col("_head.id"))
-            & (F.col("_version") == F.col("_head._version")), F.lit(False)
+            F.col("doc_id").cast("long").eqNullSafe(F.col("__head.id"))
+            & (F.col("__version") == F.col("__head.__version")), F.lit(False)
         ).alias("kept"),
     )
 
@@ -268,10 +268,10 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADI
     version = F.xxhash64("text")
     found = near_duplicates(small.withColumn("hash", version), words, radius, tile)
     kept = cut(
-        found.where("kept").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct(), "kept"
+        found.where("kept").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")).distinct(), "kept"
     )
-    joined = docs.withColumn("_version", version).join(
-        kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_version") == F.col("_hash")), "left_semi"
+    joined = docs.withColumn("__version", version).join(
+        kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__version") == F.col("__hash")), "left_semi"
     )
     # One row of repeated ones; they share a partition after the join already.
-    return joined.dropDuplicates(["doc_id", "_version"]).drop("_version")
+    return joined.dropDuplicates(["doc_id", "__version"]).drop("__version")

@@ -10,10 +10,12 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -76,3 +78,13 @@ def put(df: DataFrame, schema_fields: str) -> str:
         for f in df.schema.fields if f.name.lower() not in names
     ]
     return ", ".join(kept + added)
+
+
+def keep_columns(docs: DataFrame, added: set[str], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows an operator returns, with the columns of ``docs`` only.
+
+    Columns of ``docs`` named like those the operator adds are set aside meanwhile.
+    """
+    aside = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c.lower() in added}
+    out = operator(docs.withColumnsRenamed(aside))
+    return out.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))

@@ -1,0 +1,54 @@
+import random
+from collections import defaultdict
+
+from filetrail.llm.line_dedup import dedup_lines
+from tests.llm.util import docs, rows
+
+LONG = "This line is long enough to be counted, yes it is."
+
+
+def brute(pairs, least=5, chars=40):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    holders = defaultdict(set)
+    for d, text in pairs:
+        for line in (text or "").split("\n"):
+            holders[line.strip(" \t\n\x0b\x0c\r").translate(lower)].add(d)
+    out = []
+    for d, text in pairs:
+        lines = (text or "").split("\n")
+        keys = [x.strip(" \t\n\x0b\x0c\r").translate(lower) for x in lines]
+        gone = [len(k) >= chars and len(holders[k]) >= least and d != max(holders[k]) for k in keys]
+        kept = "\n".join(x for x, g in zip(lines, gone, strict=True) if not g)
+        out.append((d, kept, len(lines), sum(gone)))
+    return sorted(out)
+
+
+def test_against_brute_force(spark):
+    r = random.Random(1)
+    pool = [LONG + str(i) for i in range(12)] + ["short", "", "  ", "É" * 40, "é" * 40]
+    pairs = []
+    for d in range(60):
+        lines = [r.choice(pool) for _ in range(r.randint(0, 9))]
+        lines = [r.choice([x, x.upper() if x.isascii() else x, f"\t {x}\r", x + "\xa0"]) for x in lines]
+        pairs.append((d, "\n".join(lines)))
+    got = rows(dedup_lines(docs(spark, pairs)), "doc_id", "text", "n_lines", "n_dropped")
+    assert got == brute(pairs)
+
+
+def test_nulls_repeats_and_other_columns(spark):
+    pairs = [(i, LONG) for i in range(1, 6)] + [(5, LONG), (1, LONG), (None, LONG), (7, None), (8, "")]
+    df = docs(spark, pairs, "n_lines pos key _drop keeper")
+    out = dedup_lines(df)
+    assert out.columns == ["doc_id", "text", "pos", "key", "_drop", "keeper", "n_lines", "n_dropped"]
+    got = rows(out, "doc_id", "text", "n_lines", "n_dropped")
+    assert got == [
+        (None, LONG, 1, 0), (1, "", 1, 1), (1, "", 1, 1), (2, "", 1, 1), (3, "", 1, 1), (4, "", 1, 1),
+        (5, LONG, 1, 0), (5, LONG, 1, 0), (7, "", 1, 0), (8, "", 1, 0),
+    ]
+
+
+def test_empty_table_and_long_text(spark):
+    assert dedup_lines(docs(spark, [])).count() == 0
+    text = "\n".join([LONG] * 20_000)
+    got = rows(dedup_lines(docs(spark, [(i, text) for i in range(5)])), "doc_id", "n_lines", "n_dropped")
+    assert got == [(i, 20_000, 20_000 if i < 4 else 0) for i in range(5)]

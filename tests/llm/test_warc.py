@@ -1,0 +1,98 @@
+import gzip
+import hashlib
+from pathlib import Path
+
+import pytest
+
+from filetrail.llm import warc as W
+from filetrail.llm.store import new_folder
+from tests.llm.util import rows
+
+PAGE = "<p>" + "page text é " * 20 + "</p>"
+
+
+def pages(spark, data):
+    return spark.createDataFrame(data, "page_id bigint, url string, html string").selectExpr("*", "'x' as payload_bytes")
+
+
+def brute(data, least=100):
+    bodies = [(p, (h or "").encode()) for p, _, h in data]
+    first = {}
+    for p, b in bodies:
+        first[b] = min(first.get(b, p), p)
+    out = []
+    for p, b in bodies:
+        again = len(b) >= least and first[b] != p
+        out.append((p, len(b), hashlib.sha256(b).hexdigest(), "revisit" if again else "response", first[b] if again else None))
+    return sorted(out, key=str)
+
+
+def test_pages_through_the_archives(spark):
+    data = [(i, f"http://h/{i}", PAGE + str(i % 7)) for i in range(3, 60)]
+    data += [(1, None, None), (2, "", ""), (70, "http://a b\n/\t", "short"), (71, "u", "short"), (72, "é", "\r\n\r\nHTTP/1.1"), (-5, "u", PAGE + "3")]
+    got = W.archive_pages(pages(spark, data))
+    assert sorted(rows(got, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), key=str) == brute(data)
+    assert W.archive_pages(pages(spark, [])).count() == 0
+
+
+def test_null_ids_and_repeated_rows(spark):
+    got = rows(W.archive_pages(pages(spark, [(None, "u", PAGE), (4, "u", PAGE), (4, "u", PAGE)])), "page_id", "record_type", "refers_to")
+    assert sorted(got, key=str) == sorted([(4, "response", None), (4, "revisit", 4), (None, "revisit", 4)], key=str)
+
+
+@pytest.mark.parametrize("version", [1, 2])
+@pytest.mark.parametrize("packed", [False, True])
+def test_both_versions_of_arc(spark, tmp_path, version, packed):
+    http = b"HTTP/1.0 200 OK\r\nContent-Type: text/plain\r\n\r\n" + b"body " * 40
+    other = b"1 ttl 2 A 10.0.0.1\n"
+    parts = [W.arc_begin(version)("old.arc"), W.arc_record(version, "http://x/1", "19970203040506", "text/plain", http)]
+    parts += [W.arc_record(version, "dns:x", "199702030405", "text/dns", other), W.arc_record(version, "http://x/2", "bad", "text/plain", http)]
+    path = tmp_path / f"old-{version}-{packed}.arc"
+    path.write_bytes(b"".join(gzip.compress(p) if packed else p for p in parts))
+    table = spark.createDataFrame([(str(path), "old.arc")], "path string, name string")
+    files = W.convert(table, new_folder(spark, "warc"))
+    got = {r["uri"]: r for r in W.read_records(files).collect()}
+    assert set(got) == {"http://x/1", "dns:x", "http://x/2"}
+    kinds = {u: (r["record_type"], r["date"], r["payload_bytes"]) for u, r in got.items()}
+    assert kinds["dns:x"] == ("resource", "1997-02-03T04:05:00Z", len(other))
+    assert sorted(k[0] for u, k in kinds.items() if u != "dns:x") == ["response", "revisit"]
+    assert kinds["http://x/1"][1:] == ("1997-02-03T04:05:06Z", 200)
+    ids = {r["record_id"] for r in got.values()}
+    revisit = next(r for r in got.values() if r["record_type"] == "revisit")
+    assert len(ids) == 3 and revisit["refers_to_id"] in ids and revisit["record_id"] != revisit["refers_to_id"]
+    again = W.read_records(W.convert(table, new_folder(spark, "warc")))
+    assert {r["record_id"] for r in again.collect()} == ids
+
+
+def test_header_lines_say_the_fields(tmp_path):
+    path = tmp_path / "odd.arc"
+    body = b"1 1 other\nURL IP-address Archive-date Content-type Archive-length\n"
+    path.write_bytes(
+        b"filedesc://odd 0.0.0.0 20000101000000 text/plain %d\n" % len(body) + body
+        + b"\nhttp://with blanks/in it 1.2.3.4 20000102000000 text/html 5\n12345\n\n\nhttp://y 1.2.3.4 2000 text/html 0\n\n"
+    )
+    found = list(W.read_arc(str(path)))
+    assert [(h["URL"], h["IP-address"], b) for _, h, b in found[1:]] == [
+        ("http://with blanks/in it", "1.2.3.4", b"12345"), ("http://y", "1.2.3.4", b""),
+    ]
+
+
+@pytest.mark.parametrize("tail", [b"http://x 0.0.0.0 20000101000000 text/html 50\nshort\n", b"no header here\n"])
+def test_broken_archives_fail(tmp_path, tail):
+    path = tmp_path / "bad.arc"
+    path.write_bytes(W.arc_begin(1)("bad") + tail)
+    with pytest.raises(ValueError, match="byte"):
+        list(W.read_arc(str(path)))
+
+
+def test_files_roll_over_and_follow_the_format(spark, monkeypatch):
+    monkeypatch.setattr(W, "FILE_RECORDS", 3)
+    folder = new_folder(spark, "warc")
+    arcs = W.write_arc(pages(spark, [(i, f"http://h/{i}", f"<p>{i}</p>" * 20) for i in range(10)]).coalesce(1), new_folder(spark, "arc"))
+    files = W.convert(arcs, folder)
+    assert W.read_records(files).count() == 10
+    records = [x for r in files.collect() for x in W.read_warc(r["path"])]
+    assert sum(f["warc-type"] == "warcinfo" for _, f, _ in records) == files.count()
+    path = files.first()["path"].removeprefix("file:")
+    text = gzip.decompress(Path(path).read_bytes())
+    assert text.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n") and text.endswith(b"\r\n\r\n")
