@@ -28,6 +28,12 @@ RADIUS = 2
 SEED = 42
 TILE = 16_384
 
+#: For similar, not nearly equal texts: wider fingerprints of longer shingles.
+SIMILAR_WORDS = 5
+SIMILARITY = 0.8
+SIMILAR_TILE = 4_096
+WIDE = 4
+
 _PARTS = 4  # 16-bit words of a fingerprint
 _LOWER = bytes(range(256)).lower()
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -52,7 +58,12 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     hashed = [xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)]
     if not hashed:
         return 0
-    octets = np.array(hashed, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return _majority(np.array(hashed, dtype=np.uint64))
+
+
+def _majority(hashed: np.ndarray) -> int:
+    """The bits set in over half of the values."""
+    octets = hashed.astype("<u8").view(np.uint8).reshape(-1, 8)
     # Counting byte values per place and weighting them by their bits is far less work
     # than spreading every hash into 64 numbers.
     seen = np.bincount((octets + _OFFSETS).ravel(), minlength=2048).reshape(8, 256)
@@ -60,6 +71,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(counts * 2 > len(hashed), bitorder="little").view("<u8")[0])
 
 
+def _mixed(hashed: np.ndarray, k: int) -> np.ndarray:
+    """The hashes themselves, or others made of them."""
+    if not k:
+        return hashed
+    x = hashed + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = [fingerprint(t, words) for t in batch.column("text").to_pylist()]
@@ -92,15 +113,21 @@ def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             labels = up
 
 
-def _compare(home: np.ndarray, guests: np.ndarray, n_home: int, radius: int) -> np.ndarray:
-    """Group labels over home rows followed by guests."""
-    labels = np.arange(n_home + len(guests))
-    block = max(1, 2_000_000 // max(1, n_home))
-    for first, rows in ((0, home), (n_home, guests)):
+def _compare(home: np.ndarray, guests: np.ndarray, radius: int) -> np.ndarray:
+    """Group labels over home rows followed by guests; a fingerprint is a row of words."""
+    labels = np.arange(len(home) + len(guests))
+    block = max(1, 2_000_000 // max(1, len(home)))
+    for first, rows in ((0, home), (len(home), guests)):
         for at in range(0, len(rows), block):
             part = rows[at:at + block]
-            near = np.bitwise_count(part[:, None] ^ home[None, :]) <= radius
-            a, b = np.nonzero(near)
+            bits = np.bitwise_count(part[:, None, 0] ^ home[None, :, 0])
+            if home.shape[1] > 1:
+                bits += np.bitwise_count(part[:, None, 1] ^ home[None, :, 1])
+            a, b = np.nonzero(bits <= radius)
+            if home.shape[1] > 2:
+                # Few pairs are still within the radius after two words.
+                near = np.bitwise_count(part[a] ^ home[b]).sum(axis=1, dtype=np.int64) <= radius
+                a, b = a[near], b[near]
             a = a + first + at
             other = a != b
             labels = _unite(labels, a[other], b[other])
@@ -108,16 +135,20 @@ def _compare(home: np.ndarray, guests: np.ndarray, n_home: int, radius: int) ->
 
 
 def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Links that join all near fingerprints of each group of rows; groups are sorted."""
+    """Links that join all near fingerprints of each group of rows; groups are sorted.
+
+    Columns: three that name the group, whether the row is a guest, its node, and the words
+    of its fingerprint, if they aren't the node itself.
+    """
     kept: list[np.ndarray] = []
 
     def group(rows: np.ndarray):
-        guest, fp = rows[:, 0], np.ascontiguousarray(rows[:, 1])
-        n = int((guest == 0).sum())
-        bits = fp.view(np.uint64)
-        labels = _compare(bits[:n], bits[n:], n, radius)
+        node = rows[:, 1]
+        words = np.ascontiguousarray(rows[:, min(2, rows.shape[1] - 1):]).view(np.uint64)
+        n = int((rows[:, 0] == 0).sum())
+        labels = _compare(words[:n], words[n:], radius)
         linked = np.flatnonzero(labels != np.arange(len(labels)))
-        return fp[linked], fp[labels[linked]]
+        return node[linked], node[labels[linked]]
 
     def out(found):
         a = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
@@ -126,22 +157,17 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
 
     last = None
     for batch in batches:
-        key = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
-        rows = np.stack([batch.column(i).to_numpy() for i in (3, 4)], axis=1)
+        columns = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+        key, rows = columns[:, :3], columns[:, 3:]
         if not len(rows):
             continue
-        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        parts = np.split(rows, cuts)
+        parts = np.split(rows, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1)
         found = []
         if last is not None and (key[0] == last).all():
             kept.append(parts.pop(0))
-            if parts:
-                found.append(group(np.concatenate(kept)))
-                kept = []
-        elif kept:
-            found.append(group(np.concatenate(kept)))
-            kept = []
         if parts:
+            if kept:
+                found.append(group(np.concatenate(kept)))
             found += [group(p) for p in parts[:-1] if len(p) > 1]
             kept = [parts[-1]]
         last = key[-1]
@@ -150,24 +176,12 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
         yield out([group(np.concatenate(kept))])
 
 
-def near_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Links ``(a, b)`` joining all pairs of near fingerprints, without listing the pairs.
+def _meet(rows: DataFrame, guests: DataFrame, columns: list[str], radius: int, tile: int) -> DataFrame:
+    """Links between the rows of each tile, and between them and its guests.
 
-    ``prints`` has one column of distinct fingerprints, ``fp``. Of the pairs found in one
-    task only those needed to connect them are returned.
+    Both tables have a ``tile`` and the ``columns``: a node and the words of its
+    fingerprint. The tiles must be few enough for a small table of their sizes.
     """
-    base = 17
-    digits = _counts(F.col("fp"))
-    home_tile = sum((c * base**i for i, c in enumerate(digits)), F.lit(0)).cast("long")
-    rows = prints.select("fp", F.array(*digits).alias("d"), home_tile.alias("tile"))
-    shift = F.array(*(F.array(*map(F.lit, d)) for d in _near(radius)))
-    guests = rows.select("fp", "d", F.explode(shift).alias("o")).select(
-        "fp", *((F.col("d")[i] + F.col("o")[i]).alias(f"c{i}") for i in range(_PARTS))
-    )
-    guests = guests.where(" and ".join(f"c{i} between 0 and 16" for i in range(_PARTS))).select(
-        "fp", sum((F.col(f"c{i}") * base**i for i in range(_PARTS)), F.lit(0)).cast("long").alias("tile")
-    )
-    # At most 17^4 tiles exist, so their sizes are a small table at any scale.
     home_n = rows.groupBy("tile").agg(F.count("*").alias("n"))
     guest_n = guests.groupBy("tile").agg(F.count("*").alias("g"))
     sizes = home_n.join(guest_n, "tile", "left").select(
@@ -176,39 +190,55 @@ def near_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Dat
         F.ceil(F.coalesce("g", F.lit(0)) / tile).cast("int").alias("blocks"),
     )
     sizes = F.broadcast(cut(sizes, "tiles"))
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    dealt = F.xxhash64(columns[0])
+    chunk = F.pmod(dealt, F.col("chunks")).cast("int")
+    block = F.pmod(dealt, F.col("blocks")).cast("int")
     # A group is one chunk of a tile with one block of guests. Guest block -1 - j holds
     # chunk j of the same tile, block 0 the chunk alone if nobody visits.
-    homes = rows.join(sizes, "tile").select("tile", chunk.alias("chunk"), "chunks", "blocks", "fp")
-    visits = guests.join(sizes, "tile").select(
-        "tile", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), block.alias("block"),
-        F.lit(1).alias("guest"), "fp",
-    )
+    homes = rows.join(sizes, "tile").select("tile", chunk.alias("chunk"), "chunks", "blocks", *columns)
     first = F.lit(0)
-    own = homes.select(
-        "tile", "chunk",
-        F.explode(F.concat(
-            F.sequence(first, F.greatest(F.col("blocks") - 1, first)),
-            F.when(F.col("chunk") + 1 < F.col("chunks"),
-                   F.transform(F.sequence(F.col("chunk") + 1, F.col("chunks") - 1), lambda j: -1 - j))
-            .otherwise(F.array().cast("array<int>")),
-        )).alias("block"),
-        F.lit(0).alias("guest"), "fp",
+    own = F.concat(
+        F.sequence(first, F.greatest(F.col("blocks") - 1, first)),
+        F.when(
+            F.col("chunk") + 1 < F.col("chunks"),
+            F.transform(F.sequence(F.col("chunk") + 1, F.col("chunks") - 1), lambda j: -1 - j),
+        ).otherwise(F.array().cast("array<int>")),
+    )
+    here = homes.select("tile", "chunk", F.explode(own).alias("block"), F.lit(0).alias("guest"), *columns)
+    visits = guests.join(sizes, "tile").select(
+        "tile", F.explode(F.sequence(first, F.col("chunks") - 1)).alias("chunk"), block.alias("block"),
+        F.lit(1).alias("guest"), *columns,
     )
     between = homes.where("chunk > 0").select(
         "tile", F.explode(F.sequence(first, F.col("chunk") - 1)).alias("chunk"),
-        (-1 - F.col("chunk")).alias("block"), F.lit(1).alias("guest"), "fp",
+        (-1 - F.col("chunk")).alias("block"), F.lit(1).alias("guest"), *columns,
     )
-    placed = own.unionAll(visits).unionAll(between)
-    placed = placed.select(
-        F.col("tile"), F.col("chunk").cast("long"), F.col("block").cast("long"),
-        F.col("guest").cast("long"), "fp",
+    placed = here.unionAll(visits).unionAll(between)
+    key = ["tile", "chunk", "block", "guest"]
+    placed = placed.select(*(F.col(c).cast("long").alias(c) for c in key), *columns)
+    grouped = placed.repartition("tile", "chunk", "block").sortWithinPartitions(*key)
+    return grouped.mapInArrow(lambda it: _links(it, radius), "a bigint, b bigint")
+
+
+def near_links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """Links ``(a, b)`` joining all pairs of near fingerprints, without listing the pairs.
+
+    ``prints`` has one column of distinct fingerprints, ``fp``. Of the pairs found in one
+    task only those needed to connect them are returned.
+    """
+    base = 17
+    digits = _counts(F.col("fp"))
+    home_tile = sum((c * base**i for i, c in enumerate(digits)), F.lit(0)).cast("long")
+    rows = prints.select("fp", F.array(*digits).alias("d"), home_tile.alias("tile"))
+    shift = F.array(*(F.array(*map(F.lit, d)) for d in _near(radius)))
+    guests = rows.select("fp", "d", F.explode(shift).alias("o")).select(
+        "fp", *((F.col("d")[i] + F.col("o")[i]).alias(f"c{i}") for i in range(_PARTS))
     )
-    grouped = placed.repartition("tile", "chunk", "block").sortWithinPartitions(
-        "tile", "chunk", "block", "guest"
+    guests = guests.where(" and ".join(f"c{i} between 0 and 16" for i in range(_PARTS))).select(
+        "fp", sum((F.col(f"c{i}") * base**i for i in range(_PARTS)), F.lit(0)).cast("long").alias("tile")
     )
-    return grouped.mapInArrow(lambda it: _links(it, radius), "a bigint, b bigint")
+    # At most 17^4 tiles exist, so their sizes are a small table at any scale.
+    return _meet(rows.select("tile", "fp"), guests, ["fp"], radius, tile)
 
 
 def _hex(fp: F.Column) -> F.Column:
@@ -261,17 +291,86 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
     )
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
-                         tile: int = TILE) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, as ``near_duplicates`` keeps it."""
-    small = docs.select("doc_id", "text")
-    version = F.xxhash64("text")
-    found = near_duplicates(small.withColumn("hash", version), words, radius, tile)
-    kept = cut(
-        found.where("kept").select(F.col("doc_id").alias("__id"), F.col("hash").alias("__hash")).distinct(), "kept"
+def _wide(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Shingle count and fingerprint of 256 bits of each text."""
+    for batch in batches:
+        found, sizes = [], []
+        for text in batch.column("text").to_pylist():
+            hashed = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)], dtype=np.uint64)
+            sizes.append(len(hashed))
+            found.append([_majority(_mixed(hashed, k)) for k in range(WIDE)])
+        table = np.array(found, dtype=np.uint64).reshape(-1, WIDE).view(np.int64)
+        names = [n for n in batch.schema.names if n != "text"]
+        columns = [batch.column(n) for n in names] + [pa.array(sizes, pa.int64()), *map(pa.array, table.T)]
+        yield pa.record_batch(columns, names=[*names, "size", *(f"w{k}" for k in range(WIDE))])
+
+
+def similar_classes(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY,
+                    tile: int = SIMILAR_TILE) -> DataFrame:
+    """``doc_id``, ``version`` (a hash of the text), ``head`` and ``head_version``.
+
+    Texts are linked if the angle between their vectors of word shingles, as the differing
+    bits of fingerprints of 256 bits tell it, is that of a Jaccard similarity of
+    ``similarity`` or more, and neither has more than 1 / ``similarity`` times the shingles
+    of the other. Tiles are bands of shingle counts, so only equal and neighbouring bands
+    meet. The head of a group is its smallest doc_id, a null one last.
+    """
+    ship(docs.sparkSession)
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text")
+    wide = ", ".join(f"w{k} bigint" for k in range(WIDE))
+    prints = slim.mapInArrow(lambda it: _wide(it, words), f"doc_id bigint, version bigint, size bigint, {wide}")
+    names = [f"w{k}" for k in range(WIDE)]
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "version")
+    band = F.floor(F.log(F.greatest("size", F.lit(1))) / -math.log(similarity)) + F.when(F.col("size") > 0, 1).otherwise(-1)
+    prints = cut(prints.select(
+        "doc_id", "version", F.xxhash64("size", *names).alias("node"), band.cast("long").alias("band"), *names
+    ), "wide")
+    classes = cut(prints.groupBy("node").agg(
+        F.min(first).alias("first"), F.min("band").alias("tile"), *(F.min(n).alias(n) for n in names)
+    ), "classes")
+    rows = classes.select("tile", "node", *names)
+    # The differing bits expected at the similarity, of texts of the same size.
+    radius = round(64 * WIDE * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    above = rows.withColumn("tile", F.col("tile") + 1)
+    groups = cut(connected(_meet(rows, above, ["node", *names], radius, tile)), "components")
+    groups = groups.select(F.col("node").alias("_node"), "component")
+    members = cut(
+        classes.join(groups, F.col("node") == F.col("_node"), "left").select(
+            "node", F.coalesce("component", "node").alias("component"), "first"
+        ), "members",
     )
-    joined = docs.withColumn("__version", version).join(
-        kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__version") == F.col("__hash")), "left_semi"
+    heads = cut(members.groupBy("component").agg(F.min("first").alias("head")), "heads")
+    heads = cut(members.join(heads, "component").select("node", "head"), "heads")
+    return prints.join(heads, "node").select(
+        "doc_id", "version", F.col("head.id").alias("head"), F.col("head.version").alias("head_version")
     )
-    # One row of repeated ones; they share a partition after the join already.
+
+
+def drop_similar(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY,
+                 tile: int = SIMILAR_TILE) -> DataFrame:
+    """``docs`` with one row of each group of similar texts, the head of ``similar_classes``.
+
+    Null, empty and blank texts are alike. Of repeated rows one stays; a row without doc_id
+    stays only if its group has no other. Columns pass through; an empty table stays empty.
+    """
+    found = similar_classes(docs.select("doc_id", "text"), words, similarity, tile)
+    kept = found.where("doc_id <=> head and version = head_version")
+    return _only(docs, kept.select(F.col("doc_id").alias("__id"), F.col("version").alias("__hash")))
+
+
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a kept doc_id and hash of the text, repeated ones once."""
+    kept = cut(kept.distinct(), "kept")
+    joined = docs.withColumn("__version", F.xxhash64("text")).join(
+        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__version") == F.col("__hash")), "left_semi"
+    )
+    # Repeated rows share a partition after the join already.
     return joined.dropDuplicates(["doc_id", "__version"]).drop("__version")
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
+                         tile: int = TILE) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates, as ``near_duplicates`` keeps it."""
+    small = docs.select("doc_id", "text").withColumn("hash", F.xxhash64("text"))
+    kept = near_duplicates(small, words, radius, tile).where("kept")
+    return _only(docs, kept.select(F.col("doc_id").cast("long").alias("__id"), F.col("hash").alias("__hash")))
