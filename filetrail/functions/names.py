@@ -8,7 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WINDOW_TIME = "yyyy.MM.dd.HH.mm.ss.SSS"
-WINDOW_ID_CHARS = 248
+#: Longest query name kept whole, in bytes; the id has to fit a folder name of 255.
+NAME_BYTES = 190
+ESCAPED_NAME_BYTES = 60
 DEFAULT_LAYOUT = "2006-01-02"
 
 # Reference-time layout element -> date_format pattern.
@@ -64,12 +66,21 @@ def target_name(base: str | Column, time: Column, layout: str = DEFAULT_LAYOUT)
 def window_id(
     name: str | Column, on_or_after: Column, on_or_before: Column, before_first: bool = False
 ) -> Column:
-    """Name, ``A<start>`` and ``B<end>``, cut to 248 characters.
+    """Name, ``A<start>`` and ``B<end>``; ids of different windows always differ.
 
-    ``before_first`` puts the end first, for a query whose filters list it first.
+    The bounds are never cut. A name too long for a folder is shortened to its beginning
+    and a hash of the whole; one with characters that folder names escape is too long
+    sooner. ``before_first`` puts the end first, for a query whose filters list it first.
     """
-    name = F.lit(name) if isinstance(name, str) else name
+    name = short_name(F.lit(name) if isinstance(name, str) else name)
     start = F.concat(F.lit("A"), F.date_format(on_or_after, WINDOW_TIME))
     end = F.concat(F.lit("B"), F.date_format(on_or_before, WINDOW_TIME))
     marks = [end, start] if before_first else [start, end]
-    return F.substring(F.concat(name, *marks), 1, WINDOW_ID_CHARS)
+    return F.concat(name, *marks)
+
+
+def short_name(name: Column) -> Column:
+    limit = F.when(name.rlike(r"^[A-Za-z0-9_. -]*\z"), NAME_BYTES).otherwise(ESCAPED_NAME_BYTES)
+    short = F.concat(F.regexp_replace(F.substring(name, 1, 32), "[^A-Za-z0-9_. -]", "_"),
+                     F.lit("-"), F.substring(F.sha2(name, 256), 1, 32))
+    return F.when(F.octet_length(name) <= limit, name).otherwise(short)

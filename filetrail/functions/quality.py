@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_USER_CHARS = 254
-MAX_TARGET_CHARS = 255
+# Lengths count bytes in UTF-8.
+MAX_USER_BYTES = 254
+MAX_TARGET_BYTES = 255
 
 # Fixed value: what counts as an e-mail address (the HTML5 form-field rule).
 EMAIL = (
@@ -20,8 +21,8 @@ FORBIDDEN_FIRST = ["_", "-", "+"]
 
 
 def valid_user_name(c: Column) -> Column:
-    """True for an e-mail address of at most 254 characters, also false for NULL."""
-    return F.coalesce((F.length(c) <= MAX_USER_CHARS) & c.rlike(EMAIL), F.lit(False))
+    """True for an e-mail address of at most 254 bytes, also false for NULL."""
+    return F.coalesce((F.octet_length(c) <= MAX_USER_BYTES) & c.rlike(EMAIL), F.lit(False))
 
 
 def target_name_problem(c: Column) -> Column:
@@ -34,5 +35,5 @@ def target_name_problem(c: Column) -> Column:
     return (
         out.when(c == ".", "is .")
         .when(c == "..", "is ..")
-        .when(F.length(c) > MAX_TARGET_CHARS, "too long")
+        .when(F.octet_length(c) > MAX_TARGET_BYTES, "too long")
     )

@@ -6,10 +6,10 @@ a host needs one equality lookup per label count: with ``d`` labels a normal rul
 makes the suffix d labels long, a wildcard d+1, an exception d-1. Exceptions win,
 then the longest suffix; without a match the last label is the suffix.
 
-The events do not move: each lookup is a join with the rule table, which is counted
-and broadcast (public lists have some ten thousand rules; a list above the limit is
-joined by shuffle). Hosts inside an array column cannot be joined, so
-:func:`domain_lookup` offers the same rules as a literal map.
+No event moves and nothing is joined: the rules become a literal array of small maps,
+and a lookup computes the map's place from a hash of the text, so its cost doesn't grow
+with the list. It works inside array columns as well. Rule lists are reference data the
+driver holds; there is no limit to their length.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from filetrail.functions.fields import omit_empty
 
 NORMAL, WILDCARD, EXCEPTION = 1, 2, 4
-MAX_RULES = 50_000
 
 
 def rules_by_base(rules: DataFrame) -> DataFrame:
@@ -67,68 +66,32 @@ def _domain_pair(domain: Column, n: Column) -> tuple[Column, Column]:
     return registered, omit_empty(last_labels(domain, n))
 
 
-def collect_rules(rules: DataFrame) -> list[Row] | None:
-    """The rules by base as driver rows, or None when there are too many of them."""
-    rows = rules_by_base(rules).limit(MAX_RULES + 1).collect()
-    return rows if len(rows) <= MAX_RULES else None
-
-
-def add_domains(df: DataFrame, url_col: str, rules: DataFrame,
-                rows: list[Row] | None = None) -> DataFrame:
-    """Fill ``registered_domain`` and ``top_level_domain`` of a URL struct column.
-
-    ``rows`` is the result of :func:`collect_rules`, if the caller has it already.
-    """
-    bases = rules_by_base(rules)
-    rows = collect_rules(rules) if rows is None else rows
-    if rows is None:
-        depth = bases.agg(F.max("depth")).first()[0]
-    else:
-        depth = max((r["depth"] for r in rows), default=0)
-    domain, labels, flags = F.col(url_col)["domain"], F.col("_labels"), {}
-    df = df.withColumn("_labels", label_count(domain))
-    for d in range(1, depth + 1):
-        side = bases.where(F.col("depth") == d).select(
-            F.col("base").alias(f"_base_{d}"), F.col("flags").alias(f"_flags_{d}")
-        )
-        tail = F.when(labels >= d, last_labels(domain, d))
-        df = df.join(
-            F.broadcast(side) if rows is not None else side, tail == F.col(f"_base_{d}"), "left"
-        ).drop(f"_base_{d}")
-        flags[d] = F.col(f"_flags_{d}")
-    df = df.withColumn("_suffix_labels", _suffix_labels(labels, flags))
-    registered, suffix = _domain_pair(domain, F.col("_suffix_labels"))
-    filled = F.col(url_col).withField("registered_domain", registered)
-    filled = filled.withField("top_level_domain", suffix)
-    return df.withColumn(url_col, filled).drop(
-        "_labels", "_suffix_labels", *[f"_flags_{d}" for d in flags]
-    )
+def collect_rules(rules: DataFrame) -> list[Row]:
+    """The rules by base as driver rows, each with the hash that says where it is kept."""
+    return rules_by_base(rules).withColumn("hash", F.xxhash64("base")).collect()
 
 
 def domain_lookup(rules: DataFrame,
                   rows: list[Row] | None = None) -> Callable[[Column], tuple[Column, Column]]:
-    """``domain -> (registered, suffix)`` as expressions, for use inside array lambdas.
+    """``domain -> (registered, suffix)`` as expressions, also for use inside array lambdas.
 
-    The rules become a literal map by last label, then by base, so that a lookup
-    scans the few rules under one top-level label. Rule lists are of fixed size;
-    more than ``MAX_RULES`` of them is refused.
+    ``rows`` is the result of :func:`collect_rules`, if the caller has it already.
     """
     rows = collect_rules(rules) if rows is None else rows
-    if rows is None:
-        raise ValueError(f"more than {MAX_RULES} suffix rules: not a public-suffix list")
-    by_last: dict[str, dict[str, int]] = {}
+    places = max(1, len(rows))
+    kept: list[dict[str, int]] = [{} for _ in range(places)]
     for r in rows:
-        by_last.setdefault(r["base"].rpartition(".")[2], {})[r["base"]] = r["flags"]
-    literal = F.from_json(F.lit(json.dumps(by_last)), "map<string,map<string,int>>")
+        kept[r["hash"] % places][r["base"]] = r["flags"]
+    literal = F.from_json(F.lit(json.dumps(kept)), "array<map<string,int>>")
     depths = range(1, max((r["depth"] for r in rows), default=0) + 1)
 
+    def flags_of(text: Column) -> Column:
+        place = F.pmod(F.xxhash64(text), F.lit(places)).cast("int")
+        return F.try_element_at(F.get(literal, place), text)
+
     def lookup(domain: Column) -> tuple[Column, Column]:
-        local = F.try_element_at(literal, last_labels(domain, 1))
         flags = {
-            d: F.when(
-                label_count(domain) >= d, F.try_element_at(local, last_labels(domain, d))
-            )
-            for d in depths
+            d: F.when(label_count(domain) >= d, flags_of(last_labels(domain, d))) for d in depths
         }
         n = F.array(_suffix_labels(label_count(domain), flags))
         pairs = F.transform(n, lambda n: F.array(*_domain_pair(domain, n)))
@@ -136,3 +99,14 @@ def domain_lookup(rules: DataFrame,
         return F.get(pair, F.lit(0)), F.get(pair, F.lit(1))
 
     return lookup
+
+
+def add_domains(df: DataFrame, url_col: str, rules: DataFrame,
+                rows: list[Row] | None = None) -> DataFrame:
+    """Fill ``registered_domain`` and ``top_level_domain`` of a URL struct column."""
+    registered, suffix = domain_lookup(rules, rows)(F.col("_domain"))
+    found = df.withColumn("_domain", F.col(url_col)["domain"])
+    found = found.withColumn("_pair", F.array(registered, suffix))
+    filled = F.col(url_col).withField("registered_domain", F.get("_pair", F.lit(0)))
+    filled = filled.withField("top_level_domain", F.get("_pair", F.lit(1)))
+    return found.withColumn(url_col, filled).drop("_domain", "_pair")

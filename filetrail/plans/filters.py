@@ -116,9 +116,9 @@ def instant(t: datetime) -> Column:
 
 
 def matches(c: Column, value: str) -> Column:
-    """``IS``: equality; ``*`` alone means present; other ``*`` match any text."""
+    """``IS``: equality; ``*`` alone means present, not empty; other ``*`` match any text."""
     if value == "*":
-        return c.isNotNull()
+        return F.coalesce(c.cast("string") != "", F.lit(False))
     if "*" not in value:
         return c == value
     escaped = value.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
@@ -130,12 +130,14 @@ def compile_filters(
     window: tuple[datetime | None, datetime | None] | None = None,
     times: Mapping[str, Column] | None = None,
     columns: Mapping[str, Column] | None = None,
+    strict: bool = False,
 ) -> Column:
     """One predicate for the whole tree, optionally with other time bounds.
 
     ``times`` gives the timestamp column for a time term and ``columns`` the column
     for another term, when they are not raw text columns. The end bound is inclusive
-    at millisecond precision, so it is read as "before the next millisecond".
+    at millisecond precision, so it is read as "before the next millisecond". With
+    ``strict``, a time text that doesn't parse fails the query instead of being left out.
     """
     if window is not None:
         spec = with_bounds(spec, *window)
@@ -151,33 +153,35 @@ def compile_filters(
                 terms.append(_is(c, f))
             elif f.operator in (AFTER, BEFORE):
                 if id(f) in first:  # later bounds are ignored
-                    terms += _bound(f, (times or {}).get(f.term))
+                    terms += _bound(f, (times or {}).get(f.term), strict)
             else:
                 raise ValueError(f"filter operator not supported: {f.operator}")
     return reduce(lambda a, b: a & b, terms, F.lit(True))
 
 
 def _is(c: Column, f: Filter) -> Column:
-    if f.term in RAW_LISTS and f.value != "*":
+    if f.term in RAW_LISTS:
+        if f.value == "*":
+            return F.coalesce(F.size(c) > 0, F.lit(False))
         return F.exists(c, lambda item: matches(item, f.value))
     return matches(c, f.value)
 
 
-def _bound(f: Filter, column: Column | None) -> list[Column]:
+def _bound(f: Filter, column: Column | None, strict: bool = False) -> list[Column]:
     t = _time(f.value)
     if t is None:
         return []
     typed = column is not None
     if not typed:
         parse = insertion_time if f.term == "insertionTimestamp" else event_time
-        column = parse(F.col(f.term))
+        column = parse(F.col(f.term), strict)
     terms = [column >= instant(t) if f.operator == AFTER else column < instant(t + MILLISECOND)]
-    if not typed:
+    if not typed and not strict:
         # Time text starts with its date, so comparing dates as text is a safe
         # coarse test that the file reader can use to skip data.
         raw = F.col(f.term)
         if f.operator == AFTER:
-            terms.append(raw >= t.strftime("%Y-%m-%d"))
+            terms.append(raw >= t.date().isoformat())
         else:
-            terms.append(raw < (t + MILLISECOND + timedelta(days=1)).strftime("%Y-%m-%d"))
+            terms.append(raw < (t + MILLISECOND + timedelta(days=1)).date().isoformat())
     return terms

@@ -45,9 +45,9 @@ class Options:
         return modes[self.mode.lower()]
 
 
-def time_column(term: str) -> Column:
+def time_column(term: str, strict: bool = False) -> Column:
     parse = insertion_time if term == "insertionTimestamp" else event_time
-    return parse(F.col(term))
+    return parse(F.col(term), strict)
 
 
 def shape(events: DataFrame, spec: QuerySpec, options: Options, as_of: datetime,
@@ -105,9 +105,11 @@ def pull_windows(raw: DataFrame, spec: QuerySpec, windows: DataFrame, as_of: dat
     if low is None:
         events = raw.where(F.lit(False))
     else:
-        span = compile_filters(_bounded(spec), window=(_aware(low), _aware(high)))
+        window = (_aware(low), _aware(high))
+        span = compile_filters(_bounded(spec), window, strict=options.strict)
         events = raw.where(span)
-    events = assign_windows(events, time_column(spec.time_term), windows, spec.gap)
+    time = time_column(spec.time_term, options.strict)
+    events = assign_windows(events, time, windows, spec.gap)
     return shape(events, spec, options, as_of, cache, rules)
 
 

@@ -47,8 +47,12 @@ def with_field_aliases(df: DataFrame, aliases: Mapping[str, str] = FIELD_ALIASES
 
 
 def existing_targets(spark: SparkSession, name: str) -> DataFrame:
-    """Targets the table has, from its partitions."""
-    return spark.table(name).select("target").distinct()
+    """Targets the table has, from the partitions the catalog lists; no file is read."""
+    listed = spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": name})
+    value = F.regexp_extract("partition", "(?:^|/)target=([^/]*)", 1)
+    # Folder names escape some characters as %XX.
+    plain = F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+    return listed.select(plain.alias("target")).distinct()
 
 
 def write_targets(df: DataFrame, path: str, fmt: str = "parquet", append: bool = False,

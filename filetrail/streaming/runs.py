@@ -36,13 +36,21 @@ def _trigger(interval: str | None) -> dict:
 
 def drop_repeats(source: DataFrame, time: Column, key: str = "eventId",
                  within: str = DEFAULT_LAG) -> DataFrame:
-    """Optional: drop events whose id was seen within the given time."""
-    return (
-        source.withColumn("_time", time)
+    """Optional: drop events whose id was seen within the given time.
+
+    Events without an id can't repeat one and pass through. Events with an id that come
+    later than ``within`` behind the newest are dropped too, as their id may have been
+    forgotten; give a time longer than events are late.
+    """
+    named = F.col(key).isNotNull() & (F.col(key) != "")
+    once = (
+        source.where(named)
+        .withColumn("_time", time)
         .withWatermark("_time", within)
         .dropDuplicatesWithinWatermark([key])
         .drop("_time")
     )
+    return once.unionByName(source.where(F.coalesce(~named, F.lit(True))))
 
 
 def start_stream(source: DataFrame, spec: QuerySpec, path: str,
@@ -53,8 +61,8 @@ def start_stream(source: DataFrame, spec: QuerySpec, path: str,
 
     Each micro-batch writes its own ``target=.../window_id=batch-<n>`` folders and
     replaces them when it is replayed, so the output holds every row once. The
-    processing time is the batch's own, which a replay repeats. The geo cache at
-    ``cache_path`` is read anew for every micro-batch.
+    processing time is the batch's own, which a replay repeats, and locations are taken
+    as of that time. The geo cache at ``cache_path`` is read anew for every micro-batch.
     """
     spark = source.sparkSession
     start, _ = bounds(spec)
@@ -64,14 +72,23 @@ def start_stream(source: DataFrame, spec: QuerySpec, path: str,
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if by_window:
-            batch = assign_tumbling(batch, time_column(spec.time_term), start, spec.gap)
+            time = time_column(spec.time_term, options.strict)
+            batch = assign_tumbling(batch, time, start, spec.gap)
             batch = batch.withColumn("query_name", F.lit(spec.name))
-        cache = load_cache(batch.sparkSession, cache_path) if cache_path else None
-        rows = shape(batch, spec, options, datetime.now(UTC), cache, rules, "_processed_at")
+        cache, as_of = None, datetime.now(UTC)
+        if cache_path:
+            # Kept, so that asking for the batch's time doesn't read and count it twice.
+            batch = batch.persist()
+            found = batch.agg(F.max("_processed_at")).first()[0]
+            as_of = found.astimezone(UTC) if found else as_of
+            cache = load_cache(batch.sparkSession, cache_path)
+        rows = shape(batch, spec, options, as_of, cache, rules, "_processed_at")
         write_targets(rows.withColumn("window_id", F.lit(f"batch-{batch_id}")), path, fmt)
+        if cache_path:
+            batch.unpersist()
 
     return (
-        source.where(compile_filters(spec))
+        source.where(compile_filters(spec, strict=options.strict))
         .withColumn("_processed_at", F.current_timestamp())
         .observe("events", F.count(F.lit(1)).alias("n_events"))
         .writeStream.queryName(spec.name)

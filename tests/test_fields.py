@@ -1,3 +1,6 @@
+import hashlib
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -134,7 +137,18 @@ def test_window_id(spark):
                     K.window_id("x" * 300, a, b)).first()
     assert ids[0] == "qA2024.01.01.00.00.00.000B2024.01.01.00.00.09.999"
     assert ids[1] == "qB2024.01.01.00.00.09.999A2024.01.01.00.00.00.000"
-    assert ids[2] == "x" * 248
+    digest = hashlib.sha256(b"x" * 300).hexdigest()[:32]
+    assert ids[2] == f"{'x' * 32}-{digest}A2024.01.01.00.00.00.000B2024.01.01.00.00.09.999"
+
+
+@pytest.mark.parametrize("name", ["x" * 190, "x" * 191, "é" * 60, "a:/=%" * 40, "q r.s-t_u"])
+def test_window_ids_fit_a_folder_and_keep_their_bounds(spark, name):
+    starts = [utc(2024, 1, 1, 0, 0, s) for s in range(30)]
+    df = spark.createDataFrame([(t,) for t in starts], "a timestamp")
+    ids = {r[0] for r in df.select(K.window_id(name, F.col("a"), F.col("a"))).collect()}
+    assert len(ids) == 30
+    escaped = [re.sub(r'["#%\'*/:=?\\\x7f{\[\]^]', "%00", i) for i in ids]
+    assert max(len(f"window_id={i}".encode()) for i in escaped) <= 255
 
 
 def test_target_name_problems(spark):

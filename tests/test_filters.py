@@ -88,3 +88,20 @@ def test_predicates_reach_the_scan(spark, tmp_path):
 def test_gap_is_kept():
     s = QuerySpec.from_dict({"name": "q", "groups": [], "gap": timedelta(hours=1)})
     assert s.gap == timedelta(hours=1) and s.time_term == "eventTimestamp"
+
+
+def test_presence_ignores_empty_values(spark):
+    rows = [{"eventId": str(i), "fileName": n, "exposure": e} for i, (n, e) in enumerate(
+        [("f", ["x"]), ("", []), (None, None), (" ", ["y"])])]
+    df = raw_rows(spark, rows)
+    assert ids(df, spec(("IS", "fileName", "*"))) == ["0", "3"]
+    assert ids(df, spec(("IS", "exposure", "*"))) == ["0", "3"]
+
+
+def test_strict_times_fail_in_the_predicate(spark):
+    df = raw_rows(spark, [{"eventId": "1", "insertionTimestamp": "2020-01-01T00:00:01Z"},
+                          {"eventId": "2", "insertionTimestamp": "no time"}])
+    s = spec((*A, "2020-01-01T00:00:00Z"))
+    assert ids(df, s) == ["1"]
+    with pytest.raises(Exception, match="not an event time"):
+        ids(df, s, strict=True)

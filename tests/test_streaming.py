@@ -137,3 +137,16 @@ def test_repeats_can_be_dropped(spark, tmp_path):
     df = runs.drop_repeats(stream_raw(spark, src), time_column("eventTimestamp"))
     rows = collect_stream(spark, df.select("eventId"), "once", str(tmp_path / "ck"))
     assert sorted(r[0] for r in rows) == ["1", "2"]
+
+
+def test_events_without_an_id_all_pass(spark, tmp_path):
+    src = str(tmp_path / "ids")
+    ids = ["a", "a", None, None, None, "", ""]
+    rows = [{"eventId": i, "eventTimestamp": "2024-01-01T00:00:00Z"} for i in ids]
+    raw_rows(spark, rows).write.json(src)
+    df = runs.drop_repeats(stream_raw(spark, src), time_column("eventTimestamp"))
+    q = df.writeStream.format("memory").queryName("no_ids").trigger(availableNow=True).option(
+        "checkpointLocation", str(tmp_path / "c")).start()
+    q.awaitTermination()
+    got = [r[0] or "" for r in spark.table("no_ids").select("eventId").collect()]
+    assert sorted(got) == [""] * 5 + ["a"]

@@ -105,9 +105,9 @@ def expected_domains(domain, rules):
 def domains_of(spark, hosts, rules):
     df = column(spark, [f"http://{h}/" for h in hosts], name="url")
     rules = spark.createDataFrame(rules, SUFFIX_RULES)
-    by_join = add_domains(U.with_url_info(df, "url", "u"), "u", rules)
+    filled = add_domains(U.with_url_info(df, "url", "u"), "u", rules)
     tabs = F.array(F.struct(F.lit("t").alias("title"), F.col("url").alias("url")))
-    both = by_join.withColumn("t", U.tab_list(tabs, domain_lookup(rules))[0]["url"])
+    both = filled.withColumn("t", U.tab_list(tabs, domain_lookup(rules))[0]["url"])
     rows = both.orderBy("i").select("u", "t").collect()
     assert all(r["u"] == r["t"] for r in rows)  # joined and literal rules agree
     return [(r["u"]["registered_domain"], r["u"]["top_level_domain"]) for r in rows]
@@ -149,4 +149,19 @@ def test_events_do_not_move_for_domains(spark):
     rules = spark.createDataFrame(RULES, SUFFIX_RULES)
     plan = add_domains(U.with_url_info(df, "url", "u"), "u", rules)._jdf.queryExecution()
     text = plan.executedPlan().toString()
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "Join" not in text
+
+
+def test_a_long_rule_list(spark):
+    """60,000 rules for events and tabs alike; the cost of a lookup doesn't grow."""
+    made = spark.range(60_000).selectExpr("concat('zone', id, '.com') as rule", "'normal' as kind")
+    rules = spark.createDataFrame(RULES, SUFFIX_RULES).unionByName(made)
+    df = column(spark, ["http://a.b.zone59999.com/x", "http://q.co.uk", "http://w.zone60000.com"], name="url")
+    df = add_domains(U.with_url_info(df, "url", "u"), "u", rules)
+    found = df.orderBy("i").select("u.registered_domain", "u.top_level_domain").collect()
+    assert [tuple(r) for r in found] == [
+        ("b.zone59999.com", "zone59999.com"), ("q.co.uk", "co.uk"), ("zone60000.com", "com"),
+    ]
+    tabs = F.array(F.struct(F.lit("t").alias("title"), F.col("url").alias("url")))
+    tab = U.tab_list(tabs, domain_lookup(rules))[0]["url"]["registered_domain"]
+    assert df.orderBy("i").select(tab).collect()[0][0] == "b.zone59999.com"
