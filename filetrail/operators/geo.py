@@ -23,8 +23,6 @@ DEFAULT_FIELDS = (
 )
 
 BROADCAST_ROWS = 200_000
-HOT_ROWS = 2_000_000
-NULL_SPREAD = 4096
 
 
 def project_location(location: Column, fields: str = "") -> Column:
@@ -121,57 +119,32 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 def enrich_geo(events: DataFrame, cache: DataFrame, as_of: datetime,
                ip_col: str = "publicIpAddress", lang: str = "", fields: str = "",
-               out: str = "geo", broadcast_rows: int = BROADCAST_ROWS,
-               hot_rows: int = HOT_ROWS, spread_by: tuple[str, ...] = ("eventId",)) -> DataFrame:
+               out: str = "geo", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Left lookup of every event's address in the fresh cache, as struct column ``out``.
 
-    Events are never dropped or multiplied; an absent address matches nothing. A
-    cache of at most ``broadcast_rows`` rows is broadcast and the events stay where
-    they are. A larger one is joined by shuffle, with the rows of each address that
-    has more than ``hot_rows`` events, and the rows without an address, spread over
-    several tasks by the ``spread_by`` columns.
+    Events are never dropped or multiplied; an absent address matches nothing. If at
+    most ``broadcast_rows`` locations are fresh in the language, they are broadcast and
+    the events stay where they are. More are joined by shuffle.
     """
     asked = cache.where(F.col("lang") == lang).withColumn(
         "location", project_location(F.col("location"), fields)
     )
     locations = fresh(asked, as_of).select(F.col("ip").alias("_ip"), F.col("location").alias(out))
     key = omit_empty(F.col(ip_col))
-    if fits_broadcast(cache, broadcast_rows):
+    if fits_broadcast(locations, broadcast_rows):
         joined = events.join(F.broadcast(locations), key == F.col("_ip"), "left")
         return joined.drop("_ip")
-    return _spread_join(events, locations, key, hot_rows, spread_by).drop("_ip")
-
-
-def _spread_join(events: DataFrame, locations: DataFrame, key: Column, hot_rows: int,
-                 spread_by: tuple[str, ...]) -> DataFrame:
-    # At most (events / hot_rows) addresses are hot, so this list stays small.
-    hot = F.broadcast(
-        events.select(key.alias("_hot_ip"))
-        .where(F.col("_hot_ip").isNotNull())
-        .groupBy("_hot_ip")
-        .count()
-        .where(F.col("count") > hot_rows)
-        .select("_hot_ip", F.ceil(F.col("count") / hot_rows).alias("_copies"))
-    )
-    # The salt depends on what a row holds and on its partition, not on its position,
-    # so a task that is run again sends its rows to the same places. The partition
-    # spreads copies of one event.
-    parts = [c for c in spread_by if c in events.columns] or [
-        f.name for f in events.schema if "map<" not in f.dataType.simpleString()
-    ]
-    row = F.xxhash64(F.spark_partition_id(), *parts)
-    salt = (
-        F.when(key.isNull(), F.pmod(row, F.lit(NULL_SPREAD)))
-        .when(F.col("_copies").isNotNull(), F.pmod(row, F.col("_copies")))
-        .otherwise(0)
-    )
-    left = events.join(hot, key == F.col("_hot_ip"), "left").withColumn("_salt", salt)
-    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_copies", F.lit(1)) - 1)
-    right = (
-        locations.join(hot, F.col("_ip") == F.col("_hot_ip"), "left")
-        .withColumn("_copy", F.explode(copies))
-        .drop("_hot_ip", "_copies")
+    return _spread_join(events, locations, key).drop("_ip")
+
+
+def _spread_join(events: DataFrame, locations: DataFrame, key: Column) -> DataFrame:
+    """The left lookup by shuffle; adaptive execution splits the rows of a busy address.
+
+    Rows without an address match nothing, so they stay where they are.
+    """
+    found = events.where(key.isNotNull()).join(
+        locations.hint("merge"), key == F.col("_ip"), "left"
     )
-    return left.join(
-        right, (key == F.col("_ip")) & (F.col("_salt") == F.col("_copy")), "left"
-    ).drop("_hot_ip", "_copies", "_salt", "_copy")
+    bare = events.where(key.isNull())
+    absent = [F.lit(None).cast(f.dataType).alias(f.name) for f in locations.schema]
+    return found.unionAll(bare.select("*", *absent))

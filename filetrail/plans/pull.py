@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,22 @@ from filetrail.functions.names import window_id
 from filetrail.operators.geo import enrich_geo
 from filetrail.operators.normalize import flatten_raw, normalize
 from filetrail.operators.routing import route, routing_time
-from filetrail.operators.windows import SETTLE_LAG, assign_windows, open_windows, plan_windows
-from filetrail.plans.filters import AFTER, BEFORE, Filter, Group, QuerySpec, compile_filters
+from filetrail.operators.windows import (
+    SETTLE_LAG,
+    assign_tumbling,
+    assign_windows,
+    open_windows,
+    plan_windows,
+)
+from filetrail.plans.filters import (
+    AFTER,
+    BEFORE,
+    Filter,
+    Group,
+    QuerySpec,
+    bounds,
+    compile_filters,
+)
 from filetrail.schemas import GEO
 from filetrail.sources.state import append_windows, load_windows, query_table
 
@@ -101,6 +116,13 @@ def pull_windows(raw: DataFrame, spec: QuerySpec, windows: DataFrame, as_of: dat
 
     The range the windows span is part of the predicate, so the scan skips the rest.
     """
+    events = window_events(raw, spec, windows, options)
+    return shape(events, spec, options, as_of, cache, rules)
+
+
+def window_events(raw: DataFrame, spec: QuerySpec, windows: DataFrame,
+                  options: Options = Options()) -> DataFrame:
+    """The events of the given windows, which may have any bounds, found by a join."""
     low, high = windows.agg(F.min("on_or_after"), F.max("on_or_before")).first()
     if low is None:
         events = raw.where(F.lit(False))
@@ -109,8 +131,20 @@ def pull_windows(raw: DataFrame, spec: QuerySpec, windows: DataFrame, as_of: dat
         span = compile_filters(_bounded(spec), window, strict=options.strict)
         events = raw.where(span)
     time = time_column(spec.time_term, options.strict)
-    events = assign_windows(events, time, windows, spec.gap)
-    return shape(events, spec, options, as_of, cache, rules)
+    return assign_windows(events, time, windows, spec.gap)
+
+
+def new_events(raw: DataFrame, spec: QuerySpec, first: datetime, as_of: datetime,
+               options: Options = Options()) -> DataFrame:
+    """The events of the windows that are planned from ``first`` on, by arithmetic.
+
+    However many windows there are, nothing is joined and no event moves.
+    """
+    _, end = bounds(spec)
+    events = raw.where(compile_filters(_bounded(spec), (first, end), strict=options.strict))
+    time = time_column(spec.time_term, options.strict)
+    found = assign_tumbling(events, time, first, spec.gap, max_time=end, as_of=as_of)
+    return found.withColumn("query_name", F.lit(spec.name))
 
 
 def _bounded(spec: QuerySpec) -> QuerySpec:
@@ -135,17 +169,30 @@ def run_pull(raw: DataFrame, spec: QuerySpec, state_path: str,
     Pending are windows a crash left open, with their own bounds, and the new ones up
     to ``as_of`` less the settle lag. New windows are logged as open first, then the
     rows are written, then all are logged as completed: a crash in between repeats
-    the windows, and the sinks replace what an earlier run of a window wrote.
+    the windows, and the sinks replace what an earlier run of a window wrote. Only
+    windows left open are joined with the events; new ones are regular.
     Returns the number of windows pulled.
     """
     spark = raw.sparkSession
     mine = F.col("query_name") == spec.name
     known = load_windows(spark, state_path).where(mine)
     queries = query_table(spark, [spec], started_at)
-    append_windows(plan_windows(known, queries, as_of, SETTLE_LAG), state_path, "open")
+    left = open_windows(known).count()
+    planned = plan_windows(known, queries, as_of, SETTLE_LAG)
+    first = planned.agg(F.min("on_or_after")).first()[0]
+    parts = []
+    if left:
+        # The files of ``known`` were listed before the new windows are added to the log.
+        parts.append(window_events(raw, spec, open_windows(known), options))
+    if first is not None:
+        append_windows(planned, state_path, "open")
+        parts.append(new_events(raw, spec, _aware(first), as_of, options))
+    if not parts:
+        return 0
     pending = open_windows(load_windows(spark, state_path).where(mine))
     n = pending.count()
-    if n:
-        write(pull_windows(raw, spec, pending, as_of, options, cache, rules))
-        append_windows(pending, state_path, "completed")
+    columns = parts[0].columns
+    events = reduce(lambda a, b: a.unionByName(b.select(*columns)), parts)
+    write(shape(events, spec, options, as_of, cache, rules))
+    append_windows(pending, state_path, "completed")
     return n

@@ -78,7 +78,8 @@ def append_windows(windows: DataFrame, path: str, status: str | None = None) ->
     """Add rows to the window log, with ``status`` in place of their own if given."""
     if status:
         windows = windows.withColumn("status", F.lit(status))
-    windows.select(*WINDOWS.fieldNames()).coalesce(1).write.mode("append").parquet(path)
+    rows = windows.select(*WINDOWS.fieldNames())
+    rows.hint("rebalance").write.mode("append").parquet(path)
 
 
 def load_windows(spark: SparkSession, path: str) -> DataFrame:

@@ -123,3 +123,14 @@ def test_enriched_pull_in_both_modes(spark):
 def test_no_windows_give_no_rows(spark):
     none = spark.createDataFrame([], WINDOWS)
     assert pull_windows(events(spark, 3), SPEC, none, T0).count() == 0
+
+
+def test_a_long_backfill_moves_no_event(spark, tmp_path):
+    """A year of windows of 10 s: events are assigned by arithmetic."""
+    seen = []
+
+    def look(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+
+    n = run_pull(events(spark, 3), SPEC, str(tmp_path / "s"), look, T0 + timedelta(days=365), T0)
+    assert n > 3_000_000 and "Exchange" not in seen[0] and "Join" not in seen[0]

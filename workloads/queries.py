@@ -971,10 +971,8 @@ def geo_join(spark, sf):
     "min(event_id) as first_id from raw left join geo on nullif(publicIpAddress, '') = ip group by 1"
 )
 def geo_join_spread(spark, sf):
-    # The path for caches too large to broadcast, with every busy address salted.
-    rich = G.enrich_geo(
-        raw_events(spark, sf), nation_cache(spark, sf), AS_OF, broadcast_rows=0, hot_rows=100
-    )
+    # The path for caches too large to broadcast.
+    rich = G.enrich_geo(raw_events(spark, sf), nation_cache(spark, sf), AS_OF, broadcast_rows=0)
     return rich.groupBy(F.col("geo.country").alias("country_name")).agg(
         F.count("*").alias("n_events"), F.min("event_id").alias("first_id")
     )
