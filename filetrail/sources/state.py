@@ -22,7 +22,7 @@ from filetrail.schemas import GEO, GEO_CACHE, QUERIES, WINDOWS
 VERSIONS = T.StructType([T.StructField("version", T.LongType())])
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """The table at ``path``, or an empty one when nothing was written yet."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -33,7 +33,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def cache_version(spark: SparkSession, path: str) -> int | None:
-    return _read(spark, f"{path}/versions", VERSIONS).agg(F.max("version")).first()[0]
+    return read_log(spark, f"{path}/versions", VERSIONS).agg(F.max("version")).first()[0]
 
 
 def save_cache(df: DataFrame, path: str) -> int:
@@ -87,7 +87,7 @@ def load_windows(spark: SparkSession, path: str) -> DataFrame:
 
     Appending this to a new path compacts a log that has grown.
     """
-    return current_windows(_read(spark, path, WINDOWS))
+    return current_windows(read_log(spark, path, WINDOWS))
 
 
 def query_table(spark: SparkSession, specs: list[QuerySpec], started_at: datetime) -> DataFrame:

@@ -17,8 +17,11 @@ from filetrail.operators.windows import SETTLE_LAG, assign_tumbling
 from filetrail.plans.filters import QuerySpec, bounds, compile_filters
 from filetrail.plans.pull import Options, shape, time_column
 from filetrail.sinks.targets import write_targets
-from filetrail.sources.state import load_cache
+from filetrail.sources.state import load_cache, read_log
 
+#: Spark remembers the durations of the last 100 micro-batches, if not set otherwise.
+SAVE_EVERY = 50
+DURATIONS = "query_name string, batch_id long, n_events long, stage string, millis long"
 DEFAULT_LAG = f"{SETTLE_LAG // timedelta(minutes=1)} minutes"
 
 
@@ -56,13 +59,16 @@ def drop_repeats(source: DataFrame, time: Column, key: str = "eventId",
 def start_stream(source: DataFrame, spec: QuerySpec, path: str,
                  checkpoint: str | None = None, interval: str | None = None,
                  options: Options = Options(), rules: DataFrame | None = None,
-                 cache_path: str | None = None, fmt: str = "parquet") -> StreamingQuery:
+                 cache_path: str | None = None, fmt: str = "parquet",
+                 durations_path: str | None = None) -> StreamingQuery:
     """Start one named query; without ``interval`` it reads what is there and stops.
 
     Each micro-batch writes its own ``target=.../window_id=batch-<n>`` folders and
     replaces them when it is replayed, so the output holds every row once. The
     processing time is the batch's own, which a replay repeats, and locations are taken
     as of that time. The geo cache at ``cache_path`` is read anew for every micro-batch.
+    Durations go to ``durations_path`` before Spark forgets them; call ``save_durations``
+    for the last ones.
     """
     spark = source.sparkSession
     start, _ = bounds(spec)
@@ -71,6 +77,10 @@ def start_stream(source: DataFrame, spec: QuerySpec, path: str,
         raise ValueError("routing by window end needs a start time in the query")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if durations_path and batch_id % SAVE_EVERY == SAVE_EVERY - 1:
+            running = [q for q in spark.streams.active if q.name == spec.name]
+            for query in running:
+                save_durations(query, durations_path)
         if by_window:
             time = time_column(spec.time_term, options.strict)
             batch = assign_tumbling(batch, time, start, spec.gap)
@@ -111,14 +121,28 @@ def start_streams(source: DataFrame, specs: list[QuerySpec], path: str,
 
 
 def batch_durations(query: StreamingQuery) -> DataFrame:
-    """Events and stage durations of the query's recent micro-batches."""
+    """Events and stage durations of the micro-batches that Spark remembers."""
     rows = []
     for p in query.recentProgress:
         seen = p["observedMetrics"].get("events")
         n = seen["n_events"] if seen else 0
         rows += [(p["name"], p["batchId"], n, k, ms) for k, ms in p["durationMs"].items()]
-    schema = "query_name string, batch_id long, n_events long, stage string, millis long"
-    return SparkSession.active().createDataFrame(rows, schema)
+    return SparkSession.active().createDataFrame(rows, DURATIONS)
+
+
+def save_durations(query: StreamingQuery, path: str) -> None:
+    """Append the durations of batches that the log at ``path`` does not have yet."""
+    new = batch_durations(query)
+    known = load_durations(new.sparkSession, path).where(F.col("query_name") == query.name)
+    last = known.agg(F.max("batch_id")).first()[0]
+    if last is not None:
+        new = new.where(F.col("batch_id") > last)
+    new.coalesce(1).write.mode("append").parquet(path)
+
+
+def load_durations(spark: SparkSession, path: str) -> DataFrame:
+    """All saved durations; empty when there are none."""
+    return read_log(spark, path, DURATIONS)
 
 
 def windowed_counts(source: DataFrame, time: Column, start: datetime, gap: timedelta,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from filetrail.plans.filters import QuerySpec
 from filetrail.plans.pull import Options, time_column
-from filetrail.schemas import GEO, GEO_CACHE
+from filetrail.schemas import GEO, GEO_CACHE, RAW
 from filetrail.sources.events import stream_raw
 from filetrail.sources.state import save_cache
 from filetrail.streaming import runs
@@ -139,6 +139,23 @@ def test_repeats_can_be_dropped(spark, tmp_path):
     assert sorted(r[0] for r in rows) == ["1", "2"]
 
 
+def test_durations_last(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "SAVE_EVERY", 2)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    src, log = str(tmp_path / "in"), str(tmp_path / "log")
+    for i in range(7):
+        land(spark, src, range(10 * i, 10 * i + 10))
+    raw = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).json(src)
+    q = runs.start_stream(raw, SPEC, str(tmp_path / "o"), str(tmp_path / "c"), durations_path=log)
+    q.awaitTermination()
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    runs.save_durations(q, log)
+    runs.save_durations(q, log)
+    saved = runs.load_durations(spark, log).where("stage = 'addBatch'").orderBy("batch_id").collect()
+    assert [r["batch_id"] for r in saved] == list(range(7))
+    assert runs.load_durations(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_events_without_an_id_all_pass(spark, tmp_path):
     src = str(tmp_path / "ids")
     ids = ["a", "a", None, None, None, "", ""]
