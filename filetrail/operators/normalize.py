@@ -210,22 +210,26 @@ def normalize(
 
     ``geo_col`` names a location struct column (see ``enrich_geo``); ``rules`` is a
     public-suffix table that fills the registered domain and suffix of every URL;
-    ``keep`` lists input columns to carry along. A narrow map over the rows: only
-    ``rules`` adds joins, against a table of fixed size.
+    ``keep`` lists input columns to carry along. A narrow map over the rows: nothing is
+    joined and no row moves.
     """
+    has_tabs = "tabs" in df.columns
     df = derive(with_raw_columns(clean_raw(df, strip_zone)), strict)
     df = U.with_url_info(df, "url", "_url")
     in_tabs = None
     if rules is not None:
         rows = collect_rules(rules)
         df, in_tabs = add_domains(df, "_url", rules, rows), domain_lookup(rules, rows)
+    tabs = U.tab_list(F.col("tabs"), in_tabs)
+    if not has_tabs:  # a lambda over NULL is not folded away, so leave it out
+        tabs = F.lit(None).cast(df.select(tabs.alias("tabs")).schema["tabs"].dataType)
     return df.select(
         event_struct(dataset, module).alias("event"),
         F.col("_happened").alias("@timestamp"),
         file_struct().alias("file"),
         host_struct(F.col(geo_col) if geo_col else None).alias("host"),
         source_struct(
-            F.col("_url"), U.tab_list(F.col("tabs"), in_tabs), destination_name
+            F.col("_url"), tabs, destination_name
         ).alias("source_event"),
         *keep,
     )
