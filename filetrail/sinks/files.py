@@ -13,13 +13,13 @@ def rename_envelope(df: DataFrame, key: str) -> DataFrame:
     return df.withColumnRenamed("source_event", key)
 
 
-def write_windows(df: DataFrame, path: str, fmt: str = "json", compact: bool = False,
+def write_windows(df: DataFrame, path: str, fmt: str = "json", compact: bool = True,
                   **options) -> None:
     """Write the rows of each window to its own folder, replacing an earlier run.
 
-    Only the windows present in ``df`` are replaced. Tasks write where the rows are;
-    ``compact`` first gathers the rows of a window to write fewer files, and still
-    splits a window too large for one task.
+    Only the windows present in ``df`` are replaced. The rows of a window are gathered
+    first, so that it is few files and not one for each task that meets it; a window too
+    large for one task is split. Without ``compact`` tasks write where the rows are.
     """
     if compact:
         df = df.hint("rebalance", *[F.col(k) for k in WINDOW_KEYS])

@@ -56,7 +56,7 @@ def existing_targets(spark: SparkSession, name: str) -> DataFrame:
 
 
 def write_targets(df: DataFrame, path: str, fmt: str = "parquet", append: bool = False,
-                  compact: bool = False, **options) -> None:
+                  compact: bool = True, **options) -> None:
     """Write rows to ``target=.../window_id=...`` folders.
 
     By default a re-run replaces the rows of its own windows; ``append`` adds them
