@@ -33,6 +33,10 @@ SIMILAR_WORDS = 5
 SIMILARITY = 0.8
 SIMILAR_TILE = 4_096
 WIDE = 4
+#: Standard deviations that the candidates' radius lies above the distance at the similarity.
+MARGIN = 6
+#: Bytes of shingle hashes that a task compares at once, about half of it from each side.
+SHINGLE_BYTES = 32 << 20
 
 _PARTS = 4  # 16-bit words of a fingerprint
 _LOWER = bytes(range(256)).lower()
@@ -113,6 +117,19 @@ def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             labels = up
 
 
+def _within(part: np.ndarray, home: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of rows that differ in at most ``radius`` bits."""
+    bits = np.bitwise_count(part[:, None, 0] ^ home[None, :, 0])
+    for k in range(1, min(3, home.shape[1])):
+        bits += np.bitwise_count(part[:, None, k] ^ home[None, :, k])
+    a, b = np.nonzero(bits <= radius)
+    if home.shape[1] > 3:
+        # Few pairs are still within the radius after three words.
+        near = np.bitwise_count(part[a] ^ home[b]).sum(axis=1, dtype=np.int64) <= radius
+        a, b = a[near], b[near]
+    return a, b
+
+
 def _compare(home: np.ndarray, guests: np.ndarray, radius: int) -> np.ndarray:
     """Group labels over home rows followed by guests; a fingerprint is a row of words."""
     labels = np.arange(len(home) + len(guests))
@@ -120,14 +137,7 @@ def _compare(home: np.ndarray, guests: np.ndarray, radius: int) -> np.ndarray:
     for first, rows in ((0, home), (len(home), guests)):
         for at in range(0, len(rows), block):
             part = rows[at:at + block]
-            bits = np.bitwise_count(part[:, None, 0] ^ home[None, :, 0])
-            if home.shape[1] > 1:
-                bits += np.bitwise_count(part[:, None, 1] ^ home[None, :, 1])
-            a, b = np.nonzero(bits <= radius)
-            if home.shape[1] > 2:
-                # Few pairs are still within the radius after two words.
-                near = np.bitwise_count(part[a] ^ home[b]).sum(axis=1, dtype=np.int64) <= radius
-                a, b = a[near], b[near]
+            a, b = _within(part, home, radius)
             a = a + first + at
             other = a != b
             labels = _unite(labels, a[other], b[other])
@@ -176,13 +186,87 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Record
         yield out([group(np.concatenate(kept))])
 
 
-def _meet(rows: DataFrame, guests: DataFrame, columns: list[str], radius: int, tile: int) -> DataFrame:
+def _alike(words: np.ndarray, sets: list[np.ndarray], n: int, radius: int, similarity: float) -> np.ndarray:
+    """Group labels of rows joined by a Jaccard similarity of at least ``similarity``.
+
+    ``sets`` are the distinct shingle hashes. Without guests the first ``n`` rows, then all,
+    are compared with each other, else only the guests with the first ``n``. Pairs whose
+    fingerprints differ in more than ``radius`` bits are left out, and so are those that
+    other pairs have joined already.
+    """
+    labels = np.arange(len(sets))
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    known, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(len(known), dtype=bool)
+    first = n if n < len(sets) else 0
+    block = max(1, 2_000_000 // max(1, n))
+    for at in range(first, len(sets), block):
+        a, b = _within(words[at:at + block], words[:n], radius)
+        a = a + at
+        fit = (a > b) & (np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b]) - 1e-9)
+        a, b = a[fit], b[fit]
+        cuts = np.flatnonzero(np.diff(a)) + 1
+        for row, others in zip(a[np.r_[0, cuts]] if len(a) else (), np.split(b, cuts), strict=False):
+            others = others[labels[others] != labels[row]]
+            if not len(others):
+                continue
+            own = ids[starts[row]:ends[row]]
+            mark[own] = True
+            if len(others) * 16 < n:
+                common = np.array([np.count_nonzero(mark[ids[starts[o]:ends[o]]]) for o in others])
+            else:
+                common = np.add.reduceat(mark[ids[:ends[n - 1]]], starts[:n], dtype=np.int64)[others]
+            mark[own] = False
+            for o in others[common >= similarity * (sizes[row] + sizes[others] - common) - 1e-9]:
+                if labels[o] != labels[row]:
+                    low, high = sorted((labels[o], labels[row]))
+                    labels[labels == high] = low
+    return labels
+
+
+def _confirmed(batches: Iterator[pa.RecordBatch], radius: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links like ``_links``, of groups that also have the shingle hashes of each row."""
+    last, kept = None, []
+
+    def group():
+        rows = np.concatenate([r for r, _ in kept])
+        sets = [np.frombuffer(h, dtype=np.uint64) for _, hashes in kept for h in hashes.to_pylist()]
+        node, words = rows[:, 1], np.ascontiguousarray(rows[:, 2:]).view(np.uint64)
+        labels = _alike(words, sets, int((rows[:, 0] == 0).sum()), radius, similarity)
+        linked = np.flatnonzero(labels != np.arange(len(labels)))
+        return pa.record_batch([pa.array(node[linked]), pa.array(node[labels[linked]])], names=["a", "b"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = np.stack([c.to_numpy() for c in batch.columns[:-1]], axis=1)
+        hashes = batch.column(batch.num_columns - 1)
+        cuts = np.flatnonzero((columns[1:, :3] != columns[:-1, :3]).any(axis=1)) + 1
+        for begin, end in zip([0, *cuts], [*cuts, len(columns)], strict=True):
+            if last is not None and (columns[begin, :3] != last).any():
+                yield group()
+                kept = []
+            last = columns[begin, :3]
+            kept.append((columns[begin:end, 3:], hashes.slice(begin, end - begin)))
+    if kept:
+        yield group()
+
+
+def _meet(rows: DataFrame, guests: DataFrame, columns: list[str], radius: int, tile: int,
+          similarity: float | None = None) -> DataFrame:
     """Links between the rows of each tile, and between them and its guests.
 
     Both tables have a ``tile`` and the ``columns``: a node and the words of its
-    fingerprint. The tiles must be few enough for a small table of their sizes.
+    fingerprint. The tiles must be few enough for a small table of their sizes. With a
+    ``similarity`` the last column is the distinct shingle hashes, ``hashes``, there are
+    no guests, and the links are those of at least that Jaccard similarity.
     """
-    home_n = rows.groupBy("tile").agg(F.count("*").alias("n"))
+    n = F.count("*")
+    if similarity is not None:
+        n = F.greatest(n, F.ceil(F.sum(F.length("hashes")) * 2 * tile / SHINGLE_BYTES))
+    home_n = rows.groupBy("tile").agg(n.alias("n"))
     guest_n = guests.groupBy("tile").agg(F.count("*").alias("g"))
     sizes = home_n.join(guest_n, "tile", "left").select(
         "tile",
@@ -217,6 +301,8 @@ def _meet(rows: DataFrame, guests: DataFrame, columns: list[str], radius: int, t
     key = ["tile", "chunk", "block", "guest"]
     placed = placed.select(*(F.col(c).cast("long").alias(c) for c in key), *columns)
     grouped = placed.repartition("tile", "chunk", "block").sortWithinPartitions(*key)
+    if similarity is not None:
+        return grouped.mapInArrow(lambda it: _confirmed(it, radius, similarity), "a bigint, b bigint")
     return grouped.mapInArrow(lambda it: _links(it, radius), "a bigint, b bigint")
 
 
@@ -291,49 +377,92 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
     )
 
 
+def _hashes(text: str | None, words: int) -> np.ndarray:
+    """Hash of each shingle, sorted."""
+    return np.sort(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)], dtype=np.uint64))
+
+
 def _wide(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Shingle count and fingerprint of 256 bits of each text."""
+    """Node, shingle count and fingerprint of 256 bits of each text; the node stands for its shingles."""
     for batch in batches:
-        found, sizes = [], []
+        found, sizes, nodes = [], [], []
         for text in batch.column("text").to_pylist():
-            hashed = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)], dtype=np.uint64)
+            hashed = _hashes(text, words)
+            nodes.append(xxhash.xxh64_intdigest(hashed.tobytes(), SEED))
             sizes.append(len(hashed))
             found.append([_majority(_mixed(hashed, k)) for k in range(WIDE)])
         table = np.array(found, dtype=np.uint64).reshape(-1, WIDE).view(np.int64)
         names = [n for n in batch.schema.names if n != "text"]
-        columns = [batch.column(n) for n in names] + [pa.array(sizes, pa.int64()), *map(pa.array, table.T)]
-        yield pa.record_batch(columns, names=[*names, "size", *(f"w{k}" for k in range(WIDE))])
+        columns = [batch.column(n) for n in names] + [
+            pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), *map(pa.array, table.T)
+        ]
+        yield pa.record_batch(columns, names=[*names, "node", "size", *(f"w{k}" for k in range(WIDE))])
+
+
+def _with_hashes(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names = [n for n in batch.schema.names if n != "text"]
+        found = [np.unique(_hashes(t, words)).tobytes() for t in batch.column("text").to_pylist()]
+        columns = [batch.column(n) for n in names] + [pa.array(found, pa.binary())]
+        yield pa.record_batch(columns, names=[*names, "hashes"])
+
+
+def _confirm(slim: DataFrame, classes: DataFrame, groups: DataFrame, words: int, similarity: float,
+             radius: int, tile: int) -> DataFrame:
+    """Links of a Jaccard similarity of at least ``similarity`` inside the groups of candidates.
+
+    Only texts that have a candidate are read again, one for each class. A tile holds whole
+    groups, so no link leaves it.
+    """
+    names = [f"w{k}" for k in range(WIDE)]
+    found = cut(classes.join(groups, F.col("node") == F.col("_node")).select(
+        "node", "component", "size", F.col("first.id").alias("__id"), F.col("first.version").alias("__hash"), *names
+    ), "candidates")
+    n, total = found.agg(F.count("*"), F.sum("size")).first()
+    tiles = max(1, math.ceil(n / tile), math.ceil((total or 0) * 32 / SHINGLE_BYTES))
+    found = found.withColumn("tile", F.pmod(F.xxhash64("component"), F.lit(tiles))).drop("component", "size")
+    texts = slim.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("version") == F.col("__hash")))
+    fields = ", ".join(f"{c} bigint" for c in names)
+    rows = texts.select("tile", "node", *names, "text").mapInArrow(
+        lambda it: _with_hashes(it, words), f"tile bigint, node bigint, {fields}, hashes binary"
+    )
+    # Repeated rows of a document count once.
+    rows = cut(rows.groupBy("tile", "node", *names).agg(F.min("hashes").alias("hashes")), "hashes")
+    return _meet(rows, rows.where("false"), ["node", *names, "hashes"], radius, tile, similarity)
 
 
 def similar_classes(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY,
                     tile: int = SIMILAR_TILE) -> DataFrame:
     """``doc_id``, ``version`` (a hash of the text), ``head`` and ``head_version``.
 
-    Texts are linked if the angle between their vectors of word shingles, as the differing
-    bits of fingerprints of 256 bits tell it, is that of a Jaccard similarity of
-    ``similarity`` or more, and neither has more than 1 / ``similarity`` times the shingles
-    of the other. Tiles are bands of shingle counts, so only equal and neighbouring bands
-    meet. The head of a group is its smallest doc_id, a null one last.
+    Texts are linked if the Jaccard similarity of their distinct word shingles is at least
+    ``similarity``. Fingerprints of 256 bits find the candidates: their radius lies
+    ``MARGIN`` standard deviations above the bits expected to differ at the similarity, and
+    each link is confirmed by the shingles' hashes. Tiles are bands of shingle counts, so
+    only equal and neighbouring bands meet. The head of a group is its smallest doc_id, a
+    null one last.
     """
     ship(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text")
     wide = ", ".join(f"w{k} bigint" for k in range(WIDE))
-    prints = slim.mapInArrow(lambda it: _wide(it, words), f"doc_id bigint, version bigint, size bigint, {wide}")
+    prints = slim.mapInArrow(lambda it: _wide(it, words), f"doc_id bigint, version bigint, node bigint, size bigint, {wide}")
     names = [f"w{k}" for k in range(WIDE)]
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "version")
-    band = F.floor(F.log(F.greatest("size", F.lit(1))) / -math.log(similarity)) + F.when(F.col("size") > 0, 1).otherwise(-1)
-    prints = cut(prints.select(
-        "doc_id", "version", F.xxhash64("size", *names).alias("node"), band.cast("long").alias("band"), *names
-    ), "wide")
+    prints = cut(prints, "wide")
     classes = cut(prints.groupBy("node").agg(
-        F.min(first).alias("first"), F.min("band").alias("tile"), *(F.min(n).alias(n) for n in names)
+        F.min(first).alias("first"), F.min("size").alias("size"), *(F.min(n).alias(n) for n in names)
     ), "classes")
-    rows = classes.select("tile", "node", *names)
-    # The differing bits expected at the similarity, of texts of the same size.
-    radius = round(64 * WIDE * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    band = F.floor(F.log(F.col("size")) / -math.log(similarity)).cast("long")
+    # Unequal sets that small are never so similar.
+    rows = classes.where(F.col("size") >= similarity / (1 - similarity) - 1e-9).select(band.alias("tile"), "node", *names)
+    # The share of bits expected to differ at the similarity, of texts of the same size.
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    radius = round(64 * WIDE * share + MARGIN * math.sqrt(64 * WIDE * share * (1 - share)))
     above = rows.withColumn("tile", F.col("tile") + 1)
-    groups = cut(connected(_meet(rows, above, ["node", *names], radius, tile)), "components")
-    groups = groups.select(F.col("node").alias("_node"), "component")
+    groups = connected(_meet(rows, above, ["node", *names], radius, tile))
+    groups = cut(groups.select(F.col("node").alias("_node"), "component"), "candidates")
+    links = cut(_confirm(slim, classes, groups, words, similarity, radius, tile), "links")
+    groups = cut(connected(links).select(F.col("node").alias("_node"), "component"), "components")
     members = cut(
         classes.join(groups, F.col("node") == F.col("_node"), "left").select(
             "node", F.coalesce("component", "node").alias("component"), "first"
