@@ -378,12 +378,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS,
 
 
 def _hashes(text: str | None, words: int) -> np.ndarray:
-    """Hash of each shingle, sorted."""
-    return np.sort(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)], dtype=np.uint64))
+    """Hash of each distinct shingle, sorted."""
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text, words)], dtype=np.uint64))
 
 
 def _wide(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Node, shingle count and fingerprint of 256 bits of each text; the node stands for its shingles."""
+    """Node, count and fingerprint of 256 bits of the distinct shingles of each text, for which the node stands."""
     for batch in batches:
         found, sizes, nodes = [], [], []
         for text in batch.column("text").to_pylist():
@@ -402,7 +402,7 @@ def _wide(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
 def _with_hashes(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = [n for n in batch.schema.names if n != "text"]
-        found = [np.unique(_hashes(t, words)).tobytes() for t in batch.column("text").to_pylist()]
+        found = [_hashes(t, words).tobytes() for t in batch.column("text").to_pylist()]
         columns = [batch.column(n) for n in names] + [pa.array(found, pa.binary())]
         yield pa.record_batch(columns, names=[*names, "hashes"])
 
@@ -438,9 +438,9 @@ def similar_classes(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: flo
     Texts are linked if the Jaccard similarity of their distinct word shingles is at least
     ``similarity``. Fingerprints of 256 bits find the candidates: their radius lies
     ``MARGIN`` standard deviations above the bits expected to differ at the similarity, and
-    each link is confirmed by the shingles' hashes. Tiles are bands of shingle counts, so
-    only equal and neighbouring bands meet. The head of a group is its smallest doc_id, a
-    null one last.
+    each link is confirmed by the shingles' hashes. Tiles are bands of the counts of
+    distinct shingles, so only equal and neighbouring bands meet. The head of a group is its
+    smallest doc_id, a null one last.
     """
     ship(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), "text")

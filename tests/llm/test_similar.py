@@ -62,3 +62,14 @@ def test_large_group_and_odd_texts(spark, monkeypatch, tile, size):
     pairs += [(206, "a b c d e f g h"), (207, "a b c d e f g h i"), (208, "a b c d e f g")]
     got = rows(S.similar_classes(docs(spark, [*pairs, pairs[0]]), tile=tile), "doc_id", "head")
     assert sorted(set(got)) == sorted(brute(pairs).items())
+
+
+def test_repeats_do_not_count(spark):
+    body = [f"b{k}" for k in range(300)]
+    phrase = "the very same frequent phrase".split()
+    texts = [body, body + body, body + body + body[:150]]
+    texts += [[x for k in range(12) for x in (*phrase * 8, *(f"{name}{k}_{i}" for i in range(6)))] for name in "pq"]
+    pairs = [(d, " ".join(w)) for d, w in enumerate(texts)]
+    assert jaccard(pairs[0][1], pairs[1][1]) > 0.95 and jaccard(pairs[3][1], pairs[4][1]) < 0.5
+    got = rows(S.similar_classes(docs(spark, pairs)), "doc_id", "head")
+    assert got == [(0, 0), (1, 0), (2, 0), (3, 3), (4, 4)]
