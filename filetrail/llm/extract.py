@@ -71,6 +71,9 @@ VAGUE = {
 }
 
 MIN_PARAGRAPH = 25
+#: Shares of the page's paragraph text above which an element stays although its name, or
+#: only a part of its name, or its being a form speaks against it.
+PURE, MIXED = 0.9, 0.5
 #: Elements opened below this depth become siblings, as in browsers.
 DEPTH = 512
 
@@ -162,42 +165,73 @@ def parse(html: str) -> Node:
     return root
 
 
-def _unlikely(node: Node, in_article: bool, unlikely: set[str]) -> bool:
-    """Whether an element holds something other than the article."""
-    if node.tag in DROPPED and not (node.tag == "header" and in_article):
-        return True
-    if not node.attributes:
-        return False
+def _unlikely(node: Node, in_article: bool, unlikely: set[str]) -> float:
+    """The share of the page's paragraph text up to which an element is not the article.
+
+    0 for elements that are always kept, 1 for those that never are.
+    """
+    form = node.tag == "form"
+    if node.tag in DROPPED and not form and not (node.tag == "header" and in_article):
+        return 1
+    most = MIXED if form else 0
     names = []
     for m in _ATTRIBUTE.finditer(node.attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return 1
         if name == "role" and value.lower() in ROLES:
-            return True
+            if value.lower() != "form":
+                return 1
+            most = MIXED
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return 1
         if name in ("class", "id"):
             names += value.split()
     if node.tag in ("article", "main") and not any("comment" in x.lower() for x in names):
-        return False
+        return most
     for name in names:
         words = [w.lower() for w in _NAMES.findall(name)]
         if words and words[0] not in NOT_REALLY and not unlikely.isdisjoint(words):
-            return True
-    return False
+            # Names such as page-with-sidebar speak of the whole page as well.
+            most = max(most, PURE if unlikely.issuperset(words) else MIXED)
+    return most
 
 
 def _prune(root: Node, unlikely: set[str]) -> None:
-    """Take out what is not the article."""
-    stack = [(root, False)]
+    """Take out what is not the article.
+
+    An element named like something else stays if it holds most of the page's paragraph
+    text outside other such elements.
+    """
+    found: list[tuple[Node, float]] = []
+    own: dict[Node, int] = {}
+    # Short articles count in the whole, so that a longer stray block isn't most of the page.
+    total = 0
+    stack = [(root, False, False)]
     while stack:
-        node, inside = stack.pop()
+        node, inside, link = stack.pop()
+        most = _unlikely(node, inside, unlikely) if node is not root else 0
+        found.append((node, most))
+        own[node] = 0
+        if most == 1:
+            continue
         inside = inside or node.tag in ("article", "main")
-        node.children = [
-            c for c in node.children if isinstance(c, str) or not _unlikely(c, inside, unlikely)
-        ]
-        stack += [(c, inside) for c in node.children if not isinstance(c, str)]
+        link = link or node.tag == "a"
+        for c in node.children:
+            if not isinstance(c, str):
+                stack.append((c, inside, link))
+            elif not link:
+                n = len(" ".join(c.split()))
+                total += n
+                own[node] += n if n >= MIN_PARAGRAPH else 0
+    gone = set()
+    for node, most in reversed(found):
+        if most and own[node] <= most * total:
+            gone.add(node)
+        elif node.parent is not None:
+            own[node.parent] += own[node]
+    for node, _ in found:
+        node.children = [c for c in node.children if isinstance(c, str) or c not in gone]
 
 
 class _Pieces:

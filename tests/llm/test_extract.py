@@ -70,3 +70,26 @@ def test_operator(spark):
     assert rows(out, "page_id", "n_chars") == [(None, 0), (1, 5), (1, 5), (2, 0), (3, 299_999)]
     assert "html" in extract_text(df, keep_html=True).columns
     assert extract_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("wrapper", [
+    "div class='page-with-sidebar'", "div class=content-ads-free", "div id=layout-sidebar", "body class=main-nav-open",
+    "div class='main-nav-open'", "form method=post", "div class=sidebar", "form><div class=page-with-comments",
+])
+@pytest.mark.parametrize("stray", ["", "<p>A stray block that is not the article.</p>"])
+def test_wrappers_of_the_whole_page_stay(wrapper, stray):
+    parts = f"<p>{BODY}</p>" * 8
+    menus = f"<nav>Menu</nav><div class=sidebar-left><p>{BODY}</p></div><div class=comments><p>{BODY}</p></div>"
+    if wrapper == "div class=sidebar":
+        menus = ""
+    found = main_text(f"<html><body>{stray}<{wrapper}>{menus}<div>{parts}</div>")
+    assert found.replace("A stray block that is not the article.\n", "") == "\n".join([BODY.strip()] * 8)
+
+
+def test_long_comments_still_go():
+    comments = f"<div class=comments>{f'<p>{BODY}</p>' * 6}</div>"
+    assert main_text(f"<div id=page><p>{BODY}</p><p>{BODY}</p></div>{comments}") == "\n".join([BODY.strip()] * 2)
+
+
+def test_short_articles_do_not_let_others_in():
+    assert main_text(f"<div id=page><h1>Short one.</h1><p>Short one.</p></div><div class=sidebar><p>{BODY[:60]}</p></div>") == "Short one.\nShort one."
