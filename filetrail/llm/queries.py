@@ -15,7 +15,10 @@ from filetrail.llm import (
     line_dedup,
     pieces,
     resample,
+    sharding,
     simhash,
+    source_audit,
+    spelling,
     store,
     token_files,
     toxicity,
@@ -185,3 +188,61 @@ def op9_html_extraction(spark, sf_dir):
 )
 def op10_top_products(spark, sf_dir):
     return inner_product.top_products(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query()
+def op11_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = store.new_folder(spark, "shard-map")
+    version = sharding.update_map(docs, folder)
+    placed = sharding.assign_shards(docs, sharding.read_map(spark, folder, version))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
+
+
+@query()
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.group_spellings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def audit_sql() -> str:
+    lower = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+    share = f"1 + ({source_audit.SCALE}::hugeint * (%s + {source_audit.PSEUDO})) // (%s + {source_audit.PSEUDO} * v)"
+    rank = "row_number() over (partition by lang, source order by value desc, item)"
+    return f"""with d as (
+        select coalesce(lang, '') as lang, coalesce(source, '') as source,
+            regexp_extract_all({lower}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+    n as (select lang, source, unnest(list_distinct(terms)) as term, 1 as docs, 0 as n from d
+        union all select lang, source, unnest(terms), 0, 1 from d),
+    counts as (select lang, source, term, sum(docs) as docs, sum(n) as n from n group by all),
+    kept as (select lang, term, sum(n) as n_lang from counts group by all
+        having sum(docs) >= {source_audit.MIN_DOCUMENTS}),
+    langs as (select lang, count(*) as v, sum(n_lang) as total_lang from kept group by lang),
+    dense as (
+        select g.lang, g.source, k.term, k.n_lang, coalesce(c.n, 0) as n
+        from (select distinct lang, source from d) g join kept k using (lang) left join counts c using (lang, source, term)),
+    shares as (
+        select *, {share % ('n', 'total')} as p, {share % ('n_lang', 'total_lang')} as q
+        from (select *, sum(n) over (partition by lang, source) as total from dense) join langs using (lang)),
+    pairs as (
+        select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+        from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+    all_pairs as (
+        select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+        from (select distinct lang, source from d) a join (select distinct lang, source from d) b
+            on a.lang = b.lang and a.source <> b.source
+        left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source),
+    terms as (
+        select lang, source, 'term' as part, term as item, (p - q)::bigint as value
+        from shares where n > 0 and p > q)
+    select lang, source, part, item, value, {rank}::int as rank from all_pairs
+    union all
+    select * from (select lang, source, part, item, value, {rank}::int as rank from terms)
+        where rank <= {source_audit.TOP_TERMS}"""
+
+
+@query(audit_sql())
+def op13_source_audit(spark, sf_dir):
+    return source_audit.audit_sources(table(spark, sf_dir, "documents").select("lang", "source", "text"))
