@@ -11,7 +11,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ CACHE = 800_000
 ROWS = 500
 STRIPE_BYTES = 16 << 20
 STRIDE = 1_000
+#: Packed ids hardly shrink further at higher levels.
+ZSTD_LEVEL = 1
 
 FILES = "doc_id bigint, part int, offset bigint, ids array<int>"
 
@@ -49,25 +51,26 @@ def _byte_letters() -> list[str]:
 
 
 class _Words(dict):
-    """Ids of words with a space before them, found when they are first asked for.
+    """Ids of words, found by ``find`` when they are first asked for.
 
     Half of the entries are a younger generation; when it is full the older one goes, so
     frequent words stay.
     """
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, find: Callable[[str], bytes]):
         super().__init__()
-        self.encoder, self.old = encoder, {}
+        self.find, self.old = find, {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = self.encoder.word(word)
-        if len(word) <= 64:
-            if len(self) >= CACHE // 2:
-                self.old = dict(self)
-                self.clear()
-            self[word] = ids
+            ids = self.find(word)
+            if len(word) > 64:
+                return ids
+        if len(self) >= CACHE // 2:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
         return ids
 
 
@@ -79,9 +82,13 @@ class Encoder:
 
     def __init__(self, tokenizer_file: str):
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.model = self.tokenizer.model
-        self.letters = {b: c for b, c in enumerate(_byte_letters())}
-        self.words = _Words(self)
+        model = self.tokenizer.model
+        model._resize_cache(0)  # words are kept here
+        self.tokenize = model.tokenize
+        self.letters = dict(enumerate(_byte_letters()))
+        self.space = self.letters[0x20]
+        #: Words with a space before them, and words at the start of a line.
+        self.words, self.starts = _Words(self.word), _Words(self.start)
         self.tails: dict[str, bytes] = {}
         #: Words that end in white space: a space after them may belong to their token.
         self.open: set[str] = {""}
@@ -91,11 +98,13 @@ class Encoder:
 
     def word(self, word: str) -> bytes:
         """Ids of a space and a word that has none."""
+        if word.isalpha() and word.isascii():
+            return array("i", [t.id for t in self.tokenize(self.space + word)]).tobytes()
         plain = _PLAIN.fullmatch(word)
         if plain is not None:
             core, tail = plain.groups()
             if not tail:
-                return self._unit(" " + core)
+                return self._unit(self.space + self._bytes(core))
             # Letters and the marks after them are always different tokens.
             return self.words[core] + self._tail(tail)
         if not word or word[-1].isspace():
@@ -103,13 +112,23 @@ class Encoder:
         elif _LINES.fullmatch(word):
             # A single line end between other characters is a token of its own.
             first, *later = word.split("\n")
-            return self.words[first] + b"".join(self._tail("\n") + self._line(x) for x in later)
+            return self.words[first] + b"".join(self._tail("\n") + self.starts[x] for x in later)
         return self._whole(" " + word)
 
-    def _unit(self, letters: str) -> bytes:
+    def start(self, word: str) -> bytes:
+        """Ids of a word at the start of a line."""
+        plain = _PLAIN.fullmatch(word)
+        if plain is None:
+            return self._whole(word)
+        return self._unit(self._bytes(plain[1])) + (self._tail(plain[2]) if plain[2] else b"")
+
+    def _bytes(self, letters: str) -> str:
+        """The characters that stand for the bytes of these letters."""
+        return letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+
+    def _unit(self, unit: str) -> bytes:
         """Ids of letters, or a space and letters: one unit, which the model can take."""
-        unit = letters.encode().decode("latin-1").translate(self.letters)
-        return array("i", [t.id for t in self.model.tokenize(unit)]).tobytes()
+        return array("i", [t.id for t in self.tokenize(unit)]).tobytes()
 
     def _tail(self, tail: str) -> bytes:
         if tail not in self.tails:
@@ -118,11 +137,6 @@ class Encoder:
             self.tails[tail] = self._whole(tail)
         return self.tails[tail]
 
-    def _line(self, word: str) -> bytes:
-        """Ids of a word at the start of a line."""
-        plain = _PLAIN.fullmatch(word)
-        return self._unit(plain[1]) + (self._tail(plain[2]) if plain[2] else b"") if plain else self._whole(word)
-
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text, as the tokenizer gives them.
 
@@ -183,6 +197,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_file: str, end: int = E
     (
         ordered.mapInArrow(lambda it: _encode(it, tokenizer_file, end), FILES)
         .write.option("compression", "zstd")
+        .option("orc.compression.zstd.level", ZSTD_LEVEL)
         .option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", STRIDE)

@@ -53,16 +53,40 @@ def test_round_trip(spark, library):
     assert {r["doc_id"]: r["ids"] for r in tokens.collect()} == {d: [*plain(library, t), 0] for d, t in pairs}
 
 
-def test_files_have_stripes_and_filters_reach_them(spark):
+def rows_read(df):
+    """The rows of a query, and how many rows its scan took from the files."""
+    found = [r["doc_id"] for r in df.collect()]
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return found, scan.metrics().apply("numOutputRows").value()
+
+
+def test_row_indexes_and_bloom_filters_prune(spark):
     folder = new_folder(spark, "tokens")
-    T.write_tokens(docs(spark, [(i, f"text {i}") for i in range(50)]), folder, FILE)
-    found = T.read_tokens(spark, folder).where("doc_id = 7")
-    assert [r["doc_id"] for r in found.collect()] == [7]
-    assert "EqualTo(doc_id,7)" in found._jdf.queryExecution().toString()
-    path = next(Path(folder.removeprefix("file:")).glob("*.orc"))
-    file = orc.ORCFile(path)
-    assert file.nstripes >= 1 and file.row_index_stride == T.STRIDE
-    assert str(file.compression).upper().endswith("ZSTD")
+    T.write_tokens(docs(spark, [(2 * i, f"text {i}") for i in range(10 * T.STRIDE)]), folder, FILE)
+    tokens = T.read_tokens(spark, folder)
+    files = list(Path(folder.removeprefix("file:")).glob("*.orc"))
+    found = [orc.ORCFile(f) for f in files]
+    assert sum(f.nrows for f in found) == 10 * T.STRIDE
+    assert all(f.row_index_stride == T.STRIDE and str(f.compression).upper().endswith("ZSTD") for f in found)
+    assert rows_read(tokens)[1] == 10 * T.STRIDE
+    # One row group holds it; statistics exclude all others.
+    ids, read = rows_read(tokens.where("doc_id = 2468"))
+    assert ids == [2468] and 1 <= read <= T.STRIDE
+    # Within the bounds of a row group, but in no filter (a false positive would read a group).
+    reads = [rows_read(tokens.where(f"doc_id = {i}")) for i in range(2469, 2489, 2)]
+    assert all(not ids for ids, _ in reads) and sum(not read for _, read in reads) >= 8
+    assert rows_read(tokens.where("doc_id = 2469 or doc_id = 5000"))[1] <= T.STRIDE
+
+
+def test_stripes_are_skipped(spark, monkeypatch):
+    monkeypatch.setattr(T, "STRIPE_BYTES", 1 << 16)
+    folder, r = new_folder(spark, "tokens"), random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz  "
+    T.write_tokens(docs(spark, [(i, "".join(r.choices(letters, k=400))) for i in range(8000)]), folder, FILE)
+    files = [orc.ORCFile(f) for f in Path(folder.removeprefix("file:")).glob("*.orc")]
+    assert sum(f.nstripes for f in files) >= 4 and all(f.nstripes * 8000 > f.nrows for f in files)
+    ids, read = rows_read(T.read_tokens(spark, folder).where("doc_id between 4000 and 4010"))
+    assert sorted(ids) == list(range(4000, 4011)) and read <= 2 * T.STRIDE
 
 
 def test_nulls_repeats_and_empty_table(spark, library):
