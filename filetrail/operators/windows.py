@@ -124,34 +124,40 @@ def plan_windows(windows: DataFrame, queries: DataFrame, as_of: datetime,
     )
 
 
-def assign_tumbling(df: DataFrame, time: Column, start: datetime, gap: timedelta,
-                    max_time: datetime | None = None, as_of: datetime | None = None,
-                    lag: timedelta = SETTLE_LAG) -> DataFrame:
-    """Add each event's window as ``on_or_after``/``on_or_before`` by arithmetic.
+def tumbling(time: Column, start: datetime, gap: timedelta, max_time: datetime | None = None,
+             as_of: datetime | None = None,
+             lag: timedelta = SETTLE_LAG) -> tuple[Column, Column, Column]:
+    """(is in a window, ``on_or_after``, ``on_or_before``) of a time, by arithmetic.
 
-    Same windows as :func:`plan_windows` from ``start``; events outside them are
-    dropped. No join and no shuffle, and the time range reaches the scan.
+    Same windows as :func:`plan_windows` from ``start``.
     """
     start = _to_millis(start)
     ends = [e for e in (max_time, as_of - lag if as_of else None) if e is not None]
-    kept = time >= instant(start)
+    inside = time >= instant(start)
     if ends:
-        kept = kept & (time < instant(_to_millis(min(ends)) + MILLISECOND))
+        inside = inside & (time < instant(_to_millis(min(ends)) + MILLISECOND))
     stride = millis(gap) * 1000 + 1000
-    origin = epoch_micros(start)
     micros = F.unix_micros(time.cast("timestamp"))
-    passed = micros - origin
-    out = df.where(kept).withColumn("_start", micros - F.pmod(passed, F.lit(stride)))
+    first = micros - F.pmod(micros - epoch_micros(start), F.lit(stride))
     if max_time is not None:
-        out = out.where(F.col("_start") < epoch_micros(max_time))
-    end = F.col("_start") + millis(gap) * 1000
+        inside = inside & (first < epoch_micros(max_time))
+    last = first + millis(gap) * 1000
     if ends:
-        end = F.least(end, F.lit(epoch_micros(_to_millis(min(ends)))))
-    return out.select(
-        *df.columns,
-        F.timestamp_micros("_start").alias("on_or_after"),
-        F.timestamp_micros(end).alias("on_or_before"),
-    )
+        last = F.least(last, F.lit(epoch_micros(_to_millis(min(ends)))))
+    return inside, F.timestamp_micros(first), F.timestamp_micros(last)
+
+
+def assign_tumbling(df: DataFrame, time: Column, start: datetime, gap: timedelta,
+                    max_time: datetime | None = None, as_of: datetime | None = None,
+                    lag: timedelta = SETTLE_LAG) -> DataFrame:
+    """Add each event's window as ``on_or_after``/``on_or_before`` by arithmetic.
+
+    Same windows as :func:`plan_windows` from ``start``; events outside them are
+    dropped. No join and no shuffle, and the time range reaches the scan.
+    """
+    inside, first, last = tumbling(time, start, gap, max_time, as_of, lag)
+    kept = df.where(inside)
+    return kept.select(*df.columns, first.alias("on_or_after"), last.alias("on_or_before"))
 
 
 def _to_millis(t: datetime) -> datetime:

@@ -167,6 +167,24 @@ def _is(c: Column, f: Filter) -> Column:
     return matches(c, f.value)
 
 
+def scan_filter(spec: QuerySpec, window: tuple[datetime | None, datetime | None]) -> Column:
+    """What the raw time text of a match must satisfy: a coarse test the file reader can use."""
+    spec = with_bounds(spec, *window)
+    terms = [t for op in (AFTER, BEFORE) if (f := spec.first(op)) for t in _coarse(f)]
+    return reduce(lambda a, b: a & b, terms, F.lit(True))
+
+
+def _coarse(f: Filter) -> list[Column]:
+    """Time text starts with its date, so comparing dates as text is safe."""
+    t = _time(f.value)
+    if t is None:
+        return []
+    raw = F.col(f.term)
+    if f.operator == AFTER:
+        return [raw >= t.date().isoformat()]
+    return [raw < (t + MILLISECOND + timedelta(days=1)).date().isoformat()]
+
+
 def _bound(f: Filter, column: Column | None, strict: bool = False) -> list[Column]:
     t = _time(f.value)
     if t is None:
@@ -177,11 +195,5 @@ def _bound(f: Filter, column: Column | None, strict: bool = False) -> list[Colum
         column = parse(F.col(f.term), strict)
     terms = [column >= instant(t) if f.operator == AFTER else column < instant(t + MILLISECOND)]
     if not typed and not strict:
-        # Time text starts with its date, so comparing dates as text is a safe
-        # coarse test that the file reader can use to skip data.
-        raw = F.col(f.term)
-        if f.operator == AFTER:
-            terms.append(raw >= t.date().isoformat())
-        else:
-            terms.append(raw < (t + MILLISECOND + timedelta(days=1)).date().isoformat())
+        terms += _coarse(f)
     return terms

@@ -2,6 +2,7 @@ import json
 from datetime import timedelta
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from filetrail.operators import geo as G
@@ -129,3 +130,47 @@ def test_targets_replace_or_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     targets.write_targets(df, path, append=True)
     assert spark.read.parquet(path).count() == 4
+
+
+def listed(spark, name):
+    return {(r["target"], r["window_id"]) for r in targets.target_partitions(spark, name).collect()}
+
+
+@pytest.mark.parametrize("managed", [True, False])
+def test_inserts_are_listed_at_once_and_replace_their_windows(spark, tmp_path, managed):
+    name = f"files_in_{managed}".lower()
+    path = None if managed else str(tmp_path / "t")
+    targets.create_target(spark, name, FLAT_TARGET, [f"{name}_all"], path=path)
+    df = flat_rows(spark, 3).withColumn("window_id", F.concat(F.lit("w 100%"), F.col("eventId")))
+    days = [f"files-2024-01-0{i}" for i in (1, 2, 3)]
+    targets.insert_targets(df, name)
+    assert listed(spark, name) == {(d, f"w 100%{i}") for i, d in enumerate(days)}
+    assert R.targets_missing(df, targets.existing_targets(spark, name)).isEmpty()
+    targets.insert_targets(df, name)
+    assert spark.table(f"{name}_all").count() == 3, "a re-run replaces its rows"
+    # The second window is run again with other rows for another target; the others stay.
+    other = df.where("eventId = 1").withColumns({"target": F.lit("it's\\elsewhere"), "eventId": F.lit("9")})
+    targets.insert_targets(other.drop("fileName"), name)
+    assert listed(spark, name) == {(days[0], "w 100%0"), ("it's\\elsewhere", "w 100%1"), (days[2], "w 100%2")}
+    assert sorted(r[0] for r in spark.table(name).select("eventId").collect()) == ["0", "2", "9"]
+    if not managed:
+        assert not list(Path(path).glob("target=files-2024-01-02/window_id*")), "no file is left behind"
+    # A run without rows says which windows it was for.
+    targets.insert_targets(df.limit(0), name, windows=["w 100%2"])
+    assert sorted(r[0] for r in spark.table(name).select("eventId").collect()) == ["0", "9"]
+    targets.insert_targets(df.where("eventId = 0"), name, append=True)
+    assert spark.table(name).count() == 3
+
+
+def test_inserts_by_name_and_new_columns(spark):
+    targets.create_target(spark, "files_wide", FLAT_TARGET)
+    df = flat_rows(spark, 2).withColumn("score", F.lit(0.5))
+    with pytest.raises(ValueError, match="no column score"):
+        targets.insert_targets(df, "files_wide")
+    with pytest.raises(ValueError, match="without window_id"):
+        targets.insert_targets(df.drop("window_id"), "files_wide")
+    targets.insert_targets(df.drop("score"), "files_wide")
+    targets.insert_targets(df.select(*reversed(df.columns)).withColumn("window_id", F.lit("w2")), "files_wide", evolve=True)
+    rows = spark.table("files_wide").select("eventId", "osHostName", "score", "window_id").collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, [
+        ("0", "h0", None, "w"), ("1", "h1", None, "w"), ("0", "h0", 0.5, "w2"), ("1", "h1", 0.5, "w2")]))
