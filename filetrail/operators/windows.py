@@ -12,7 +12,7 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filetrail.operators.geo import fits_broadcast
+from filetrail.operators.geo import BROADCAST_BYTES, fits_broadcast
 from filetrail.plans.filters import MILLISECOND, instant
 
 SETTLE_LAG = timedelta(minutes=15)
@@ -165,13 +165,13 @@ def _to_millis(t: datetime) -> datetime:
 
 
 def assign_windows(df: DataFrame, time: Column, windows: DataFrame, gap: timedelta,
-                   broadcast_rows: int = 200_000) -> DataFrame:
+                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join events to the given windows, which may have any bounds.
 
     Adds ``query_name, on_or_after, on_or_before``; an event inside several windows
     appears once for each, an event in none is dropped. Windows are cut into buckets
     of one stride, so the join is an equality on the bucket and compares an event
-    only with the few windows near it. A list of at most ``broadcast_rows`` buckets is
+    only with the few windows near it. A list of at most ``broadcast_bytes`` is
     broadcast; a longer one is joined by shuffle, where adaptive execution splits a
     crowded bucket.
     """
@@ -187,7 +187,7 @@ def assign_windows(df: DataFrame, time: Column, windows: DataFrame, gap: timedel
     side = windows.select(
         "query_name", "on_or_after", "on_or_before", F.explode(buckets).alias("_bucket")
     )
-    small = fits_broadcast(side, broadcast_rows)
+    small = fits_broadcast(side, broadcast_bytes)
     moment = F.col("_moment")
     joined = df.withColumn("_moment", time.cast("timestamp")).withColumn(
         "_event_bucket", bucket(moment)

@@ -92,7 +92,7 @@ def test_spread_join_equals_broadcast_join(spark):
     known = cache(spark, *[(ip, "", NOW, NOW, ip.upper())
                            for ip in ["hot", *[f"ip{k}" for k in range(0, 40, 2)]]])
     plain = G.enrich_geo(ev, known, NOW).select("i", "geo")
-    spread = G.enrich_geo(ev, known, NOW, broadcast_rows=0)
+    spread = G.enrich_geo(ev, known, NOW, broadcast_bytes=0)
     assert spread.columns == ["i", "publicIpAddress", "geo"]
     a = sorted((r["i"], r["geo"]) for r in plain.collect())
     b = sorted((r["i"], r["geo"]) for r in spread.select("i", "geo").collect())
@@ -103,12 +103,15 @@ def test_spread_join_equals_broadcast_join(spark):
 def test_a_large_cache_is_joined_by_shuffle(spark):
     ev = spark.createDataFrame([("same", "hot")] * 400 + [(str(i), None) for i in range(400)],
                                "eventId string, publicIpAddress string").repartition(8)
-    rich = G.enrich_geo(ev, cache(spark, ("hot", "", NOW, NOW, "H")), NOW, broadcast_rows=0)
+    rich = G.enrich_geo(ev, cache(spark, ("hot", "", NOW, NOW, "H")), NOW, broadcast_bytes=0)
     rows = rich.groupBy("publicIpAddress", "geo.country").count().collect()
     assert sorted(map(tuple, rows), key=str) == [("hot", "H", 400), (None, None, 400)]
     plan = rich._jdf.queryExecution().executedPlan().toString()
-    # Rows without an address are on the other side of the union and don't move.
-    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Union" in plan
+    # One pass over the events: rows without an address are dealt out by a salt.
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Union" not in plan
+    key = F.col("publicIpAddress")
+    salts = ev.select("publicIpAddress", G._spread(key, F.col("eventId")).alias("s")).distinct().collect()
+    assert [r["s"] for r in salts if r[0]] == [0] and len(salts) > 100
 
 
 def test_cache_size(spark):

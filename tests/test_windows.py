@@ -102,7 +102,7 @@ def test_every_event_lands_in_one_window(spark):
     by_sum = W.assign_tumbling(ev, F.col("ts"), start, gap, end, as_of).withColumn(
         "query_name", F.lit("q"))
     by_join = W.assign_windows(ev, F.col("ts"), planned, gap)
-    by_shuffle = W.assign_windows(ev, F.col("ts"), planned, gap, broadcast_rows=0)
+    by_shuffle = W.assign_windows(ev, F.col("ts"), planned, gap, broadcast_bytes=0)
 
     def rows(df):
         return sorted((r[0], r[1], r[2]) for r in df.select(

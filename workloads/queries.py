@@ -23,11 +23,19 @@ from filetrail.operators import routing as R
 from filetrail.operators import windows as W
 from filetrail.operators.domains import add_domains, domain_lookup
 from filetrail.plans.filters import QuerySpec, bounds, compile_filters, with_bounds
-from filetrail.plans.pull import run_pull
-from filetrail.schemas import GEO_CACHE, QUERIES, SUFFIX_RULES
+from filetrail.plans.pull import Options, run_pull, run_pulls
+from filetrail.schemas import FLAT_TARGET, GEO_CACHE, QUERIES, SUFFIX_RULES
 from filetrail.session import configure
 from filetrail.sinks.files import json_lines, write_windows
-from filetrail.sinks.targets import with_field_aliases, write_targets
+from filetrail.sinks.targets import (
+    create_target,
+    insert_targets,
+    target_partitions,
+    with_field_aliases,
+    write_targets,
+)
+from filetrail.sources.state import save_cache
+from filetrail.streaming import lookups as L
 from filetrail.streaming import runs as S
 from workloads.adapters import EVENTS, SHIPMENTS, as_raw_events, raw_events, raw_sql, table
 
@@ -900,6 +908,92 @@ def window_files(spark, sf):
     )
 
 
+@query(
+    f"{RAW_CTE}, r as (select case when event_id % 3 = 0 and ts < timestamp '2024-01-11' then "
+    "'late' else strftime(ts, 'files-%Y-%m-%d') end as target, strftime(ts, 'day-%j') as "
+    "window_id, event_id from raw) select target, window_id, count(*) as n_events, "
+    "min(event_id) as first_id from r group by 1, 2"
+)
+def catalog_targets(spark, sf):
+    """A table made, written, written again in part, and listed, by its catalog name."""
+    folder, name = run_folder(spark), f"targets_{uuid.uuid4().hex}"
+    raw = raw_events(spark, sf).withColumn("geo", F.lit(None).cast(G.GEO))
+    flat = N.type_flat(N.flatten_raw(raw, "geo"))
+    inserted = F.col("insertionTimestamp")
+    rows = R.route(flat, "files", inserted).withColumn(
+        "window_id", F.concat(F.lit("day-"), F.date_format(inserted, "DDD"))
+    )
+    create_target(spark, name, FLAT_TARGET, path=f"{folder}/table")
+    insert_targets(rows, name)
+    # Days that are run again replace their rows, a third of which now has another target.
+    again = rows.where(inserted < F.lit(utc(2024, 1, 11)))
+    late = F.expr("cast(substring(eventId, 4) as bigint) % 3 = 0")
+    insert_targets(again.withColumn("target", F.when(late, "late").otherwise(F.col("target"))), name)
+    written = spark.table(name).groupBy("target", "window_id").agg(
+        F.count("*").alias("n_events"),
+        F.min(F.expr("cast(substring(eventId, 4) as bigint)")).alias("first_id"),
+    )
+    listed = target_partitions(spark, name).select("target", "window_id")
+    return listed.join(written, ["target", "window_id"], "full").select(
+        "target", "window_id", "n_events", "first_id"
+    )
+
+
+def shared_specs() -> list[QuerySpec]:
+    def spec(name, hours, *filters, end="", **extra):
+        return QuerySpec.from_dict({
+            "name": name, "gap": timedelta(hours=hours), **extra,
+            "groups": [{"filters": [
+                *({"operator": "IS", "term": t, "value": v} for t, v in filters),
+                {"operator": "ON_OR_AFTER", "term": "insertionTimestamp",
+                 "value": "2024-01-01T00:00:00.000Z"},
+                {"operator": "ON_OR_BEFORE", "term": "insertionTimestamp", "value": end},
+            ]}]})
+
+    return [
+        spec("days", 24, base="files", route_by="onOrBefore"),
+        spec("deleted", 12, ("eventType", "Deleted"), base="gone", layout="2006.01",
+             route_by="insertionTimestamp"),
+        spec("archives", 24, ("fileName", "*.tar.gz"), end="2024-01-20T00:00:00.000Z",
+             base="archives", layout=""),
+    ]
+
+
+def _pulled_sql(name: str, hours: int, where: str, target: str, limit: str) -> str:
+    stride, gap = hours * 3_600_000 + 1, hours * 3_600_000
+    start, last = "epoch_ms(timestamp '2024-01-01')", f"epoch_ms(timestamp '{limit}')"
+    mark = ID_SQL.replace("dailyA", f"{name}A")
+    return (
+        f"select '{name}' as query_name, {mark} as window_id, {target} as target, count(*) as "
+        f"n_events from (select *, least(a + {gap}, {last}) as b from (select ts, {start} + ((epoch_us(ts) "
+        f"// 1000 - {start}) // {stride}) * {stride} as a from raw where {where} and epoch_us(ts) // 1000 "
+        f"<= {last})) group by 2, 3"
+    )
+
+
+@query(
+    f"{RAW_CTE} " + " union all ".join([
+        _pulled_sql("days", 24, "true", "strftime(make_timestamp(b * 1000), 'files-%Y-%m-%d')",
+                    "2024-01-31 23:45:00"),
+        _pulled_sql("deleted", 12, "\"eventType\" = 'Deleted'", "strftime(ts, 'gone-%Y.%m')",
+                    "2024-01-31 23:45:00"),
+        _pulled_sql("archives", 24, "\"fileName\" like '%.tar.gz'", "'archives'", "2024-01-20 00:00:00"),
+    ])
+)
+def shared_pulls(spark, sf):
+    """Three named queries with windows, filters and targets of their own, from one scan."""
+    folder = run_folder(spark)
+    written = ["eventId", "query_name", "window_id", "target"]
+    run_pulls(
+        raw_events(spark, sf), shared_specs(), f"{folder}/windows",
+        lambda df: write_windows(df.select(*written), f"{folder}/out", "parquet"),
+        as_of=LAST_LIMIT + W.SETTLE_LAG, started_at=utc(2024, 1, 1), options=Options(mode="raw"),
+    )
+    schema = "eventId string, target string, query_name string, window_id string"
+    rows = spark.read.schema(schema).parquet(f"{folder}/out")
+    return rows.groupBy("query_name", "window_id", "target").agg(F.count("*").alias("n_events"))
+
+
 # --- geo lookups ----------------------------------------------------------------
 
 AS_OF = utc(2024, 1, 30, 20)
@@ -972,7 +1066,7 @@ def geo_join(spark, sf):
 )
 def geo_join_spread(spark, sf):
     # The path for caches too large to broadcast.
-    rich = G.enrich_geo(raw_events(spark, sf), nation_cache(spark, sf), AS_OF, broadcast_rows=0)
+    rich = G.enrich_geo(raw_events(spark, sf), nation_cache(spark, sf), AS_OF, broadcast_bytes=0)
     return rich.groupBy(F.col("geo.country").alias("country_name")).agg(
         F.count("*").alias("n_events"), F.min("event_id").alias("first_id")
     )
@@ -1048,6 +1142,52 @@ def geo_misses(spark, sf):
     return G.cache_misses(asked, user_cache(spark, sf), AS_OF, "ip_address", "en")
 
 
+@query(
+    "with h as (select cast(user_id as varchar) as ip, ts as written, ts + case when event_type in "
+    "('click', 'error') then interval 30 minute else interval 8 hour end as expires, event_type "
+    "from events where event_type <> 'view' and user_id % 2 = 0), q as (select event_id, case "
+    "when event_id % 10 <> 0 then cast(user_id as varchar) end as ip, ts + to_minutes(event_id % "
+    "600) as t from events) select event_id, case when expires >= t then case when event_type in "
+    "('click', 'error') then 'fail' else 'success' end end as status, case when expires >= t and "
+    "event_type <> 'error' then event_type end as city from q asof left join h on q.ip = h.ip "
+    "and q.t >= h.written"
+)
+def geo_as_of(spark, sf):
+    """Every event's user looked up as the cache was up to ten hours after the event."""
+    history = G.cache_history(lookup_results(spark, sf))
+    asked = table(spark, sf, "events").select(
+        "event_id",
+        F.when(F.col("event_id") % 10 != 0, F.col("user_id").cast("string")).alias("ip_address"),
+        (F.col("ts").cast("timestamp") + F.expr("make_interval(0, 0, 0, 0, 0, cast(event_id % 600 as int))"))
+        .alias("t"),
+    )
+    rich = G.enrich_as_of(asked, history, F.col("t"), "ip_address", "en")
+    return rich.select("event_id", "geo.status", "geo.city")
+
+
+@query(
+    "select cast(user_id as varchar) as ip, 'en' as lang, 1::bigint as n_asked, count(*) as n_events "
+    "from events where user_id % 3 <> 0 group by 1"
+)
+def stream_misses(spark, sf):
+    """Events in four batches: every user without a cache row is asked for once."""
+    folder = run_folder(spark)
+    events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("user"))
+    events.repartition(4).write.parquet(f"{folder}/in")
+    known = events.where("cast(user as bigint) % 3 = 0").select(
+        F.col("user").alias("ip"), F.lit("en").alias("lang"), F.lit(AS_OF).alias("written_at"),
+        F.lit(utc(2100, 1, 1)).alias("expiration_time"), F.lit(None).cast(G.GEO).alias("location"),
+    )
+    save_cache(known.distinct(), f"{folder}/cache")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    run = L.start_misses(source, f"{folder}/asked", f"{folder}/cache", f"{folder}/checkpoint",
+                         ip_col="user", lang="en", name=f"misses-{uuid.uuid4().hex}")
+    run.awaitTermination()
+    asked = L.asked_keys(spark, f"{folder}/asked").groupBy("ip", "lang").agg(F.count("*").alias("n_asked"))
+    seen = events.groupBy(F.col("user").alias("ip")).agg(F.count("*").alias("n_events"))
+    return asked.join(seen, "ip", "left").select("ip", "lang", "n_asked", "n_events")
+
+
 @query(
     f"with {NATION_GEO.replace('where n_nationkey % 6 <> 0', '')} select ip, 'success' as status, "
     "country, cast(null as varchar) as currency, cast(null as varchar) as continent, ip as query, "
