@@ -47,7 +47,7 @@ ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu",
     "menubar", "toolbar", "form", "status", "tablist", "tooltip",
 }
-# Words that name what is not the article, in class names and ids.
+# Our choice: words that name what is not the article, in class names and ids.
 UNLIKELY = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion",
     "banner", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "sidebar", "aside", "footer",
@@ -57,7 +57,12 @@ UNLIKELY = {
     "widget", "pagination", "pager", "toolbar", "skip", "search", "searchbox", "form", "copyright", "legal",
     "disclaimer", "teaser", "outbrain", "taboola", "feedback", "rating", "paywall",
 }
+#: What readers wrote; never the article, however much of it there is.
+COMMENTS = {"comment", "comments", "disqus", "reply", "replies"}
+#: What follows these in a name is only what an element has or lacks: page-with-sidebar.
 NOT_REALLY = {"no", "has", "with", "without", "not"}
+#: Elements that are a paragraph themselves, not what holds one.
+PARAGRAPHS = {"p", "pre", "blockquote", "address", "h1", "h2", "h3", "h4", "h5", "h6"}
 POINTS = {
     "article": 25, "main": 15, "section": 0, "div": 5, "pre": 3, "td": 3, "blockquote": 3, "address": -3, "ol": -3,
     "ul": -3, "dl": -3, "dd": -3, "dt": -3, "li": -3, "h1": -5, "h2": -5, "h3": -5, "h4": -5, "h5": -5, "h6": -5, "th": -5,
@@ -71,9 +76,12 @@ VAGUE = {
 }
 
 MIN_PARAGRAPH = 25
-#: Shares of the page's paragraph text above which an element stays although its name, or
-#: only a part of its name, or its being a form speaks against it.
+#: Where no container outside such elements has a paragraph: shares of the page's text above
+#: which an element stays although its name, or a part of it, or its being a form speaks
+#: against it.
 PURE, MIXED = 0.9, 0.5
+#: Text right in the body that makes it a container; less may be a stray line.
+STRAY = 100
 #: Elements opened below this depth become siblings, as in browsers.
 DEPTH = 512
 
@@ -165,16 +173,33 @@ def parse(html: str) -> Node:
     return root
 
 
-def _unlikely(node: Node, in_article: bool, unlikely: set[str]) -> float:
-    """The share of the page's paragraph text up to which an element is not the article.
+def _names(node: Node) -> list[list[str]]:
+    """The words of each class name and id, less those that say what the element only has."""
+    found = []
+    for m in _ATTRIBUTE.finditer(node.attributes):
+        if m[1].lower() not in ("class", "id"):
+            continue
+        for name in (m[2] or m[3] or m[4] or "").split():
+            words = [w.lower() for w in _NAMES.findall(name)]
+            words = words[:next((i for i, w in enumerate(words) if w in NOT_REALLY), len(words))]
+            if "free" in words[1:]:  # as in ad-free
+                at = words.index("free", 1)
+                words[at - 1:at + 1] = []
+            if words:
+                found.append(words)
+    return found
+
 
-    0 for elements that are always kept, 1 for those that never are.
+def _unlikely(node: Node, names: list[list[str]], in_article: bool, unlikely: set[str]) -> float:
+    """0 if nothing speaks against an element, 1 if it is never the article.
+
+    Between, what speaks against it is its name or being a form, and it may still be a
+    wrapper of the whole page: the share of the text it needs where nothing else is there.
     """
     form = node.tag == "form"
     if node.tag in DROPPED and not form and not (node.tag == "header" and in_article):
         return 1
     most = MIXED if form else 0
-    names = []
     for m in _ATTRIBUTE.finditer(node.attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -185,14 +210,10 @@ def _unlikely(node: Node, in_article: bool, unlikely: set[str]) -> float:
             most = MIXED
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return 1
-        if name in ("class", "id"):
-            names += value.split()
-    if node.tag in ("article", "main") and not any("comment" in x.lower() for x in names):
+    if node.tag in ("article", "main") and not any(COMMENTS & {*words} for words in names):
         return most
-    for name in names:
-        words = [w.lower() for w in _NAMES.findall(name)]
-        if words and words[0] not in NOT_REALLY and not unlikely.isdisjoint(words):
-            # Names such as page-with-sidebar speak of the whole page as well.
+    for words in names:
+        if not unlikely.isdisjoint(words):
             most = max(most, PURE if unlikely.issuperset(words) else MIXED)
     return most
 
@@ -200,37 +221,84 @@ def _unlikely(node: Node, in_article: bool, unlikely: set[str]) -> float:
 def _prune(root: Node, unlikely: set[str]) -> None:
     """Take out what is not the article.
 
-    An element named like something else stays if it holds most of the page's paragraph
-    text outside other such elements.
+    Elements that a name speaks against go, whatever their size, if an article, a main
+    element, one with a promising name or any other container has a paragraph outside
+    them, and a form if it does not hold the article. Only if there is none, those stay that
+    hold such an element, or failing that most of the text; what readers wrote never does.
     """
-    found: list[tuple[Node, float]] = []
+    doubtful: dict[Node, float] = {}
+    gone: set[Node] = set()
+    order: list[Node] = []
+    within: dict[Node, Node | None] = {}  # the nearest doubtful element, itself included
+    readers: set[Node] = set()
+    promising: list[Node] = []
     own: dict[Node, int] = {}
     # Short articles count in the whole, so that a longer stray block isn't most of the page.
     total = 0
-    stack = [(root, False, False)]
+    stack = [(root, None, False, False)]
     while stack:
-        node, inside, link = stack.pop()
-        most = _unlikely(node, inside, unlikely) if node is not root else 0
-        found.append((node, most))
-        own[node] = 0
+        node, around, inside, link = stack.pop()
+        names = _names(node) if node is not root else []
+        most = _unlikely(node, names, inside, unlikely) if node is not root else 0
         if most == 1:
+            gone.add(node)
             continue
+        if most:
+            doubtful[node] = most
+            if around in readers or any(COMMENTS & {*words} for words in names):
+                readers.add(node)
+            around = node
+        elif node is not root:
+            marked = node.tag in ("article", "main")
+            if marked or (around not in readers and any(POSITIVE & {*words} for words in names)):
+                promising.append(node)
+        order.append(node)
+        within[node], own[node] = around, 0
         inside = inside or node.tag in ("article", "main")
         link = link or node.tag == "a"
         for c in node.children:
             if not isinstance(c, str):
-                stack.append((c, inside, link))
+                stack.append((c, around, inside, link))
             elif not link:
                 n = len(" ".join(c.split()))
                 total += n
                 own[node] += n if n >= MIN_PARAGRAPH else 0
-    gone = set()
-    for node, most in reversed(found):
-        if most and own[node] <= most * total:
-            gone.add(node)
-        elif node.parent is not None:
-            own[node.parent] += own[node]
-    for node, _ in found:
+    clean = dict(own)
+    for node in reversed(order):
+        if node not in doubtful and node.parent is not None:
+            clean[node.parent] += clean[node]
+    def wrappers(x: Node) -> list[Node]:
+        out, around = [], within[x]
+        while around is not None:
+            out.append(around)
+            around = within[around.parent]
+        return out
+
+    def rank(x: Node) -> tuple[int, bool, int]:
+        """First those in no doubtful element, then articles in a mere form."""
+        marked, around = x.tag in ("article", "main"), wrappers(x)
+        forms = marked and all(w.tag == "form" and doubtful[w] == MIXED for w in around)
+        return (2 if not around else 1 if forms else 0), marked, clean[x]
+
+    ranked = [(rank(x), x) for x in promising if clean[x]]
+    level, best = max(ranked, key=lambda r: r[0], default=((0,), None))
+    outside = clean[root] >= STRAY or any(
+        clean[x] for x in order
+        if within[x] is None and x is not root and x.tag not in INLINE and x.tag not in PARAGRAPHS
+    )
+    keep: set[Node] = set()
+    if best is not None and (level[0] or not outside):
+        keep.update(wrappers(best))
+    elif not outside:
+        for node in reversed(order):
+            if node in doubtful and (node in readers or own[node] <= doubtful[node] * total):
+                continue
+            if node in doubtful:
+                keep.add(node)
+            if node.parent is not None:
+                own[node.parent] += own[node]
+    gone |= doubtful.keys() - keep
+    for node in order:
         node.children = [c for c in node.children if isinstance(c, str) or c not in gone]
 
 

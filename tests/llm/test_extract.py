@@ -93,3 +93,30 @@ def test_long_comments_still_go():
 
 def test_short_articles_do_not_let_others_in():
     assert main_text(f"<div id=page><h1>Short one.</h1><p>Short one.</p></div><div class=sidebar><p>{BODY[:60]}</p></div>") == "Short one.\nShort one."
+
+
+ARTICLE = "Article text, with a comma, that goes on for a while and then for a while longer. "
+ARTICLE = f"<h1>Title</h1><p>{ARTICLE * 2}</p><p>{ARTICLE * 2}</p>"
+ARTICLE_TEXT = "Title\n" + "\n".join(["Article text, with a comma, that goes on for a while and then for a while longer. " * 2] * 2)
+ARTICLE_TEXT = "\n".join(x.strip() for x in ARTICLE_TEXT.split("\n"))
+
+
+@pytest.mark.parametrize("name", [
+    "comments", "comment-list", "reader-comments", "comments-area", "user-comments", "post-comments", "commentList",
+    "sidebar-left", "cookie-bar", "ad-slot", "site-notice", "menu-main", "related-posts", "replies",
+])
+@pytest.mark.parametrize("n", [1, 10, 60])
+def test_what_is_not_the_article_goes_whatever_its_size(name, n):
+    one = f"<div class=content><p>{BODY}</p></div>" if n == 10 else f"<p>{BODY}</p>"
+    other = f"<div class='{name}'>{one * n}</div>"
+    for article in ("<article>{}</article>", "<main>{}</main>", "<div class=post>{}</div>", "<div>{}</div>", "{}",
+                    "<form><article>{}</article></form>", "<div class='sidebar-layout'><div><main>{}</main></div></div>"):
+        article = article.format(ARTICLE)
+        for page in (article + other, other + article, f"<div class=wrap>{article}{other}</div>", f"<div id=page>{article}{other}</div>"):
+            assert main_text(f"<html><body>{page}</body></html>") == ARTICLE_TEXT, page[:200]
+
+
+def test_names_of_what_an_element_has():
+    for name in ("page-with-comments", "content-ads-free", "no-sidebar", "has-cookie-notice", "layout-without-ads"):
+        side = f"<div class=ads><p>{BODY}</p></div><div class=comments>{f'<p>{BODY}</p>' * 20}</div>"
+        assert main_text(f"<div class='{name}'>{ARTICLE}{side}</div>") == ARTICLE_TEXT
