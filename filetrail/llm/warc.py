@@ -304,6 +304,11 @@ def _convert(batches: Iterator[pa.RecordBatch], folder: str, key_header: str) ->
     yield out.manifest()
 
 
+def _dealt(files: DataFrame) -> DataFrame:
+    """The list of files with a task for each; rows this short would else share one task."""
+    return files.repartitionByRange(max(1, files.count()), "path")
+
+
 def convert(archives: DataFrame, folder: str, min_bytes: int = MIN_REVISIT,
             key_header: str = KEY_HEADER) -> DataFrame:
     """Convert ARC files to WARC files in ``folder``; the manifest of the files written.
@@ -323,7 +328,7 @@ def convert(archives: DataFrame, folder: str, min_bytes: int = MIN_REVISIT,
     """
     ship(archives.sparkSession)
     files = archives.select("path", "name")
-    index = cut(files.repartition("path").mapInArrow(lambda it: _index(it, key_header), RECORDS), "arc-index")
+    index = cut(_dealt(files).mapInArrow(lambda it: _index(it, key_header), RECORDS), "arc-index")
     first = F.struct(F.col("key").isNull().alias("none"), "key", "record_id", "uri", "date")
     large = index.where((F.col("kind") == "response") & (F.col("payload_bytes") >= min_bytes))
     firsts = large.groupBy("digest").agg(F.min(first).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -339,7 +344,8 @@ def convert(archives: DataFrame, folder: str, min_bytes: int = MIN_REVISIT,
     # A file holds a bounded number of records, so its list of revisits is bounded too.
     lists = later.groupBy(F.col("path").alias("_path")).agg(F.collect_list("revisit").alias("revisits"))
     work = files.join(lists, F.col("path") == F.col("_path"), "left").select("path", "name", "revisits")
-    return cut(work.repartition("path").mapInArrow(lambda it: _convert(it, folder, key_header), MANIFEST), "warc-files")
+    work = cut(work, "arc-work")
+    return cut(_dealt(work).mapInArrow(lambda it: _convert(it, folder, key_header), MANIFEST), "warc-files")
 
 
 def read_warc(path: str) -> Iterator[tuple[int, dict[str, str], bytes]]:
@@ -393,7 +399,7 @@ def read_records(archives: DataFrame, key_header: str = KEY_HEADER) -> DataFrame
     that differs from its digest fails with its name and place.
     """
     ship(archives.sparkSession)
-    return archives.select("path").repartition("path").mapInArrow(lambda it: _read(it, key_header), WARC_RECORDS)
+    return _dealt(archives.select("path")).mapInArrow(lambda it: _read(it, key_header), WARC_RECORDS)
 
 
 def _archive(batches: Iterator[pa.RecordBatch], folder: str, version: int | None, key_header: str):

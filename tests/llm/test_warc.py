@@ -96,3 +96,25 @@ def test_files_roll_over_and_follow_the_format(spark, monkeypatch):
     path = files.first()["path"].removeprefix("file:")
     text = gzip.decompress(Path(path).read_bytes())
     assert text.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n") and text.endswith(b"\r\n\r\n")
+
+
+def test_a_task_for_each_archive(spark):
+    data = [(i, f"http://h/{i}", PAGE + str(i % 7)) for i in range(64)]
+    clashing = pages(spark, data).selectExpr("*", *(f"'x' as {c}" for c in ("path", "name", "revisits", "digest", "key", "kind")))
+    arcs = W.write_arc(clashing.repartition(8), new_folder(spark, "arc"))
+    assert arcs.count() == 8
+    assert W._dealt(arcs).rdd.glom().map(len).collect() == [1] * 8
+    files = W.convert(arcs, new_folder(spark, "warc"))
+    assert files.count() == 8, "each task wrote a file of its own"
+    read = W.read_records(files)
+    assert read.rdd.getNumPartitions() == 8 and read.count() == 64
+    assert sorted(rows(W.archive_pages(clashing), "page_id", "record_type"), key=str) == [
+        (b[0], b[3]) for b in brute(data)]
+
+
+def test_a_page_larger_than_a_file(spark):
+    large = "long page é " * (W.FILE_BYTES // 10)
+    data = [(1, "http://h/1", PAGE), (2, "http://h/2", large), (3, "http://h/3", large), (4, "http://h/4", PAGE)]
+    assert len(large.encode()) > W.FILE_BYTES
+    got = W.archive_pages(pages(spark, data).coalesce(1))
+    assert sorted(rows(got, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), key=str) == brute(data)
