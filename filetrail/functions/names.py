@@ -33,18 +33,41 @@ LAYOUT = {
     "05": "ss",
     "5": "s",
     "PM": "a",
-    ".000": ".SSS",
+    "002": "DDD",
     "MST": "z",
     "-0700": "xx",
+    "-07:00": "xxx",
+    "-07": "x",
+    "Z0700": "XX",
+    "Z07:00": "XXX",
+    "Z07": "X",
 }
-_ELEMENT = re.compile("|".join(re.escape(k) for k in sorted(LAYOUT, key=len, reverse=True)))
+# Elements that no pattern gives: padding with blanks, small letters.
+REFUSED = ("_2", "__2", "pm")
+#: Parts of a second: zeros or nines after a mark, with no other digit behind them.
+_FRACTION = r"[.,](?:0+|9+)(?![0-9])"
+_ELEMENT = re.compile(
+    "|".join([_FRACTION, "__2", "_2(?!006)", *(
+        re.escape(k) for k in sorted((*LAYOUT, *REFUSED), key=len, reverse=True) if k[0] != "_"
+    )])
+)
 
 
 def date_pattern(layout: str) -> str:
-    """A ``date_format`` pattern for a reference-time layout such as ``2006-01-02``."""
+    """A ``date_format`` pattern for a reference-time layout such as ``2006-01-02``.
+
+    A layout with an element that no pattern gives is refused.
+    """
     out, at = [], 0
     for m in _ELEMENT.finditer(layout):
-        out += [_literal(layout[at : m.start()]), LAYOUT[m.group()]]
+        element = m.group()
+        if element[0] == "." and 2 <= len(element) <= 10 and not element.strip(".0"):
+            pattern = "." + "S" * (len(element) - 1)
+        elif element in LAYOUT:
+            pattern = LAYOUT[element]
+        else:
+            raise ValueError(f"layout element not supported: {element} in {layout}")
+        out += [_literal(layout[at : m.start()]), pattern]
         at = m.end()
     return "".join(out + [_literal(layout[at:])])
 

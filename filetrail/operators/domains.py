@@ -6,10 +6,11 @@ a host needs one equality lookup per label count: with ``d`` labels a normal rul
 makes the suffix d labels long, a wildcard d+1, an exception d-1. Exceptions win,
 then the longest suffix; without a match the last label is the suffix.
 
-No event moves and nothing is joined: the rules become a literal array of small maps,
-and a lookup computes the map's place from a hash of the text, so its cost doesn't grow
-with the list. It works inside array columns as well. Rule lists are reference data the
-driver holds; there is no limit to their length.
+Lists of up to ``RULE_BYTES``, which public lists are far below, become a literal array of
+small maps in the plan: no event moves and nothing is joined, and a lookup computes the
+map's place from a hash of the text, so its cost doesn't grow with the list. It works inside
+array columns as well. ``add_domains`` resolves by a longer list with a join: the suffixes
+of the distinct hosts meet the rules, and what they give joins the events by host.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from filetrail.functions.fields import omit_empty
+from filetrail.operators.geo import spread
 
 NORMAL, WILDCARD, EXCEPTION = 1, 2, 4
+#: Rules of more bytes stay in their table.
+RULE_BYTES = 16 << 20
 
 
 def rules_by_base(rules: DataFrame) -> DataFrame:
@@ -101,12 +105,60 @@ def domain_lookup(rules: DataFrame,
     return lookup
 
 
-def add_domains(df: DataFrame, url_col: str, rules: DataFrame,
-                rows: list[Row] | None = None) -> DataFrame:
-    """Fill ``registered_domain`` and ``top_level_domain`` of a URL struct column."""
-    registered, suffix = domain_lookup(rules, rows)(F.col("_domain"))
+def fits_literal(rules: DataFrame, max_bytes: int = RULE_BYTES) -> bool:
+    """True when the rules take at most about ``max_bytes`` in a plan; they are counted."""
+    size = rules.agg(F.sum(F.octet_length("rule") + 16)).first()[0]
+    return (size or 0) <= max_bytes
+
+
+def resolve_hosts(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+    """``host, registered, suffix`` of distinct ``host`` texts, by a join with the rules.
+
+    Each host makes a row for every suffix of its that can be a rule, so a list of any
+    length is joined on equality; the longest match is a partial maximum.
+    """
+    bases = rules_by_base(rules)
+    deepest = bases.agg(F.max("depth")).first()[0] or 0
+    host = F.col("host")
+    known = hosts.select(host).where(host.isNotNull()).distinct()
+    labels = label_count(host)
+    levels = F.sequence(F.lit(1), F.least(labels, F.lit(max(1, deepest))))
+    cut = known.withColumn("depth", F.explode(levels)).withColumn("base", last_labels(host, F.col("depth")))
+    met = cut.join(bases.select("base", "flags"), "base")
+    flags, depth = F.col("flags"), F.col("depth")
+    length = F.greatest(
+        F.when((flags.bitwiseAND(WILDCARD) != 0) & (labels > depth), depth + 1),
+        F.when(flags.bitwiseAND(NORMAL) != 0, depth),
+    )
+    found = met.groupBy("host").agg(
+        F.max(F.when(flags.bitwiseAND(EXCEPTION) != 0, depth - 1)).alias("exception"),
+        F.max(length).alias("length"),
+    )
+    n = F.coalesce("exception", F.greatest(F.lit(1), "length"))
+    registered, suffix = _domain_pair(host, n)
+    every = known.join(found, "host", "left")
+    return every.select("host", registered.alias("registered"), suffix.alias("suffix"))
+
+
+def add_domains(df: DataFrame, url_col: str, rules: DataFrame, rows: list[Row] | None = None,
+                rule_bytes: int = RULE_BYTES) -> DataFrame:
+    """Fill ``registered_domain`` and ``top_level_domain`` of a URL struct column.
+
+    With more than ``rule_bytes`` of rules the events are joined with their hosts; rows
+    without a host keep their place by a salt, and adaptive execution splits a busy host.
+    """
     found = df.withColumn("_domain", F.col(url_col)["domain"])
-    found = found.withColumn("_pair", F.array(registered, suffix))
+    if rows is not None or fits_literal(rules, rule_bytes):
+        registered, suffix = domain_lookup(rules, rows)(F.col("_domain"))
+        found = found.withColumn("_pair", F.array(registered, suffix))
+    else:
+        pairs = resolve_hosts(found.select(F.col("_domain").alias("host")), rules)
+        pairs = pairs.select(
+            F.col("host").alias("_host"), F.lit(0).alias("_match"), F.array("registered", "suffix").alias("_pair")
+        )
+        salted = found.withColumn("_salt", spread(F.col("_domain"), F.struct(F.col(url_col))))
+        both = (F.col("_domain") == F.col("_host")) & (F.col("_salt") == F.col("_match"))
+        found = salted.join(pairs, both, "left").drop("_host", "_match", "_salt")
     filled = F.col(url_col).withField("registered_domain", F.get("_pair", F.lit(0)))
     filled = filled.withField("top_level_domain", F.get("_pair", F.lit(1)))
     return found.withColumn(url_col, filled).drop("_domain", "_pair")

@@ -177,7 +177,7 @@ def enrich_geo(events: DataFrame, cache: DataFrame, as_of: datetime,
     return joined.drop("_ip")
 
 
-def _spread(key: Column, by: Column) -> Column:
+def spread(key: Column, by: Column) -> Column:
     """0 for rows with a key; rows without one, which match nothing, are dealt by a hash."""
     return F.when(key.isNull(), 1 + F.pmod(F.xxhash64(by), F.lit(SALTS - 1))).otherwise(0).cast("int")
 
@@ -191,7 +191,7 @@ def _spread_join(events: DataFrame, locations: DataFrame, key: Column) -> DataFr
     plain = [f.name for f in events.schema.fields if isinstance(f.dataType, T.AtomicType)]
     by = F.struct(*[F.col(f"`{c}`") for c in plain])
     right = locations.withColumn("_match", F.lit(0)).hint("merge")
-    salted = events.withColumn("_salt", _spread(key, by))
+    salted = events.withColumn("_salt", spread(key, by))
     found = salted.join(right, (key == F.col("_ip")) & (F.col("_salt") == F.col("_match")), "left")
     return found.drop("_salt", "_match")
 
@@ -246,7 +246,7 @@ def enrich_as_of(events: DataFrame, history: DataFrame, time: Column,
     key = omit_empty(F.col(ip_col))
     names = events.columns
     found = events.withColumns({"_key": key, "_at": F.unix_micros(time.cast("timestamp"))})
-    found = found.withColumn("_salt", _spread(F.col("_key"), F.col("_at")))
+    found = found.withColumn("_salt", spread(F.col("_key"), F.col("_at")))
     values = []
     for i in levels:
         side = intervals.where(F.col("_level") == i).select(

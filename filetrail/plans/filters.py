@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from filetrail.functions.fields import event_time, insertion_time
+from filetrail.functions.names import date_pattern
 from filetrail.schemas import RAW_LISTS
 
 IS, AFTER, BEFORE = "IS", "ON_OR_AFTER", "ON_OR_BEFORE"
@@ -43,6 +44,9 @@ class QuerySpec:
     layout: str = "2006-01-02"
     route_by: str = "timeNow"
 
+    def __post_init__(self) -> None:
+        date_pattern(self.layout)  # refuses what it can't write
+
     @staticmethod
     def from_dict(d: Mapping) -> QuerySpec:
         """From the nested form ``{name, groups: [{filters: [...], filterClause}]}``."""

@@ -121,7 +121,7 @@ def test_geo_point(spark):
     ("2006-01-02", "base-2024-03-05"),
     ("2006.01", "base-2024.03"),
     ("", "base"),
-    ("06_1_2 15h04m05.000", "base-24_3_5 14h07m09.123"),
+    ("06_1-2 15h04m05.000", "base-24_3-5 14h07m09.123"),
     ("Monday Jan 02 03:04PM", "base-Tuesday Mar 05 02:07PM"),
 ])
 def test_target_layouts(spark, layout, expected):
@@ -168,3 +168,21 @@ def test_user_names(spark):
 
 def test_column_helper_keeps_nulls(spark):
     assert column(spark, [None, "a"]).where("c is null").count() == 1
+
+
+def test_layout_elements_are_right_or_refused(spark):
+    from filetrail.functions.names import date_pattern, target_name
+    from filetrail.plans.filters import QuerySpec
+    t = utc(2024, 2, 5, 15, 4, 9, 120_000)
+    layouts = {
+        "2006.002": "2024.036", "15:04:05.000000": "15:04:09.120000", "05.00": "09.12", "3PM": "3PM", "03 PM": "03 PM",
+        "2006-01-02T15:04:05Z07:00": "2024-02-05T15:04:09Z", "15-07:00": "15+00:00", "15-0700": "15+0000",
+        "2006.01.02.15": "2024.02.05.15", "Mon Jan 2 06": "Mon Feb 5 24", "15h04": "15h04", "01_2006": "02_2024", "2006_01_02": "2024_02_05",
+    }
+    df = spark.range(1).select(*[target_name("b", F.lit(t), k).alias(str(i)) for i, k in enumerate(layouts)])
+    assert list(df.first()) == [f"b-{v}" for v in layouts.values()]
+    for odd in ("Jan _2", "3pm", "15:04:05.999", "05,000", "__2"):
+        with pytest.raises(ValueError, match="layout element"):
+            date_pattern(odd)
+        with pytest.raises(ValueError, match="layout element"):
+            QuerySpec("q", (), layout=odd)

@@ -110,7 +110,7 @@ def test_a_large_cache_is_joined_by_shuffle(spark):
     # One pass over the events: rows without an address are dealt out by a salt.
     assert "SortMergeJoin" in plan and "Broadcast" not in plan and "Union" not in plan
     key = F.col("publicIpAddress")
-    salts = ev.select("publicIpAddress", G._spread(key, F.col("eventId")).alias("s")).distinct().collect()
+    salts = ev.select("publicIpAddress", G.spread(key, F.col("eventId")).alias("s")).distinct().collect()
     assert [r["s"] for r in salts if r[0]] == [0] and len(salts) > 100
 
 

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from filetrail.functions import urls as U
-from filetrail.operators.domains import add_domains, domain_lookup
+from filetrail.operators.domains import add_domains, domain_lookup, fits_literal
 from filetrail.schemas import SUFFIX_RULES
 from tests.util import apply, column
 
@@ -110,6 +110,9 @@ def domains_of(spark, hosts, rules):
     both = filled.withColumn("t", U.tab_list(tabs, domain_lookup(rules))[0]["url"])
     rows = both.orderBy("i").select("u", "t").collect()
     assert all(r["u"] == r["t"] for r in rows)  # joined and literal rules agree
+    joined = add_domains(U.with_url_info(df, "url", "u"), "u", rules, rule_bytes=0)
+    assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
+    assert [r["u"] for r in joined.orderBy("i").select("u").collect()] == [r["u"] for r in rows]
     return [(r["u"]["registered_domain"], r["u"]["top_level_domain"]) for r in rows]
 
 
@@ -165,3 +168,16 @@ def test_a_long_rule_list(spark):
     tabs = F.array(F.struct(F.lit("t").alias("title"), F.col("url").alias("url")))
     tab = U.tab_list(tabs, domain_lookup(rules))[0]["url"]["registered_domain"]
     assert df.orderBy("i").select(tab).collect()[0][0] == "b.zone59999.com"
+
+
+def test_two_million_rules_stay_in_their_table(spark):
+    made = spark.range(2_000_000).selectExpr("concat('zone', id, '.com') as rule", "'normal' as kind")
+    rules = spark.createDataFrame(RULES, SUFFIX_RULES).unionByName(made)
+    assert not fits_literal(rules) and fits_literal(spark.createDataFrame(RULES, SUFFIX_RULES))
+    urls = ["http://a.b.zone1999999.com/x", "http://q.co.uk", "http://w.zone2000000.com", None, "not a url", "http://www.ck"]
+    df = column(spark, urls * 50, name="url")
+    found = add_domains(U.with_url_info(df, "url", "u"), "u", rules)
+    rows = [tuple(r) for r in found.orderBy("i").select("u.registered_domain", "u.top_level_domain").collect()]
+    assert len(rows) == 300 and rows[:6] == rows[294:] and rows[:4] == [
+        ("b.zone1999999.com", "zone1999999.com"), ("q.co.uk", "co.uk"), ("zone2000000.com", "com"), (None, None)]
+    assert rows[5] == ("www.ck", "ck")

@@ -24,7 +24,7 @@ from filetrail.operators import windows as W
 from filetrail.operators.domains import add_domains, domain_lookup
 from filetrail.plans.filters import QuerySpec, bounds, compile_filters, with_bounds
 from filetrail.plans.pull import Options, run_pull, run_pulls
-from filetrail.schemas import FLAT_TARGET, GEO_CACHE, QUERIES, SUFFIX_RULES
+from filetrail.schemas import FLAT_TARGET, GEO_CACHE, QUERIES, RAW_ALIASES, SUFFIX_RULES
 from filetrail.session import configure
 from filetrail.sinks.files import json_lines, write_windows
 from filetrail.sinks.targets import (
@@ -34,7 +34,8 @@ from filetrail.sinks.targets import (
     with_field_aliases,
     write_targets,
 )
-from filetrail.sources.state import save_cache
+from filetrail.sources.events import read_raw
+from filetrail.sources.state import load_cache, read_locations, refresh_cache, save_cache
 from filetrail.streaming import lookups as L
 from filetrail.streaming import runs as S
 from workloads.adapters import EVENTS, SHIPMENTS, as_raw_events, raw_events, raw_sql, table
@@ -511,6 +512,28 @@ def url_registered_domain(spark, sf):
     )
 
 
+@query(
+    "with h as (select page_id, split_part(url, '/', 3) as host from pages), s as (select *, "
+    "string_split(host, '.') as l from h), t as (select *, coalesce(length(l[-3]) % 2 = 0, false) as "
+    "own, array_to_string(l[-3:], '.') as site from s) select page_id, host as domain, case when not "
+    "own then concat('example.', l[-1]) when len(l) > 3 then concat(l[-4], '.', site) end as "
+    "registered, case when own then site else l[-1] end as suffix from t"
+)
+def url_domains_by_join(spark, sf):
+    """The hosts of all pages by rules that grow with the table, so that they stay in it."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    urls = U.with_url_info(pages, "url", "u")
+    site = F.regexp_extract("u.domain", r"([^.]+)\.example\.[^.]+$", 1)
+    owned = urls.where((site != "") & (F.length(site) % 2 == 0))
+    rules = owned.select(
+        F.regexp_extract("u.domain", r"[^.]+\.example\.[^.]+$", 0).alias("rule"), F.lit("normal").alias("kind")
+    ).distinct()
+    return add_domains(urls, "u", rules, rule_bytes=0).select(
+        "page_id", F.col("u.domain").alias("domain"), F.col("u.registered_domain").alias("registered"),
+        F.col("u.top_level_domain").alias("suffix"),
+    )
+
+
 @query(
     f"with h as (select page_id, {HOST} as domain, split_part(url, '/', 3) as host from pages) "
     "select page_id, cast(case when page_id % 4 = 0 then 0 else 3 end as int) as n_tabs, "
@@ -994,6 +1017,104 @@ def shared_pulls(spark, sf):
     return rows.groupBy("query_name", "window_id", "target").agg(F.count("*").alias("n_events"))
 
 
+@query(
+    f"{RAW_CTE} select {CLASS_SQL} as event_class, strftime(ts, '%Y-%m-%d') as day, count(*) as n_events, "
+    "sum(fileSize)::bigint as bytes, count(nullif(createTimestamp, '')) as n_created, "
+    "sum(len(privateIpAddresses))::bigint as n_private from raw group by 1, 2"
+)
+def landed_events(spark, sf):
+    """Raw events landed as JSON lines with other field spellings, and read back."""
+    folder = run_folder(spark)
+    wire = {ours: theirs for theirs, ours in RAW_ALIASES.items()}
+    raw_events(spark, sf).drop("event_id").withColumnsRenamed(wire).write.json(folder)
+    raw = read_raw(spark, folder, aliases=RAW_ALIASES)
+    day = F.date_format(E.insertion_time(F.col("insertionTimestamp")), "yyyy-MM-dd").alias("day")
+    return raw.groupBy(E.event_class(F.col("eventType")).alias("event_class"), day).agg(
+        F.count("*").alias("n_events"), F.sum("fileSize").alias("bytes"),
+        F.count(E.omit_empty(F.col("createTimestamp"))).alias("n_created"),
+        F.sum(F.coalesce(F.size("privateIpAddresses"), F.lit(0))).alias("n_private"),
+    )
+
+
+@query(
+    f"{RAW_CTE} select {CLASS_SQL} as event_class, strftime(ts, 'files-%Y-%m') as target, "
+    "osHostName as host, count(nullif(deviceUserName, '')) as n_users, count(*) as n_events "
+    "from raw group by 1, 2, 3"
+)
+def alias_views(spark, sf):
+    """A target table read by the name of an alias, with fields by their other names."""
+    folder, name = run_folder(spark), f"aliased_{uuid.uuid4().hex}"
+    raw = raw_events(spark, sf).withColumn("geo", F.lit(None).cast(G.GEO))
+    flat = N.type_flat(N.flatten_raw(raw, "geo"))
+    rows = R.route(flat, "files", F.col("insertionTimestamp"), "2006-01")
+    create_target(spark, name, FLAT_TARGET, [f"{name}_all", f"{name}_too"], path=f"{folder}/table")
+    insert_targets(rows.withColumn("window_id", F.lit("once")), name)
+    seen = with_field_aliases(spark.table(f"{name}_too"))
+    return seen.groupBy(E.event_class(F.col("eventType")).alias("event_class"), "target", "host").agg(
+        F.count("username").alias("n_users"), F.count("*").alias("n_events")
+    )
+
+
+@query(
+    "select strftime(ts, '%Y-%m-%d') as day, count(*) + count(*) filter (event_id % 30 = 0) as "
+    "n_events, count(distinct event_id) as n_ids from events group by 1"
+)
+def stream_repeats(spark, sf):
+    """Every third event lands twice; ids drop the repeats, events without one all stay."""
+    folder = run_folder(spark)
+    events = table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 10 != 0, F.col("event_id").cast("string")).alias("eventId"),
+        "event_id", F.col("ts").cast("timestamp").alias("ts"),
+    )
+    events.unionAll(events.where("event_id % 3 = 0")).repartition(4).write.parquet(f"{folder}/in")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/in")
+    once = S.drop_repeats(source, F.col("ts"), within="60 days")
+    run = (
+        once.writeStream.format("parquet").option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    )
+    run.awaitTermination()
+    rows = spark.read.schema(events.schema).parquet(f"{folder}/out")
+    return rows.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
+        F.count("*").alias("n_events"), F.countDistinct("event_id").alias("n_ids")
+    )
+
+
+@query(
+    f"{RAW_CTE} select event_id, \"eventId\" as id, nullif(\"eventType\", '') as type, case when event_id % 7 = 0 "
+    "then epoch_ms(date_trunc('second', ts)) else epoch_ms(date_trunc('millisecond', ts)) end as happened_ms, "
+    "epoch_ms(date_trunc('millisecond', ts)) as inserted_ms, \"filePath\" as path, \"fileName\" as name, "
+    "nullif(\"fileType\", '') as file_type, nullif(\"fileCategory\", '') as category, \"fileOwner\" as owner, "
+    "\"fileSize\" as size, nullif(\"md5Checksum\", '') as md5, nullif(\"sha256Checksum\", '') as sha256, "
+    "case when event_id % 3 <> 0 then epoch_ms(date_trunc('millisecond', ts)) end as created_ms, "
+    "case when event_id % 4 <> 0 then epoch_ms(date_trunc('second', ts)) end as modified_ms, "
+    "nullif(\"mimeTypeByBytes\", '') as by_bytes, nullif(\"mimeTypeByExtension\", '') as by_extension, "
+    "nullif(\"deviceUserName\", '') as username, \"deviceUid\" as uid, \"osHostName\" as os_host, "
+    "\"domainName\" as domain, nullif(\"publicIpAddress\", '') as public_ip, array_to_string("
+    "\"privateIpAddresses\", '|') as private_ips, nullif(actor, '') as actor, \"detectionSourceAlias\" as detected, "
+    "nullif(\"operatingSystemUser\", '') as os_user, nullif(\"destinationCategory\", '') as destination from raw"
+)
+def envelope_fields(spark, sf):
+    """The fields of the source envelope: the event, its file, its device and what stands beside."""
+    raw = raw_events(spark, sf)
+    s = N.normalize(raw, keep=("event_id",)).select("event_id", "source_event.*")
+    return s.select(
+        "event_id", "event.id", "event.type", ms("event.timestamp").alias("happened_ms"),
+        ms("insertion_timestamp").alias("inserted_ms"), "file.path", "file.name",
+        F.col("file.type").alias("file_type"), "file.category", "file.owner", "file.size",
+        "file.hash.md5", "file.hash.sha256", ms("file.create_timestamp").alias("created_ms"),
+        ms("file.modify_timestamp").alias("modified_ms"),
+        F.col("file.mime_type_by_bytes").alias("by_bytes"),
+        F.col("file.mime_type_by_extension").alias("by_extension"),
+        "device.username", "device.uid", F.col("os_host_name").alias("os_host"),
+        F.col("domain_name").alias("domain"), F.col("public_ip_address").alias("public_ip"),
+        F.coalesce(joined("private_ip_addresses"), F.lit("")).alias("private_ips"), "actor",
+        F.col("detection_source_alias").alias("detected"),
+        F.col("operating_system_user").alias("os_user"),
+        F.col("destination.category").alias("destination"),
+    )
+
+
 # --- geo lookups ----------------------------------------------------------------
 
 AS_OF = utc(2024, 1, 30, 20)
@@ -1142,6 +1263,34 @@ def geo_misses(spark, sf):
     return G.cache_misses(asked, user_cache(spark, sf), AS_OF, "ip_address", "en")
 
 
+@query(
+    "select cast(c_custkey as varchar) as ip, case when c_custkey % 2 = 0 or c_custkey % 3 <> 0 then 'success' "
+    "else 'fail' end as status, c_name as city, epoch_ms(timestamp '2024-01-30 20:00:00') + case when "
+    "c_custkey % 2 = 0 then 9 * 3600000 when c_custkey % 3 = 0 then 1800000 else 8 * 3600000 end as "
+    "expires_ms, 2::bigint as version from customer"
+)
+def cache_snapshots(spark, sf):
+    """Landed locations taken into a saved cache, twice; the last snapshot read back."""
+    folder = run_folder(spark)
+    customers = table(spark, sf, "customer")
+
+    def land(name, rows, status):
+        given = {"query": F.col("c_custkey").cast("string"), "city": F.col("c_name"), "status": status}
+        rows.select(*[
+            given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in G.GEO.fields
+        ]).write.parquet(f"{folder}/{name}")
+
+    land("first", customers, F.when(F.col("c_custkey") % 3 == 0, "fail").otherwise("success"))
+    land("second", customers.where("c_custkey % 2 = 0"), F.lit("success"))
+    for i, name in enumerate(("first", "second")):
+        found = read_locations(spark, f"{folder}/{name}", AS_OF + timedelta(hours=i))
+        version = refresh_cache(found, f"{folder}/cache")
+    return load_cache(spark, f"{folder}/cache").select(
+        "ip", "location.status", "location.city", ms("expiration_time").alias("expires_ms"),
+        F.lit(version).cast("bigint").alias("version"),
+    )
+
+
 @query(
     "with h as (select cast(user_id as varchar) as ip, ts as written, ts + case when event_type in "
     "('click', 'error') then interval 30 minute else interval 8 hour end as expires, event_type "
