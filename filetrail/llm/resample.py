@@ -2,8 +2,13 @@
 
 Two multinomial models over hashed n-grams are counted: one of the target texts, one of
 all raw texts. A document's weight is the log ratio of its probabilities under both. Its
-key is the weight with Gumbel noise added, and the documents with the k largest keys are
-a sample without replacement in proportion to the weights.
+key is the weight, tempered by length, with Gumbel noise added, and the documents with the
+k largest keys are a sample without replacement in proportion to the tempered weights.
+
+N-grams of one text depend on each other, so their sum overstates what a long text shows.
+Tempered, a text counts as if it had less than ``EVIDENCE`` n-grams: the weight is multiplied by
+``EVIDENCE / (n + EVIDENCE)``. One phone number no longer outweighs a page of prose, and
+a line of junk is not kept for being short.
 
 N-grams are taken of words, and of word shapes: case, digits, punctuation and whether
 the word repeats one shortly before it. Shapes tell junk from prose in any language.
@@ -19,7 +24,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filetrail.llm.store import cut, put, ship
@@ -27,8 +32,11 @@ from filetrail.llm.store import cut, put, ship
 BUCKETS = 1 << 14
 PRIOR = {"words": 200_000, "shapes": 2_000}
 TARGET_ROWS = 20_000
+HELD_OUT = 4
+EVIDENCE = 50
+MARGIN = 0.5
+LOSS = 0.001
 BACK = 4
-FLOOR = -15.0
 BINS = 4096
 SEED = 42
 CACHE = 400_000
@@ -139,11 +147,13 @@ def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
 def _score(batches: Iterator[pa.RecordBatch], ratios, buckets: int, names: list[str]):
     grams, ratios = Grams(buckets), ratios.value
     for batch in _slices(batches):
-        weight = np.zeros(batch.num_rows)
+        weight, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
         for bucket, doc in grams([t or "" for t in batch.column("__text").to_pylist()]):
             weight += np.bincount(doc, weights=ratios[bucket], minlength=batch.num_rows)
+            n += np.bincount(doc, minlength=batch.num_rows)
+        new = [pa.array(weight), pa.array(weight * EVIDENCE / (n + EVIDENCE))]
         columns = [batch.column(c) for c in names]
-        yield pa.record_batch([*columns, pa.array(weight)], names=[*names, "log_weight"])
+        yield pa.record_batch([*columns, *new], names=[*names, "log_weight", "__tempered"])
 
 
 def target_ids(labels: DataFrame, limit: int = TARGET_ROWS) -> DataFrame:
@@ -203,34 +213,66 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float | None:
     return lo
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, floor: float = FLOOR,
+def held_out() -> Column:
+    """Whether a target document, by its id, calibrates the floor and is not counted."""
+    return F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(HELD_OUT)) == 0
+
+
+def calibrated_floor(scored: DataFrame, apart: DataFrame, loss: float = LOSS,
+                     margin: float = MARGIN) -> float:
+    """The tempered weight above which a document may be target text.
+
+    It is ``margin`` a counted n-gram below even odds, or lower where more than the share
+    ``loss`` of the held-out target documents would fall under that. ``apart`` is a bounded
+    table of doc_ids that the target model has not seen; the driver gets a number for each.
+    """
+    ids = apart.select(F.col("doc_id").alias("_held")).distinct()
+    found = scored.select(F.col("doc_id").cast("long").alias("_id"), "__tempered").join(
+        F.broadcast(ids), F.col("_id") == F.col("_held")
+    )
+    least = [r[1] for r in found.groupBy("_id").agg(F.min("__tempered")).collect()]
+    even = -margin * EVIDENCE
+    if not least:
+        return even
+    return min(even, float(np.nextafter(np.quantile(least, loss, method="lower"), -np.inf)))
+
+
+def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, floor: float | None = None,
              buckets: int = BUCKETS, seed: int = SEED, keep_text: bool = True) -> DataFrame:
     """The ``k`` rows of ``docs`` with the largest ``gumbel_key``, with ``log_weight``.
 
     ``log_weight`` is the log ratio of a text's probability under the target and the raw
-    model, summed over its n-grams; the key adds Gumbel noise drawn from a hash of
-    doc_id, text and ``seed``. Without ``k``, as many rows are drawn as have a weight
-    above ``floor``, that is, all the corpus has that may be target text.
+    model, summed over its n-grams; the key is the tempered weight plus Gumbel noise drawn
+    from a hash of doc_id, text and ``seed``. Without ``k``, as many rows are drawn as have a
+    tempered weight above ``floor``, that is, all the corpus has that may be target text;
+    without ``floor`` it is that of ``calibrated_floor``.
 
     The target is the documents with quality 1, at most ``TARGET_ROWS`` of them chosen
-    by hash; raw counts cover every document. A null or empty text has weight 0. Rows with equal
+    by hash; where a floor has to be calibrated one in ``HELD_OUT`` is not counted and serves
+    that. Raw counts cover every document. A null or empty text has weight 0. Rows with equal
     keys, which repeated rows have, stay or go together, so ties may add to ``k``. With no
-    target documents all weights are 0. Other columns pass through, the text only with
+    target documents to count all weights are 0. Other columns pass through, the text only with
     ``keep_text``; columns named like the new ones are replaced.
     """
     spark = ship(docs.sparkSession)
-    ratios = spark.sparkContext.broadcast(fit(docs, target_ids(labels), buckets))
+    targets = cut(target_ids(labels), "targets")
+    calibrate = k is None and floor is None
+    held = held_out() if calibrate else F.lit(False)
+    ratios = spark.sparkContext.broadcast(fit(docs, targets.where(~held), buckets))
     new = {"log_weight", "gumbel_key", *(() if keep_text else ("text",))}
     names = [c for c in docs.columns if c.lower() not in new]
     noise = (F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     given = docs.select(
         *(F.col(f"`{c}`") for c in names), F.col("text").alias("__text"), (-F.log(-F.log(noise))).alias("__noise")
     )
-    schema = put(given.drop("__text"), "log_weight double")
+    schema = put(given.drop("__text"), "log_weight double, __tempered double")
     scored = given.mapInArrow(lambda it: _score(it, ratios, buckets, [*names, "__noise"]), schema)
-    scored = scored.withColumn("gumbel_key", F.col("log_weight") + F.col("__noise")).drop("__noise")
+    scored = scored.withColumn("gumbel_key", F.col("__tempered") + F.col("__noise")).drop("__noise")
     scored = cut(scored, "scored")
+    if calibrate:
+        floor = calibrated_floor(scored, targets.where(held))
     if k is None:
-        k = scored.where(F.col("log_weight") > floor).count()
+        k = scored.where(F.col("__tempered") > floor).count()
     least = kth_largest(scored, "gumbel_key", k)
-    return scored.where(F.lit(False) if least is None else F.col("gumbel_key") >= least)
+    drawn = scored.where(F.lit(False) if least is None else F.col("gumbel_key") >= least)
+    return drawn.drop("__tempered")

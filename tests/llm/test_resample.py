@@ -53,6 +53,46 @@ def test_weights_against_brute_force(spark):
     assert got == pytest.approx({d: ratios[g].sum() for (d, _), g in zip(pairs, each, strict=True)})
 
 
+def test_floor_and_draw_against_brute_force(spark):
+    """Held-out good documents are not counted, set the floor, and the keys decide."""
+    pairs, labels = corpus(400)
+    buckets, good = 256, [d for d, q, _ in labels if q]
+    ids = spark.createDataFrame([(d,) for d in good], "doc_id bigint")
+    held = {r[0] for r in ids.where(R.held_out()).collect()}
+    assert 0.15 * len(good) < len(held) < 0.35 * len(good)
+    grams = R.Grams(buckets)
+    each = [[b for bucket, _ in grams([t]) for b in bucket.tolist()] for _, t in pairs]
+    raw, target = np.zeros(2 * buckets), np.zeros(2 * buckets)
+    for (d, _), g in zip(pairs, each, strict=True):
+        np.add.at(raw, g, 1)
+        if d in set(good) - held:
+            np.add.at(target, g, 1)
+    ratios = R.log_ratios(raw, target, buckets)
+    weight = {d: ratios[g].sum() for (d, _), g in zip(pairs, each, strict=True)}
+    tempered = {d: weight[d] * R.EVIDENCE / (len(g) + R.EVIDENCE) for (d, _), g in zip(pairs, each, strict=True)}
+    floor = min(-R.MARGIN * R.EVIDENCE, np.nextafter(min(tempered[d] for d in held), -np.inf))
+    k = sum(t > floor for t in tempered.values())
+    out = R.resample(docs(spark, pairs), label_table(spark, labels), buckets=buckets).collect()
+    assert len(out) == k
+    assert {r["doc_id"]: r["log_weight"] for r in out} == pytest.approx(
+        {r["doc_id"]: weight[r["doc_id"]] for r in out}
+    )
+    noise = {r["doc_id"]: r["gumbel_key"] - tempered[r["doc_id"]] for r in out}
+    assert -3 < min(noise.values()) and 0.3 < np.mean(list(noise.values())) < 0.9
+    lowest = min(r["gumbel_key"] for r in out)
+    left = set(weight) - set(noise)
+    assert all(tempered[d] < lowest + 3 for d in left)
+
+
+def test_an_odd_part_does_not_reject_prose(spark):
+    """A number or a key outweighs a short text's n-grams but not its share of them."""
+    pairs, labels = corpus(600)
+    odd = [(5000 + d, t + " +33 6 12 34 56 78") for d, t in pairs if d % 5 and len(t.split()) > 15]
+    out = R.resample(docs(spark, pairs + odd), label_table(spark, labels[:400]))
+    kept = {r["doc_id"] for r in out.collect()}
+    assert {d for d, _ in odd} <= kept
+
+
 def test_shapes():
     assert len({R.shape(w) for w in ("Word", "WORD", "word", "word!!", "1234", "wörd.")}) == 6
     assert R.shape("aaaaaaaa") == R.shape("bbbbbbbb")
