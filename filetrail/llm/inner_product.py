@@ -194,7 +194,7 @@ def top_products(vectors: DataFrame, query_every: int = 50, k: int = 5, scale: i
 
     Vectors that are null or hold a null, NaN or infinity take no part, nor do rows with
     a null vec_id. A shorter vector counts as filled up with zeros. Rows repeating vec_id
-    and vector are one. Scores must stay below 2^63. Other columns are ignored. Tables
+    and vector are one. Vectors so long that a score may reach 2^63 raise an error. Other columns are ignored. Tables
     that are empty or hold no query give no rows.
     """
     spark = ship(vectors.sparkSession)
@@ -220,6 +220,8 @@ def top_products(vectors: DataFrame, query_every: int = 50, k: int = 5, scale: i
     longest = [(r["part"], r["norm"]) for r in
                parts.groupBy("part").agg(F.max("norm").alias("norm")).collect()]
     longest.sort()
+    if longest[0][1] ** 2 >= 2.0**63:  # no score exceeds the product of the two greatest lengths
+        raise ValueError("scores may reach 2^63: take a smaller scale")
     first = sized.orderBy(F.desc("norm"), "vec_id").limit(TILE).select("vec_id", "v").toArrow()
     column = first.column(1).combine_chunks()
     start = _Block(first.column(0).to_numpy(), _matrix(column, width), axes, head)
@@ -236,13 +238,15 @@ def top_products(vectors: DataFrame, query_every: int = 50, k: int = 5, scale: i
         bounded.select("vec_id", "v", "bound", block.alias("block"), F.explode(F.transform(near, lambda r: r["part"])).alias("part")),
         "visits",
     )
-    met = visits.select("part", "block").distinct()
+    met = cut(visits.select("part", "block").distinct(), "met")
+    groups = max(1, met.count())
     placed = visits.select(
         "part", "block", F.lit(0).cast("long").alias("side"), "vec_id", "v", "bound", F.lit(0.0).alias("norm")
     ).unionAll(parts.join(met, "part").select(
         "part", "block", F.lit(1).cast("long"), "vec_id", "v", F.lit(0.0), "norm"
     ))
-    grouped = placed.repartition("part", "block").sortWithinPartitions("part", "block", "side", F.desc("norm"))
+    # Work goes by pairs of blocks and not by bytes, so each pair is a task of its own.
+    grouped = placed.repartition(groups, "part", "block").sortWithinPartitions("part", "block", "side", F.desc("norm"))
     found = grouped.drop("norm").mapInArrow(
         lambda it: _search(it, k, width, axes, head), "query_id bigint, vec_id bigint, score bigint"
     ).distinct()

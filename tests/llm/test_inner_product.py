@@ -49,3 +49,14 @@ def test_odd_vectors(spark):
 @pytest.mark.parametrize("pairs", [[], [(1, [1.0])], [(50, None)], [(0, [])], [(0, [1.0, 2.0])]])
 def test_few_rows(spark, pairs):
     assert rows(I.top_products(table(spark, pairs)), "query_id", "rank", "vec_id", "score") == brute(pairs, 50, 5)
+
+
+def test_scores_beyond_long_are_refused(spark):
+    big = float(2**24)
+    near = [(0, [big] * 4), (1, [big, 1.0, 0.0, -big])]
+    assert rows(I.top_products(table(spark, near), scale=16), "query_id", "rank", "vec_id", "score") == [
+        (0, 1, 1, 16 * 16 * int(big))
+    ]
+    for x in (2.0**40, 1e30):
+        with pytest.raises(ValueError, match="2\\^63"):
+            I.top_products(table(spark, [(0, [x, 1.0]), (1, [1.0, 1.0])]))
