@@ -35,6 +35,8 @@ SIMILAR_TILE = 4_096
 WIDE = 4
 #: Standard deviations that the candidates' radius lies above the distance at the similarity.
 MARGIN = 6
+#: Pairs of rows that a task compares before another one is worth its start.
+TASK_PAIRS = 1 << 28
 #: Bytes of shingle hashes that a task compares at once, about half of it from each side.
 SHINGLE_BYTES = 32 << 20
 
@@ -254,6 +256,17 @@ def _confirmed(batches: Iterator[pa.RecordBatch], radius: int, similarity: float
         yield group()
 
 
+def _tasks(sizes: DataFrame) -> int:
+    """How many tasks the groups are dealt to: by the pairs they compare, not by their bytes.
+
+    The session's number of shuffle partitions at least, and no more than there are groups.
+    """
+    groups = F.col("chunks") * F.greatest("blocks", F.lit(1)) + F.col("chunks") * (F.col("chunks") - 1) / 2
+    n, pairs = sizes.agg(F.sum(groups), F.sum("pairs")).first()
+    least = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(int(n or 0), max(least, math.ceil((pairs or 0) / TASK_PAIRS))))
+
+
 def _meet(rows: DataFrame, guests: DataFrame, columns: list[str], radius: int, tile: int,
           similarity: float | None = None) -> DataFrame:
     """Links between the rows of each tile, and between them and its guests.
@@ -272,8 +285,11 @@ def _meet(rows: DataFrame, guests: DataFrame, columns: list[str], radius: int, t
         "tile",
         F.ceil(F.col("n") / tile).cast("int").alias("chunks"),
         F.ceil(F.coalesce("g", F.lit(0)) / tile).cast("int").alias("blocks"),
+        (F.col("n").cast("double") * (F.col("n") + F.coalesce("g", F.lit(0)))).alias("pairs"),
     )
-    sizes = F.broadcast(cut(sizes, "tiles"))
+    sizes = cut(sizes, "tiles")
+    tasks = _tasks(sizes)
+    sizes = F.broadcast(sizes.drop("pairs"))
     dealt = F.xxhash64(columns[0])
     chunk = F.pmod(dealt, F.col("chunks")).cast("int")
     block = F.pmod(dealt, F.col("blocks")).cast("int")
@@ -300,7 +316,7 @@ def _meet(rows: DataFrame, guests: DataFrame, columns: list[str], radius: int, t
     placed = here.unionAll(visits).unionAll(between)
     key = ["tile", "chunk", "block", "guest"]
     placed = placed.select(*(F.col(c).cast("long").alias(c) for c in key), *columns)
-    grouped = placed.repartition("tile", "chunk", "block").sortWithinPartitions(*key)
+    grouped = placed.repartition(tasks, "tile", "chunk", "block").sortWithinPartitions(*key)
     if similarity is not None:
         return grouped.mapInArrow(lambda it: _confirmed(it, radius, similarity), "a bigint, b bigint")
     return grouped.mapInArrow(lambda it: _links(it, radius), "a bigint, b bigint")
