@@ -171,6 +171,25 @@ def _is(c: Column, f: Filter) -> Column:
     return matches(c, f.value)
 
 
+def unread_times(spec: QuerySpec, windowed: bool = False) -> Column:
+    """Terms of the times that the query needs of a row and can't read, as an array.
+
+    Needed are the terms of set bounds and, with ``windowed``, the one that windows go by.
+    Absent and empty text is not a time either.
+    """
+    found = [spec.first(op) for op in (AFTER, BEFORE)]
+    terms = {f.term for f in found if f and _time(f.value)} | ({spec.time_term} if windowed else set())
+    lacking = [F.when(_parsed(t).isNull(), F.lit(t)) for t in sorted(terms)]
+    return F.array_compact(F.array(*lacking)) if lacking else F.array().cast("array<string>")
+
+
+def unreadable(spec: QuerySpec, windowed: bool = False) -> Column:
+    """Whether all but the time filters match a row that lacks a time the query needs."""
+    others = tuple(replace(g, filters=tuple(f for f in g.filters if f.operator == IS)) for g in spec.groups)
+    rest = compile_filters(replace(spec, groups=others))
+    return F.coalesce(rest, F.lit(False)) & (F.size(unread_times(spec, windowed)) > 0)
+
+
 def scan_filter(spec: QuerySpec, window: tuple[datetime | None, datetime | None]) -> Column:
     """What the raw time text of a match must satisfy: a coarse test the file reader can use."""
     spec = with_bounds(spec, *window)
@@ -189,14 +208,18 @@ def _coarse(f: Filter) -> list[Column]:
     return [raw < (t + MILLISECOND + timedelta(days=1)).date().isoformat()]
 
 
+def _parsed(term: str, strict: bool = False) -> Column:
+    parse = insertion_time if term == "insertionTimestamp" else event_time
+    return parse(F.col(term), strict)
+
+
 def _bound(f: Filter, column: Column | None, strict: bool = False) -> list[Column]:
     t = _time(f.value)
     if t is None:
         return []
     typed = column is not None
     if not typed:
-        parse = insertion_time if f.term == "insertionTimestamp" else event_time
-        column = parse(F.col(f.term), strict)
+        column = _parsed(f.term, strict)
     terms = [column >= instant(t) if f.operator == AFTER else column < instant(t + MILLISECOND)]
     if not typed and not strict:
         terms += _coarse(f)

@@ -32,6 +32,8 @@ from filetrail.plans.filters import (
     bounds,
     compile_filters,
     scan_filter,
+    unread_times,
+    unreadable,
 )
 from filetrail.schemas import GEO
 from filetrail.sources.state import append_windows, load_windows, query_table
@@ -205,10 +207,21 @@ def _aware(t: datetime) -> datetime:
     return t.astimezone()
 
 
+def set_aside(raw: DataFrame, spec: QuerySpec, windowed: bool = True) -> DataFrame:
+    """The raw rows that no window can hold, as a time the query needs can't be read.
+
+    Rows that the other filters refuse are not among them. ``query_name`` and
+    ``unread`` (the terms of those times) come first.
+    """
+    bad = raw.where(unreadable(spec, windowed))
+    return bad.select(F.lit(spec.name).alias("query_name"), unread_times(spec, windowed).alias("unread"), *raw.columns)
+
+
 def run_pull(raw: DataFrame, spec: QuerySpec, state_path: str,
              write: Callable[[DataFrame], None], as_of: datetime, started_at: datetime,
              options: Options = Options(), cache: DataFrame | None = None,
-             rules: DataFrame | None = None) -> int:
+             rules: DataFrame | None = None,
+             aside: Callable[[DataFrame], None] | None = None) -> int:
     """Pull every pending window of one query and advance its progress.
 
     Pending are windows a crash left open, with their own bounds, and the new ones up
@@ -216,6 +229,8 @@ def run_pull(raw: DataFrame, spec: QuerySpec, state_path: str,
     rows are written, then all are logged as completed: a crash in between repeats
     the windows, and the sinks replace what an earlier run of a window wrote. Only
     windows left open are joined with the events; new ones are regular.
+    ``aside`` gets the rows of ``set_aside``, which are those of all of ``raw``, in every run
+    that pulls a window, before the others are written; it should replace what it had.
     Returns the number of windows pulled.
     """
     spark = raw.sparkSession
@@ -238,6 +253,8 @@ def run_pull(raw: DataFrame, spec: QuerySpec, state_path: str,
     n = pending.count()
     columns = parts[0].columns
     events = reduce(lambda a, b: a.unionByName(b.select(*columns)), parts)
+    if aside is not None:
+        aside(set_aside(raw, spec))
     write(shape(events, spec, options, as_of, cache, rules))
     append_windows(pending, state_path, "completed")
     return n

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from filetrail.operators.metrics import tumbling_window
 from filetrail.operators.windows import SETTLE_LAG, assign_tumbling
-from filetrail.plans.filters import QuerySpec, bounds, compile_filters
+from filetrail.plans.filters import QuerySpec, bounds, compile_filters, unread_times, unreadable
 from filetrail.plans.pull import Options, shape, time_column
 from filetrail.sinks.targets import write_targets
 from filetrail.sources.state import load_cache, read_log
@@ -60,7 +60,8 @@ def start_stream(source: DataFrame, spec: QuerySpec, path: str,
                  checkpoint: str | None = None, interval: str | None = None,
                  options: Options = Options(), rules: DataFrame | None = None,
                  cache_path: str | None = None, fmt: str = "parquet",
-                 durations_path: str | None = None) -> StreamingQuery:
+                 durations_path: str | None = None,
+                 aside_path: str | None = None) -> StreamingQuery:
     """Start one named query; without ``interval`` it reads what is there and stops.
 
     Each micro-batch writes its own ``target=.../window_id=batch-<n>`` folders and
@@ -68,7 +69,9 @@ def start_stream(source: DataFrame, spec: QuerySpec, path: str,
     processing time is the batch's own, which a replay repeats, and locations are taken
     as of that time. The geo cache at ``cache_path`` is read anew for every micro-batch.
     Durations go to ``durations_path`` before Spark forgets them; call ``save_durations``
-    for the last ones.
+    for the last ones. Rows that the other filters match, but whose times the query needs and
+    can't read, are counted (``n_unreadable`` of the progress) and, given ``aside_path``, written
+    there with the terms of those times, ``unread``, in a folder for each micro-batch.
     """
     spark = source.sparkSession
     start, _ = bounds(spec)
@@ -81,26 +84,38 @@ def start_stream(source: DataFrame, spec: QuerySpec, path: str,
             running = [q for q in spark.streams.active if q.name == spec.name]
             for query in running:
                 save_durations(query, durations_path)
+        given = batch
+        if cache_path or aside_path:
+            # Kept, so that what reads the batch before its rows are written doesn't count it twice.
+            given = batch.persist()
+        if aside_path:
+            bad = given.where("_unreadable").withColumn("unread", unread_times(spec, by_window))
+            bad = bad.drop("_unreadable").withColumn("batch", F.lit(f"batch-{batch_id}"))
+            (bad.write.partitionBy("batch").mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").parquet(aside_path))
+        batch = given.where("not _unreadable").drop("_unreadable")
         if by_window:
             time = time_column(spec.time_term, options.strict)
             batch = assign_tumbling(batch, time, start, spec.gap)
             batch = batch.withColumn("query_name", F.lit(spec.name))
         cache, as_of = None, datetime.now(UTC)
         if cache_path:
-            # Kept, so that asking for the batch's time doesn't read and count it twice.
-            batch = batch.persist()
             found = batch.agg(F.max("_processed_at")).first()[0]
             as_of = found.astimezone(UTC) if found else as_of
             cache = load_cache(batch.sparkSession, cache_path)
         rows = shape(batch, spec, options, as_of, cache, rules, "_processed_at")
         write_targets(rows.withColumn("window_id", F.lit(f"batch-{batch_id}")), path, fmt)
-        if cache_path:
-            batch.unpersist()
+        if cache_path or aside_path:
+            given.unpersist()
 
+    wanted, lost = compile_filters(spec, strict=options.strict), F.lit(False)
+    if not options.strict:  # a time that can't be read fails a strict query
+        lost = unreadable(spec, by_window)
     return (
-        source.where(compile_filters(spec, strict=options.strict))
-        .withColumn("_processed_at", F.current_timestamp())
-        .observe("events", F.count(F.lit(1)).alias("n_events"))
+        source.where(wanted | lost)
+        .withColumns({"_unreadable": lost, "_processed_at": F.current_timestamp()})
+        .observe("events", F.count_if(~F.col("_unreadable")).alias("n_events"),
+                 F.count_if("_unreadable").alias("n_unreadable"))
         .writeStream.queryName(spec.name)
         .option("checkpointLocation", checkpoint or checkpoint_dir(spark, spec.name))
         .trigger(**_trigger(interval))

@@ -167,3 +167,23 @@ def test_events_without_an_id_all_pass(spark, tmp_path):
     q.awaitTermination()
     got = [r[0] or "" for r in spark.table("no_ids").select("eventId").collect()]
     assert sorted(got) == [""] * 5 + ["a"]
+
+
+def test_unreadable_times_are_counted_and_set_aside(spark, tmp_path):
+    src, out, ck, bad = (str(tmp_path / x) for x in ("in", "out", "ck", "bad"))
+    good = dict(fileName="f", eventTimestamp="2024-01-02T00:00:00Z")
+    rows = [good | dict(eventId="0"), good | dict(eventId="1", eventTimestamp="soon"),
+            good | dict(eventId="2", eventTimestamp=""), good | dict(eventId="3", eventTimestamp=None),
+            good | dict(eventId="4", eventTimestamp="2023-01-02T00:00:00Z"),
+            good | dict(eventId="5", eventTimestamp="soon", fileName=None)]
+    raw_rows(spark, rows[:2]).coalesce(1).write.json(src)
+    raw_rows(spark, rows[2:]).coalesce(1).write.mode("append").json(src)
+    q = run(spark, src, out, ck, aside_path=bad)
+    seen = [p["observedMetrics"]["events"] for p in q.recentProgress if p["numInputRows"]]
+    assert sum(s["n_events"] for s in seen) == 1 and sum(s["n_unreadable"] for s in seen) == 3
+    found = spark.read.parquet(bad)
+    assert sorted(r["eventId"] for r in found.collect()) == ["1", "2", "3"]
+    assert {tuple(r["unread"]) for r in found.collect()} == {("eventTimestamp",)}
+    assert ids(spark.read.parquet(out)) == [0]
+    run(spark, src, str(tmp_path / "out2"), str(tmp_path / "ck2"))  # counted only
+    assert ids(spark.read.parquet(str(tmp_path / "out2"))) == [0]

@@ -442,13 +442,13 @@ def url_parts(spark, sf):
 PAGE = "cast(page_id as string)"
 ODD_URL = (
     "case page_id % 9 "
-    f"when 0 then concat('HTTPS://us%20er:p:w@sub.example.co.uk:8443/a/', {PAGE}, "
+    f"when 0 then concat('HTTPS://us%20er:p:w@', split_part(url, '/', 3), ':8443/a/', {PAGE}, "
     "'.tar.gz?x=1&y=2#fr+ag') "
-    f"when 1 then concat('http://my_host:/a%20b+c/', {PAGE}) "
+    f"when 1 then concat('http://my_', split_part(url, '/', 3), ':/a%20b+c/', {PAGE}) "
     f"when 2 then concat('http://[2001:db8::1]:8080/x.d/noext', {PAGE}) "
     f"when 3 then concat('mailto:u', {PAGE}, '@example.com') "
     f"when 4 then concat('http://a b/%zz', {PAGE}) "
-    f"when 5 then concat('//cdn.example.com/lib/', {PAGE}, '.js') "
+    f"when 5 then concat('//cdn.', split_part(url, '/', 3), '/lib/', {PAGE}, '.js') "
     f"when 6 then concat('/rel a/path.', {PAGE}, '?') "
     f"when 7 then concat('http://h:x', {PAGE}, '/') else '' end"
 )
@@ -461,11 +461,12 @@ def _by_case(*values: str | None) -> str:
 
 
 @query(
-    f"with p as (select page_id, {PAGE} as id, nullif({ODD_URL}, '') as \"full\" from pages) "
+    f"with p as (select page_id, {PAGE} as id, split_part(url, '/', 3) as host, nullif({ODD_URL}, '') as "
+    "\"full\" from pages) "
     "select page_id, \"full\", page_id % 9 <> 8 as is_url, "
     + _by_case("'https'", "'http'", "'http'", "'mailto'") + " as scheme, "
-    + _by_case("'sub.example.co.uk'", "'my_host'", "'2001:db8::1'", None, None,
-               "'cdn.example.com'") + " as domain, "
+    + _by_case("host", "concat('my_', host)", "'2001:db8::1'", None, None,
+               "concat('cdn.', host)") + " as domain, "
     + "cast(" + _by_case("8443", None, "8080") + " as int) as port, "
     + _by_case("'us er'") + " as username, " + _by_case("'p:w'") + " as password, "
     + _by_case("concat('/a/', id, '.tar.gz')", "concat('/a b+c/', id)",
@@ -863,6 +864,46 @@ def stream_targets(spark, sf):
     )
 
 
+BAD_TIME = "case event_id % 11 when 3 then 'soon' when 5 then '' when 7 then concat('on ', {us}) else {us} end"
+
+
+@query(
+    "with r as (select ts, event_id % 11 in (3, 5, 7) as bad from events) select 'stream' as how, "
+    "case when bad then 'aside' else strftime(ts, 'files-%Y-%m-%d') end as place, count(*) as "
+    "n_events from r where bad or ts >= timestamp '2024-01-03' group by 2 union all select 'pull', "
+    "case when bad then 'aside' else strftime(ts, 'files-%Y-%m') end, count(*) from r where bad or "
+    "ts >= timestamp '2024-01-03' group by 2"
+)
+def unreadable_times(spark, sf):
+    """Rows whose time can't be read, set aside by a stream and by a pull, beside the others."""
+    folder = run_folder(spark)
+    spec = QuerySpec.from_dict({
+        "name": "readable", "gap": timedelta(days=1), "base": "files", "route_by": "insertionTimestamp",
+        "groups": [{"filters": [
+            {"operator": "ON_OR_AFTER", "term": "insertionTimestamp", "value": "2024-01-03T00:00:00.000Z"},
+            {"operator": "ON_OR_BEFORE", "term": "insertionTimestamp", "value": ""},
+        ]}],
+    })
+
+    def damaged(rows: DataFrame) -> DataFrame:
+        return as_raw_events(rows).withColumn("insertionTimestamp", F.expr(BAD_TIME.format(us="insertionTimestamp")))
+
+    S.start_stream(damaged(stream_table(spark, sf, "events")), spec, f"{folder}/out", f"{folder}/checkpoint",
+                   options=Options(mode="raw"), aside_path=f"{folder}/aside").awaitTermination()
+    monthly = replace(spec, layout="2006-01")
+    run_pull(damaged(table(spark, sf, "events")), monthly, f"{folder}/windows",
+             lambda df: write_targets(df, f"{folder}/pulled"), as_of=utc(2024, 3, 1), started_at=utc(2024, 1, 3),
+             options=Options(mode="raw"),
+             aside=lambda df: df.write.mode("overwrite").parquet(f"{folder}/pull_aside"))
+
+    def places(how: str, written: str, apart: str) -> DataFrame:
+        rows = spark.read.parquet(f"{folder}/{written}").select(F.col("target").alias("place"))
+        rows = rows.unionAll(spark.read.parquet(f"{folder}/{apart}").select(F.lit("aside")))
+        return rows.groupBy(F.lit(how).alias("how"), "place").agg(F.count("*").alias("n_events"))
+
+    return places("stream", "out", "aside").unionAll(places("pull", "pulled", "pull_aside"))
+
+
 # --- pulls and sinks --------------------------------------------------------------
 
 DAY_STRIDE = 86_400_001
@@ -1454,13 +1495,13 @@ def route_targets(spark, sf):
 
 @query(
     "select distinct strftime(o_orderdate, 'orders-%Y-%m') as target from orders where "
-    "strftime(o_orderdate, 'orders-%Y-%m') not in (select strftime(l_shipdate, 'orders-%Y-%m') "
-    "from lineitem where l_shipdate < timestamp '1998-01-01')"
+    "strftime(o_orderdate, 'orders-%Y-%m') not in (select strftime(l_shipdate + interval 120 day, "
+    "'orders-%Y-%m') from lineitem)"
 )
 def targets_missing(spark, sf):
     needed = R.route(table(spark, sf, "orders"), "orders", F.col("o_orderdate"), "2006-01")
-    shipped = table(spark, sf, "lineitem").where("l_shipdate < timestamp_ntz '1998-01-01'")
-    existing = R.targets_needed(R.route(shipped, "orders", F.col("l_shipdate"), "2006-01"))
+    closed = F.col("l_shipdate") + F.expr("INTERVAL 120 DAYS")
+    existing = R.targets_needed(R.route(table(spark, sf, "lineitem"), "orders", closed, "2006-01"))
     return R.targets_missing(needed, existing)
 
 
