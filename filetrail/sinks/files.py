@@ -13,6 +13,15 @@ def rename_envelope(df: DataFrame, key: str) -> DataFrame:
     return df.withColumnRenamed("source_event", key)
 
 
+def gather_windows(df: DataFrame) -> DataFrame:
+    """The rows with those of a window side by side, in few tasks.
+
+    Raw events are far narrower than what ``normalize`` makes of them: gather them before,
+    and write what comes out without ``compact``, to move fewer bytes.
+    """
+    return df.hint("rebalance", *[F.col(k) for k in WINDOW_KEYS])
+
+
 def write_windows(df: DataFrame, path: str, fmt: str = "json", compact: bool = True,
                   **options) -> None:
     """Write the rows of each window to its own folder, replacing an earlier run.
@@ -20,9 +29,10 @@ def write_windows(df: DataFrame, path: str, fmt: str = "json", compact: bool = T
     Only the windows present in ``df`` are replaced. The rows of a window are gathered
     first, so that it is few files and not one for each task that meets it; a window too
     large for one task is split. Without ``compact`` tasks write where the rows are.
+    ``options`` are the writer's, such as ``compression="gzip"``.
     """
     if compact:
-        df = df.hint("rebalance", *[F.col(k) for k in WINDOW_KEYS])
+        df = gather_windows(df)
     (
         df.write.format(fmt)
         .partitionBy(*WINDOW_KEYS)

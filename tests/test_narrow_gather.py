@@ -1,0 +1,55 @@
+"""Queries that write windows move raw events, not the wide records made of them."""
+
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from filetrail.operators.normalize import normalize
+from filetrail.sinks.files import gather_windows, write_windows
+from workloads import queries as Q
+
+
+@pytest.fixture
+def events(spark, tmp_path):
+    rows = [(i, datetime(2024, 1, 1 + i % 3, i % 24), i % 5, "x") for i in range(60)]
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string")
+    df.write.parquet(f"{tmp_path}/in/events.parquet")
+    return f"{tmp_path}/in"
+
+
+def kinds(df):
+    """Names of the nodes of the optimized plan, from the top."""
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line.lstrip(" +-:").split(" ")[0] for line in text.splitlines()]
+
+
+def test_written_windows_are_gathered_before_normalizing(spark, events, monkeypatch):
+    seen = []
+
+    def spy(df, path, *args, **kwargs):
+        seen.append((df, path))
+        return write_windows(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(Q, "write_windows", spy)
+    got = {r["n_events"] for r in Q.QUERIES_BY_NAME["window_files"](spark, events).collect()}
+    assert got == {20} and len(seen) == 2
+    assert "source_event" in seen[0][0].columns and kinds(seen[0][0])[:1] != ["RebalancePartitions"]
+    assert "RebalancePartitions" in kinds(seen[0][0])
+    folder = Path(seen[0][1].removeprefix("file:"))
+    files = [p for p in folder.rglob("part-*")]
+    assert files and all(p.name.endswith(".json.gz") for p in files)
+
+
+def test_gathered_rows_are_the_same(spark, tmp_path):
+    raw = spark.range(40).select(
+        F.concat(F.lit("ev-"), "id").alias("eventId"), F.lit("q").alias("query_name"),
+        F.concat(F.lit("w"), F.col("id") % 4).alias("window_id"),
+    )
+    keep = ("query_name", "window_id")
+    write_windows(normalize(gather_windows(raw), keep=keep), f"{tmp_path}/a", compact=False, compression="gzip")
+    write_windows(normalize(raw, keep=keep), f"{tmp_path}/b")
+    schema = "event struct<id:string>, query_name string, window_id string"
+    a, b = (sorted(map(tuple, spark.read.schema(schema).json(f"{tmp_path}/{x}").collect())) for x in "ab")
+    assert a == b and len(a) == 40

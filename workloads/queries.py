@@ -26,7 +26,7 @@ from filetrail.plans.filters import QuerySpec, bounds, compile_filters, with_bou
 from filetrail.plans.pull import Options, run_pull, run_pulls
 from filetrail.schemas import FLAT_TARGET, GEO_CACHE, QUERIES, RAW_ALIASES, SUFFIX_RULES
 from filetrail.session import configure
-from filetrail.sinks.files import json_lines, write_windows
+from filetrail.sinks.files import gather_windows, json_lines, write_windows
 from filetrail.sinks.targets import (
     create_target,
     insert_targets,
@@ -956,13 +956,13 @@ def window_files(spark, sf):
         raw_events(spark, sf), E.insertion_time(F.col("insertionTimestamp")),
         utc(2024, 1, 1), timedelta(days=1),
     )
-    rows = N.normalize(raw, keep=("on_or_after", "on_or_before"))
-    rows = rows.withColumns({
+    raw = raw.withColumns({
         "query_name": F.lit("daily"),
         "window_id": window_id("daily", F.col("on_or_after"), F.col("on_or_before")),
     }).drop("on_or_after", "on_or_before")
+    rows = N.normalize(gather_windows(raw), keep=("query_name", "window_id"))
     for _ in range(2):
-        write_windows(rows, f"{folder}/out")
+        write_windows(rows, f"{folder}/out", compact=False, compression="gzip")
     schema = "event struct<id:string>, file struct<size:bigint>, query_name string, window_id string"
     written = spark.read.schema(schema).json(f"{folder}/out")
     return written.groupBy("window_id").agg(
