@@ -221,7 +221,7 @@ def run_pull(raw: DataFrame, spec: QuerySpec, state_path: str,
              write: Callable[[DataFrame], None], as_of: datetime, started_at: datetime,
              options: Options = Options(), cache: DataFrame | None = None,
              rules: DataFrame | None = None,
-             aside: Callable[[DataFrame], None] | None = None) -> int:
+             aside: Callable[[DataFrame], None] | None = None, gather: bool = False) -> int:
     """Pull every pending window of one query and advance its progress.
 
     Pending are windows a crash left open, with their own bounds, and the new ones up
@@ -231,6 +231,9 @@ def run_pull(raw: DataFrame, spec: QuerySpec, state_path: str,
     windows left open are joined with the events; new ones are regular.
     ``aside`` gets the rows of ``set_aside``, which are those of all of ``raw``, in every run
     that pulls a window, before the others are written; it should replace what it had.
+    With ``gather`` the events of a window are brought together before they are shaped,
+    while they are narrow, so that shaping too is dealt out evenly however few files the
+    events are in; ``write`` need not do it again (``compact=False``).
     Returns the number of windows pulled.
     """
     spark = raw.sparkSession
@@ -255,6 +258,8 @@ def run_pull(raw: DataFrame, spec: QuerySpec, state_path: str,
     events = reduce(lambda a, b: a.unionByName(b.select(*columns)), parts)
     if aside is not None:
         aside(set_aside(raw, spec))
+    if gather:
+        events = events.hint("rebalance", *[F.col(c) for c in WINDOW_COLUMNS])
     write(shape(events, spec, options, as_of, cache, rules))
     append_windows(pending, state_path, "completed")
     return n

@@ -1,6 +1,6 @@
 """Queries that write windows move raw events, not the wide records made of them."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -53,3 +53,34 @@ def test_gathered_rows_are_the_same(spark, tmp_path):
     schema = "event struct<id:string>, query_name string, window_id string"
     a, b = (sorted(map(tuple, spark.read.schema(schema).json(f"{tmp_path}/{x}").collect())) for x in "ab")
     assert a == b and len(a) == 40
+
+
+@pytest.mark.parametrize("name", ["pulled_targets", "unreadable_times"])
+def test_pulled_events_are_gathered_before_shaping(spark, events, monkeypatch, name):
+    seen = []
+    shape = Q.run_pull.__globals__["shape"]
+
+    def spy(given, *args, **kwargs):
+        seen.append(kinds(given))
+        return shape(given, *args, **kwargs)
+
+    monkeypatch.setitem(Q.run_pull.__globals__, "shape", spy)
+    rows = Q.QUERIES_BY_NAME[name](spark, events).collect()
+    assert sum(r["n_events"] for r in rows) >= 60 - 20
+    assert seen and all("RebalancePartitions" in k for k in seen)
+
+
+def test_gather_repeats_and_stale_windows(spark, tmp_path, events):
+    """A gathered pull gives each window once, however often it is run."""
+    spec = Q.QuerySpec.from_dict({"name": "g", "gap": timedelta(days=1), "base": "t", "route_by": "onOrBefore", "groups": [
+        {"filters": [{"operator": "ON_OR_AFTER", "term": "insertionTimestamp", "value": "2024-01-01T00:00:00.000Z"},
+                     {"operator": "ON_OR_BEFORE", "term": "insertionTimestamp", "value": ""}]}]})
+    raw = Q.raw_events(spark, events)
+    counts = []
+    for gather in (True, False):
+        out = f"{tmp_path}/out{gather}"
+        for _ in range(2):
+            Q.run_pull(raw, spec, f"{out}-log", lambda df, o=out: Q.write_targets(df, o, compact=False), gather=gather,
+                       as_of=Q.utc(2024, 1, 5), started_at=Q.utc(2024, 1, 1))
+        counts.append(sorted(map(tuple, spark.read.parquet(out).groupBy("target", "window_id").count().collect())))
+    assert counts[0] == counts[1] and sum(c[2] for c in counts[0]) == 60

@@ -892,8 +892,8 @@ def unreadable_times(spark, sf):
                    options=Options(mode="raw"), aside_path=f"{folder}/aside").awaitTermination()
     monthly = replace(spec, layout="2006-01")
     run_pull(damaged(table(spark, sf, "events")), monthly, f"{folder}/windows",
-             lambda df: write_targets(df, f"{folder}/pulled"), as_of=utc(2024, 3, 1), started_at=utc(2024, 1, 3),
-             options=Options(mode="raw"),
+             lambda df: write_targets(df, f"{folder}/pulled", compact=False), as_of=utc(2024, 3, 1),
+             started_at=utc(2024, 1, 3), options=Options(mode="raw"), gather=True,
              aside=lambda df: df.write.mode("overwrite").parquet(f"{folder}/pull_aside"))
 
     def places(how: str, written: str, apart: str) -> DataFrame:
@@ -936,8 +936,8 @@ def pulled_targets(spark, sf):
     })
     raw = raw_events(spark, sf)
     for limit in (FIRST_LIMIT, LAST_LIMIT):
-        run_pull(raw, spec, f"{folder}/windows", lambda df: write_targets(df, f"{folder}/out"),
-                 as_of=limit + W.SETTLE_LAG, started_at=utc(2024, 1, 1))
+        run_pull(raw, spec, f"{folder}/windows", lambda df: write_targets(df, f"{folder}/out", compact=False),
+                 as_of=limit + W.SETTLE_LAG, started_at=utc(2024, 1, 1), gather=True)
     written = spark.read.parquet(f"{folder}/out")
     return written.groupBy("target", "window_id").agg(F.count("*").alias("n_events"))
 
