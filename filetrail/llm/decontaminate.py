@@ -12,18 +12,22 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filetrail.llm.store import file_system, keep_columns, new_folder, put, ship
+from filetrail.llm.store import file_system, hold, keep_columns, new_folder, put, ship
 
 WORDS = 10
 BLOCK_BYTES = 32 << 20
 STRETCH = 2048
+#: Bytes of text that a task searches at once.
+PORTION_BYTES = 4 << 20
 
 #: Letters A-Z become a-z; other ASCII but digits and letters separates words.
 _TABLE = bytes(
@@ -119,50 +123,73 @@ class Matcher:
                 yield at, table.patterns[i]
 
 
-_matchers: dict[str, Matcher] = {}
-
-
 def _matcher(store, path: str) -> Matcher:
     """The tables of a block; the last one used stays in memory."""
-    if path not in _matchers:
+    def make() -> Matcher:
         with store.open_input_file(path) as f:
             rows = pq.read_table(f, columns=["window", "item_id"])
-        _matchers.clear()
-        _matchers[path] = Matcher(rows["window"].to_pylist(), rows["item_id"].to_pylist())
-    return _matchers[path]
+        return Matcher(rows["window"].to_pylist(), rows["item_id"].to_pylist())
 
+    return hold(("patterns", path), make)
 
-def _scan(batches: Iterator[pa.RecordBatch], folder: str, paths: list[str], kept: list[str]):
-    store, root = file_system(folder)
-    for batch in batches:
+
+class _Portion:
+    """Some texts, normalised and joined, and the occurrences found in them so far."""
+
+    def __init__(self, texts: list[str | None]):
         parts, n_words = [], []
-        for text in batch.column("__text").to_pylist():
+        for text in texts:
             w = words_of(text)
             parts.append(b" " + b" ".join(w) + b" " if w else b" ")
             n_words.append(len(w))
         # A newline ends each text; no window holds one, so none crosses texts.
-        joined = b"\n".join(parts)
-        starts = np.cumsum([0] + [len(p) + 1 for p in parts])[:-1]
-        blanks = np.flatnonzero(np.frombuffer(joined, dtype=np.uint8) == 32)
-        base = np.cumsum([0] + [n + 1 for n in n_words])
-        cover = np.zeros(len(blanks) + 1, dtype=np.int32)
-        hits = [[] for _ in parts]
+        self.joined = b"\n".join(parts)
+        self.n_words = n_words
+        self.starts = np.cumsum([0] + [len(p) + 1 for p in parts])[:-1]
+        self.base = np.cumsum([0] + [n + 1 for n in n_words])
+        self.cover = np.zeros(self.base[-1] + 1, dtype=np.int32)
+        self.hits = [[] for _ in parts]
+
+    def find(self, matcher: Matcher) -> None:
+        found = list(matcher.search(self.joined)) if self.joined else []
+        if not found:
+            return
+        blanks = np.flatnonzero(np.frombuffer(self.joined, dtype=np.uint8) == 32)
+        at = np.array([f[0] for f in found], dtype=np.int64)
+        docs = np.searchsorted(self.starts, at, "right") - 1
+        blank = np.searchsorted(blanks, at)
+        for (_, window), d, k in zip(found, docs.tolist(), blank.tolist(), strict=True):
+            n = window.count(b" ") - 1
+            self.cover[k] += 1
+            self.cover[k + n] -= 1
+            for item in matcher.owners[window]:
+                self.hits[d].append((item, k - int(self.base[d]), n))
+
+    def n_hit(self) -> np.ndarray:
+        """Covered words of each text."""
+        covered = np.concatenate([[0], np.cumsum(np.cumsum(self.cover) > 0)])
+        return covered[self.base[1:]] - covered[self.base[:-1]]
+
+
+def _portions(texts: pa.Array) -> Iterator[_Portion]:
+    """The texts in portions of about ``PORTION_BYTES``, whatever the size of the batch."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // PORTION_BYTES)) + 1
+    for begin, end in pairwise([0, *cuts.tolist(), len(texts)]):
+        yield _Portion(texts.slice(begin, end - begin).to_pylist())
+
+
+def _scan(batches: Iterator[pa.RecordBatch], folder: str, paths: list[str], kept: list[str]):
+    store, root = file_system(folder)
+    for batch in batches:
+        portions = list(_portions(batch.column("__text")))
         for path in paths:
             matcher = _matcher(store, f"{root}/{path}")
-            found = list(matcher.search(joined)) if parts else []
-            at = np.array([f[0] for f in found], dtype=np.int64)
-            docs = np.searchsorted(starts, at, "right") - 1
-            blank = np.searchsorted(blanks, at)
-            for (_, window), d, k in zip(found, docs.tolist(), blank.tolist(), strict=True):
-                n = window.count(b" ") - 1
-                cover[k] += 1
-                cover[k + n] -= 1
-                for item in matcher.owners[window]:
-                    hits[d].append((item, k - int(base[d]), n))
-        covered = np.concatenate([[0], np.cumsum(np.cumsum(cover) > 0)])
-        n_hit = covered[base[1:]] - covered[base[:-1]]
-        for h in hits:
-            h.sort(key=lambda x: (x[1], x[0], x[2]))
+            for portion in portions:
+                portion.find(matcher)
+        n_words = [n for p in portions for n in p.n_words]
+        n_hit = np.concatenate([p.n_hit() for p in portions])
+        hits = [sorted(h, key=lambda x: (x[1], x[0], x[2])) for p in portions for h in p.hits]
         columns = [batch.column(c) for c in kept] + [
             pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
             pa.array([[dict(zip(("item_id", "first_word", "words"), x, strict=True)) for x in h]

@@ -21,7 +21,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filetrail.llm.store import put, ship
+from filetrail.llm.store import hold, put, ship
 
 SPACE = "▁"
 CACHE = 600_000
@@ -229,14 +229,9 @@ class Pieces:
         return self.model.decode(ids)
 
 
-_models: dict[str, Pieces] = {}
-
-
 def load(model_file: str) -> Pieces:
-    """The model, loaded once for each worker process."""
-    if model_file not in _models:
-        _models[model_file] = Pieces(model_file)
-    return _models[model_file]
+    """The model, kept by the worker process until another operator's tasks begin."""
+    return hold(("pieces", model_file), lambda: Pieces(model_file))
 
 
 def _encode(batches: Iterator[pa.RecordBatch], model_file: str, names: list[str]):

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from filetrail.llm.store import cut, put, ship
+from filetrail.llm.store import cut, let_go, put, ship
 
 BUCKETS = 1 << 14
 PRIOR = {"words": 200_000, "shapes": 2_000}
@@ -133,6 +133,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Counts of a task's n-grams, in raw and target texts; one row for each bucket seen."""
+    let_go()
     grams, n = Grams(buckets), 2 * buckets
     raw, target = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     for batch in _slices(batches):
@@ -145,6 +146,7 @@ def _count(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
 
 
 def _score(batches: Iterator[pa.RecordBatch], ratios, buckets: int, names: list[str]):
+    let_go()
     grams, ratios = Grams(buckets), ratios.value
     for batch in _slices(batches):
         weight, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filetrail.llm.components import connected
-from filetrail.llm.store import cut, put, ship
+from filetrail.llm.store import cut, let_go, put, ship
 
 WORDS = 3
 RADIUS = 2
@@ -400,6 +400,7 @@ def _hashes(text: str | None, words: int) -> np.ndarray:
 
 def _wide(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     """Node, count and fingerprint of 256 bits of the distinct shingles of each text, for which the node stands."""
+    let_go()
     for batch in batches:
         found, sizes, nodes = [], [], []
         for text in batch.column("text").to_pylist():

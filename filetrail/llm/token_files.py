@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from filetrail.llm.store import cut, ship
+from filetrail.llm.store import cut, hold, ship
 
 END = 0
 CACHE = 800_000
@@ -152,15 +152,10 @@ class Encoder:
         return (self._whole(first) if first else b"") + ids
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def load(tokenizer_file: str) -> Encoder:
-    """The tokenizer, loaded once for each worker process."""
-    if tokenizer_file not in _encoders:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark uses the cores already
-        _encoders[tokenizer_file] = Encoder(tokenizer_file)
-    return _encoders[tokenizer_file]
+    """The tokenizer, kept by the worker process until another operator's tasks begin."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark uses the cores already
+    return hold(("tokens", tokenizer_file), lambda: Encoder(tokenizer_file))
 
 
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer_file: str, end: int) -> Iterator[pa.RecordBatch]:

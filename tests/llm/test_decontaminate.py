@@ -1,7 +1,11 @@
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyarrow import fs
 
 from filetrail.llm import decontaminate as D
 from tests.llm.util import docs, rows
@@ -56,3 +60,36 @@ def test_long_text_columns_and_empty_tables(spark):
     assert D.find_benchmark(docs(spark, []), items).count() == 0
     none = D.find_benchmark(df, items.limit(0))
     assert rows(none, "doc_id", "n_hit") == [(None, 0), (1, 0)]
+
+
+def test_a_batch_is_searched_in_portions(monkeypatch, tmp_path):
+    r, schema = random.Random(8), pa.schema([("doc_id", pa.int64()), ("__text", pa.string())])
+    texts = [None, "", "..."] + [" ".join(r.choices(["a", "b", "É-c", "word"], k=r.randint(0, 60))) for _ in range(90)]
+    items = [("x", "a b a"), ("y", "É c word b"), ("z", "word")]
+    paths = []
+    for n, (item, text) in enumerate(items):
+        paths.append(f"{n}.parquet")
+        windows = sorted(D.windows_of(text, 3))
+        pq.write_table(pa.table({"window": windows, "item_id": [item] * len(windows)}), tmp_path / paths[-1])
+    batch = pa.record_batch([list(range(len(texts))), texts], schema)
+    want = brute(list(enumerate(texts)), items, 3)
+    for size in (1, 300, 1 << 20):
+        monkeypatch.setattr(D, "PORTION_BYTES", size, raising=False)
+        out = pa.Table.from_batches(D._scan(iter([batch]), str(tmp_path), paths, ["doc_id"])).to_pylist()
+        assert [(x["doc_id"], x["n_words"], x["n_hit"], [tuple(h.values()) for h in x["hits"]]) for x in out] == want
+    none = list(D._scan(iter([batch.slice(0, 0)]), str(tmp_path), paths, ["doc_id"]))
+    assert [b.num_rows for b in none] == [0]
+
+
+def test_memory_of_a_large_batch(tmp_path):
+    windows = sorted(D.windows_of("some words that are in no text", 4))
+    pq.write_table(pa.table({"window": windows, "item_id": ["x"] * len(windows)}), tmp_path / "p.parquet")
+    text = "filler words of a text " * 100
+    batch = pa.record_batch([list(range(10_000)), [text] * 10_000], names=["doc_id", "__text"])
+    D._matcher(fs.LocalFileSystem(), f"{tmp_path}/p.parquet")
+    tracemalloc.start()
+    list(D._scan(iter([batch]), str(tmp_path), ["p.parquet"], ["doc_id"]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The normalised texts, four bytes a word and a portion's own.
+    assert peak < 4 * batch.nbytes
