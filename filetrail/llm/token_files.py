@@ -33,11 +33,18 @@ ZSTD_LEVEL = 1
 
 FILES = "doc_id bigint, part int, offset bigint, ids array<int>"
 
-#: A token never spans a space and a character before it that isn't white space.
-_BORDER = re.compile(r"(?<=\S)(?= )")
-#: Letters, with only ASCII marks but the apostrophe after them.
-_LINES = re.compile(r"\S+(?:\n\S+)+")
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: ASCII marks but the apostrophe, and digits.
+_MARKS = r"!-&(-@\[-`{-~"
+_WORD = re.compile(f" ?[{_LETTERS}]+")
+#: What a text is cut into, so that no token spans a cut: letters and the space before
+#: them; marks and the space before them; marks and a single line end before a letter;
+#: anything else up to a space after a character that isn't white space.
+_UNITS = re.compile(
+    rf" ?[{_LETTERS}]++(?![^ \n{_MARKS}])| ?[{_MARKS}]++(?![^ {_LETTERS}])"
+    rf"|[{_MARKS}]*+\n(?=[{_LETTERS}])|.*?\S(?= |\Z)|.+",
+    re.DOTALL,
+)
 
 
 def _byte_letters() -> list[str]:
@@ -87,69 +94,34 @@ class Encoder:
         self.tokenize = model.tokenize
         self.letters = dict(enumerate(_byte_letters()))
         self.space = self.letters[0x20]
-        #: Words with a space before them, and words at the start of a line.
-        self.words, self.starts = _Words(self.word), _Words(self.start)
-        self.tails: dict[str, bytes] = {}
-        #: Words that end in white space: a space after them may belong to their token.
-        self.open: set[str] = {""}
+        self.units = _Words(self.unit)
+        #: These go before any other cut, wherever they stand.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _whole(self, text: str) -> bytes:
         return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def word(self, word: str) -> bytes:
-        """Ids of a space and a word that has none."""
-        if word.isalpha() and word.isascii():
-            return array("i", [t.id for t in self.tokenize(self.space + word)]).tobytes()
-        plain = _PLAIN.fullmatch(word)
-        if plain is not None:
-            core, tail = plain.groups()
-            if not tail:
-                return self._unit(self.space + self._bytes(core))
-            # Letters and the marks after them are always different tokens.
-            return self.words[core] + self._tail(tail)
-        if not word or word[-1].isspace():
-            self.open.add(word)
-        elif _LINES.fullmatch(word):
-            # A single line end between other characters is a token of its own.
-            first, *later = word.split("\n")
-            return self.words[first] + b"".join(self._tail("\n") + self.starts[x] for x in later)
-        return self._whole(" " + word)
-
-    def start(self, word: str) -> bytes:
-        """Ids of a word at the start of a line."""
-        plain = _PLAIN.fullmatch(word)
-        if plain is None:
-            return self._whole(word)
-        return self._unit(self._bytes(plain[1])) + (self._tail(plain[2]) if plain[2] else b"")
-
-    def _bytes(self, letters: str) -> str:
-        """The characters that stand for the bytes of these letters."""
-        return letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
-
-    def _unit(self, unit: str) -> bytes:
-        """Ids of letters, or a space and letters: one unit, which the model can take."""
+    def unit(self, unit: str) -> bytes:
+        """Ids of a unit; of letters it is a word that the model can take."""
+        if not _WORD.fullmatch(unit):
+            return self._whole(unit)
+        if not unit.isascii():
+            unit = unit.encode().decode("latin-1").translate(self.letters)
+        elif unit[0] == " ":
+            unit = self.space + unit[1:]
         return array("i", [t.id for t in self.tokenize(unit)]).tobytes()
 
-    def _tail(self, tail: str) -> bytes:
-        if tail not in self.tails:
-            if len(self.tails) >= CACHE:
-                self.tails.clear()
-            self.tails[tail] = self._whole(tail)
-        return self.tails[tail]
-
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text, as the tokenizer gives them.
 
-        A text is cut before its single spaces, and its ids are those of its words in a
-        row. Only words that aren't in the cache go through the tokenizer.
+        A text is cut into units, and its ids are those of its units in a row. Only units
+        that aren't in the cache go through the tokenizer.
         """
         if not text:
             return b""
-        first, *words = text.split(" ")
-        ids = b"".join(map(self.words.__getitem__, words))
-        if first[-1:].isspace() or not self.open.isdisjoint(words):
-            return b"".join(map(self._whole, _BORDER.split(text)))
-        return (self._whole(first) if first else b"") + ids
+        if any(a in text for a in self.added):
+            return self._whole(text)
+        return b"".join(map(self.units.__getitem__, _UNITS.findall(text)))
 
 
 def load(tokenizer_file: str) -> Encoder:

@@ -36,6 +36,21 @@ def test_encoder(library, monkeypatch):
         assert np.frombuffer(encoder.encode(text), np.int32).tolist() == plain(library, text), text
 
 
+def test_words_are_cached_without_marks_and_line_ends(library):
+    """Only letters that are new go through the tokenizer, whatever stands around them."""
+    encoder = T.Encoder(FILE)
+    encoder.encode("une été fin. Une, (fin) 12-3.\nUne")
+    texts = ["une, été; fin.\nUne fin (été) 12-3.\nUne", "fin,été.été:fin", "x9 don't  l'été\n\nUne—fin\n", " \n a<|endoftext|>b"]
+    want = [plain(library, t) for t in texts]
+    found, whole, model = [], encoder._whole, encoder.tokenize
+    encoder._whole = lambda unit: found.append(unit) or whole(unit)
+    encoder.tokenize = lambda unit: found.append(unit) or model(unit)
+    got = [np.frombuffer(encoder.encode(t), np.int32).tolist() for t in texts]
+    assert got == want
+    # é is two bytes, which stand as two characters.
+    assert [u for u in found if "fin" in u and "l'" not in u or u.startswith("Ã")] == ["Ã©tÃ©"]
+
+
 def test_round_trip(spark, library):
     r = random.Random(7)
     say = lambda n: " ".join(r.choices(["some", "words,", "and.\nmore", "été", "x9"], k=n))
