@@ -1,16 +1,16 @@
 """Benchmark decontamination with Wu-Manber multi-pattern search.
 
-Windows of benchmark words are written as pattern blocks of bounded size in the shared
-folder. Tasks scan normalised texts for the patterns of one block after another: a shift
-table over byte blocks says how far a position may be moved, the bucket of a pattern's
-last block lists the strings to test, and a direct comparison confirms each occurrence.
-Many stretches of text advance at once, each by its own shift, as numpy arrays.
+Windows of benchmark words are written as files in the shared folder, and files next to
+each other make a pattern block of bounded size. Tasks scan normalised texts for the
+patterns of one block after another: a shift table over byte blocks says how far a position
+may be moved, the bucket of a pattern's last block and first bytes lists the strings to
+test, and a direct comparison confirms each occurrence. Many stretches of text advance at
+once, each by its own shift, as numpy arrays; the tables are arrays too.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -28,6 +28,8 @@ BLOCK_BYTES = 32 << 20
 STRETCH = 2048
 #: Bytes of text that a task searches at once.
 PORTION_BYTES = 4 << 20
+#: Bytes of text that a task gathers for each turn through several blocks.
+GROUP_BYTES = 32 << 20
 
 #: Letters A-Z become a-z; other ASCII but digits and letters separates words.
 _TABLE = bytes(
@@ -56,43 +58,45 @@ def windows_of(text: str | None, size: int) -> set[bytes]:
 class _Table:
     """Shift and bucket tables for patterns of similar length."""
 
-    def __init__(self, patterns: list[bytes]):
-        self.patterns = patterns
-        self.m = m = min(map(len, patterns))
+    def __init__(self, blocks: np.ndarray, starts: np.ndarray, m: int, numbers: np.ndarray):
+        self.m = m
         self.b = b = min(8, max(2, m // 2))
         steps = m - b + 1
-        self.bits = min(24, max(10, math.ceil(math.log2(8 * len(patterns) * steps))))
+        self.bits = min(24, max(10, math.ceil(math.log2(8 * len(starts) * steps))))
         self.mask = np.uint64((1 << 8 * b) - 1)
-        self.shift = np.full(1 << self.bits, steps, dtype=np.int64)
-        heads = np.frombuffer(b"".join(p[:m] for p in patterns) + bytes(8), dtype=np.uint8)
-        blocks = _blocks(heads)
-        at = np.arange(len(patterns)) * m
-        for j in range(steps):
-            np.minimum.at(self.shift, self.hash(blocks[at + j]), steps - 1 - j)
-        self.buckets = defaultdict(list)
-        for i, h in enumerate(self.hash(blocks[at + steps - 1]).tolist()):
-            self.buckets[h].append(i)
+        self.first = np.uint64((1 << 8 * min(8, m)) - 1)
+        self.shift = np.full(1 << self.bits, steps, dtype=np.min_scalar_type(steps))
+        for j in range(steps):  # the shift shrinks, so the least of a hash is the last one set
+            self.shift[self.hash(blocks[starts + j])] = steps - 1 - j
+        keys = self.key(blocks[starts], blocks[starts + steps - 1])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.numbers = keys[order], numbers[order]
 
     def hash(self, block: np.ndarray) -> np.ndarray:
         return (((block & self.mask) * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def search(self, text: bytes, blocks: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Start in the text and pattern number of each occurrence."""
+    def key(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Names a bucket: the first bytes and the last block of a pattern's head."""
+        return ((first & self.first) * _MIX) ^ (last & self.mask)
+
+    def search(self, blocks: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+        """Start in the text and number of each pattern that may occur there."""
         back = self.m - self.b
-        limit = len(text) - self.b + 1
+        limit = size - self.b + 1
         at = np.arange(0, max(limit, 0), STRETCH)
         end = np.minimum(at + STRETCH, limit)
         at = np.maximum(at, back)
         live = at < end
         at, end = at[live], end[live]
         while at.size:
-            h = self.hash(blocks[at])
-            shift = self.shift[h]
-            zero = shift == 0
-            for e, bucket in zip(at[zero].tolist(), h[zero].tolist(), strict=True):
-                for i in self.buckets.get(bucket, ()):
-                    if text.startswith(self.patterns[i], e - back):
-                        yield e - back, i
+            shift = self.shift[self.hash(blocks[at])]
+            last = at[shift == 0]
+            keys = self.key(blocks[last - back], blocks[last])
+            low, high = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, "right")
+            some = low < high
+            for e, lo, hi in zip(last[some].tolist(), low[some].tolist(), high[some].tolist(), strict=True):
+                for i in self.numbers[lo:hi].tolist():
+                    yield e - back, i
             at = at + np.maximum(shift, 1)
             live = at < end
             at, end = at[live], end[live]
@@ -106,31 +110,50 @@ def _blocks(octets: np.ndarray) -> np.ndarray:
 class Matcher:
     """Finds all occurrences of windows, each of one or more benchmark items."""
 
-    def __init__(self, windows: list[bytes], items: list[str]):
-        owners = defaultdict(set)
-        for w, item in zip(windows, items, strict=True):
-            owners[w].add(item)
-        classes = defaultdict(list)
-        for w in owners:
-            classes[len(w).bit_length()].append(w)
-        self.owners = {w: sorted(x) for w, x in owners.items()}
-        self.tables = [_Table(sorted(c)) for _, c in sorted(classes.items())]
-
-    def search(self, text: bytes) -> Iterator[tuple[int, bytes]]:
+    def __init__(self, windows: pa.ChunkedArray, items: pa.ChunkedArray):
+        coded = windows.cast(pa.large_binary()).combine_chunks().dictionary_encode()
+        codes = coded.indices.to_numpy()
+        self.owners = items.cast(pa.large_string()).combine_chunks().take(pa.array(np.argsort(codes, kind="stable")))
+        self.owned = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))])
+        sizes = pc.binary_length(coded.dictionary).to_numpy()
+        self.ends = np.cumsum(sizes, dtype=np.int64)
+        self.begins = self.ends - sizes
+        self.data = b"".join([coded.dictionary.buffers()[2] or b"", bytes(8)])
+        blocks = _blocks(np.frombuffer(self.data, dtype=np.uint8))
+        classes = np.frexp(sizes)[1]  # as int.bit_length
+        self.tables = []
+        for c in np.unique(classes).tolist():
+            numbers = np.flatnonzero(classes == c)
+            self.tables.append(_Table(blocks, self.begins[numbers], int(sizes[numbers].min()), numbers))
+
+    def window(self, i: int) -> bytes:
+        return self.data[self.begins[i]:self.ends[i]]
+
+    def items(self, i: int) -> list[str]:
+        return sorted(set(self.owners[self.owned[i]:self.owned[i + 1]].to_pylist()))
+
+    def search(self, text: bytes) -> Iterator[tuple[int, int]]:
+        """Start in the text and window number of each occurrence."""
         blocks = _blocks(np.frombuffer(text + bytes(8), dtype=np.uint8))
+        known = {}
         for table in self.tables:
-            for at, i in table.search(text, blocks):
-                yield at, table.patterns[i]
+            for at, i in table.search(blocks, len(text)):
+                window = known.get(i) or known.setdefault(i, self.window(i))
+                if text.startswith(window, at):
+                    yield at, i
 
 
-def _matcher(store, path: str) -> Matcher:
-    """The tables of a block; the last one used stays in memory."""
+def _matcher(store, *paths: str) -> Matcher:
+    """The tables of a block's files; the last block used stays in memory."""
     def make() -> Matcher:
-        with store.open_input_file(path) as f:
-            rows = pq.read_table(f, columns=["window", "item_id"])
-        return Matcher(rows["window"].to_pylist(), rows["item_id"].to_pylist())
+        tables = []
+        for path in paths:
+            with store.open_input_file(path) as f:
+                tables.append(pq.read_table(f, columns=["window", "item_id"]))
+        rows = pa.concat_tables(tables)
+        return Matcher(rows["window"], rows["item_id"])
 
-    return hold(("patterns", path), make)
+    return hold(("patterns", *paths), make)
 
 
 class _Portion:
@@ -158,11 +181,14 @@ class _Portion:
         at = np.array([f[0] for f in found], dtype=np.int64)
         docs = np.searchsorted(self.starts, at, "right") - 1
         blank = np.searchsorted(blanks, at)
-        for (_, window), d, k in zip(found, docs.tolist(), blank.tolist(), strict=True):
-            n = window.count(b" ") - 1
+        known = {}
+        for (_, i), d, k in zip(found, docs.tolist(), blank.tolist(), strict=True):
+            if i not in known:
+                known[i] = matcher.window(i).count(b" ") - 1, matcher.items(i)
+            n, items = known[i]
             self.cover[k] += 1
             self.cover[k + n] -= 1
-            for item in matcher.owners[window]:
+            for item in items:
                 self.hits[d].append((item, k - int(self.base[d]), n))
 
     def n_hit(self) -> np.ndarray:
@@ -179,23 +205,46 @@ def _portions(texts: pa.Array) -> Iterator[_Portion]:
         yield _Portion(texts.slice(begin, end - begin).to_pylist())
 
 
-def _scan(batches: Iterator[pa.RecordBatch], folder: str, paths: list[str], kept: list[str]):
-    store, root = file_system(folder)
+def _groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in a row, as many as it takes to hold ``size`` bytes of text."""
+    group, got = [], 0
     for batch in batches:
-        portions = list(_portions(batch.column("__text")))
-        for path in paths:
-            matcher = _matcher(store, f"{root}/{path}")
-            for portion in portions:
-                portion.find(matcher)
-        n_words = [n for p in portions for n in p.n_words]
-        n_hit = np.concatenate([p.n_hit() for p in portions])
-        hits = [sorted(h, key=lambda x: (x[1], x[0], x[2])) for p in portions for h in p.hits]
-        columns = [batch.column(c) for c in kept] + [
-            pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
-            pa.array([[dict(zip(("item_id", "first_word", "words"), x, strict=True)) for x in h]
-                      for h in hits], pa.list_(_HIT)),
-        ]
-        yield pa.record_batch(columns, names=[*kept, "n_words", "n_hit", "hits"])
+        group.append(batch)
+        got += batch.column("__text").nbytes
+        if got >= size:
+            yield group
+            group, got = [], 0
+    if group:
+        yield group
+
+
+def _scan(batches: Iterator[pa.RecordBatch], folder: str, blocks: list[str | list[str]], kept: list[str]):
+    """The hits of each row; a block is a file of patterns or some of them."""
+    store, root = file_system(folder)
+    blocks = [[f"{root}/{p}" for p in ([b] if isinstance(b, str) else b)] for b in blocks]
+    # Several blocks are built anew for every group of batches, a single one stays.
+    for group in _groups(batches, GROUP_BYTES if len(blocks) > 1 else 0):
+        searched = [list(_portions(batch.column("__text"))) for batch in group]
+        for paths in blocks:
+            matcher = _matcher(store, *paths)
+            for portions in searched:
+                for portion in portions:
+                    portion.find(matcher)
+        blocks.reverse()  # the block in memory is the next group's first
+        for batch, portions in zip(group, searched, strict=True):
+            yield _found(batch, portions, kept)
+
+
+def _found(batch: pa.RecordBatch, portions: list[_Portion], kept: list[str]) -> pa.RecordBatch:
+    n_words = [n for p in portions for n in p.n_words]
+    n_hit = np.concatenate([p.n_hit() for p in portions])
+    hits = [sorted(h, key=lambda x: (x[1], x[0], x[2])) for p in portions for h in p.hits]
+    columns = [batch.column(c) for c in kept] + [
+        pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+        pa.array([[dict(zip(("item_id", "first_word", "words"), x, strict=True)) for x in h]
+                  for h in hits], pa.list_(_HIT)),
+    ]
+    return pa.record_batch(columns, names=[*kept, "n_words", "n_hit", "hits"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -211,8 +260,12 @@ def _windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
         )
 
 
-def write_patterns(benchmark: DataFrame, words: int = WORDS, block_bytes: int = BLOCK_BYTES) -> tuple[str, list[str]]:
-    """Write the windows of all items in blocks; the folder and the names of its files."""
+def write_patterns(benchmark: DataFrame, words: int = WORDS,
+                   block_bytes: int = BLOCK_BYTES) -> tuple[str, list[list[str]]]:
+    """Write the windows of all items; the folder and the names of each block's files.
+
+    However many files Spark writes, a block has as many as hold ``block_bytes``.
+    """
     spark = ship(benchmark.sparkSession)
     item = F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
     found = benchmark.select(item.alias("item_id"), "text").mapInArrow(
@@ -221,12 +274,26 @@ def write_patterns(benchmark: DataFrame, words: int = WORDS, block_bytes: int =
     folder = new_folder(spark, "patterns")
     found.write.parquet(f"{folder}/all")
     found = spark.read.schema(found.schema).parquet(f"{folder}/all")
-    size = found.agg(F.sum(F.length("window") + F.length("item_id"))).first()[0] or 0
+    octets = F.sum(F.length("window") + F.length("item_id"))
+    size = found.agg(octets).first()[0] or 0
     n = max(1, math.ceil(size / block_bytes))
     # Windows of a length stay together: the shortest of a block bounds its shifts.
     found.repartitionByRange(n, F.length("window"), "window", "item_id").write.parquet(f"{folder}/blocks")
-    paths = spark.read.schema(found.schema).parquet(f"{folder}/blocks").inputFiles()
-    return f"{folder}/blocks", sorted(p.rsplit("/", 1)[-1] for p in paths)
+    written = spark.read.schema(found.schema).parquet(f"{folder}/blocks")
+    sizes = written.groupBy(F.col("_metadata.file_name").alias("file")).agg(octets.alias("octets")).collect()
+    return f"{folder}/blocks", _packed(sorted(map(tuple, sizes)), block_bytes)
+
+
+def _packed(sizes: list[tuple[str, int]], most: int) -> list[list[str]]:
+    """Files in a row, together up to ``most`` bytes; a larger one is alone."""
+    blocks, got = [], 0
+    for name, size in sizes:
+        if not blocks or got + size > most:
+            blocks.append([])
+            got = 0
+        blocks[-1].append(name)
+        got += size
+    return blocks
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
@@ -241,12 +308,12 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,
     new ones are replaced. Every row of ``docs`` comes out once.
     """
     ship(docs.sparkSession)
-    folder, paths = write_patterns(benchmark, words, block_bytes)
+    folder, blocks = write_patterns(benchmark, words, block_bytes)
     new = {"n_words", "n_hit", "hits", *(() if keep_text else ("text",))}
     kept = [c for c in docs.columns if c.lower() not in new]
     given = docs.select(*(F.col(f"`{c}`") for c in kept), F.col("text").alias("__text"))
     fields = put(given.drop("__text"), "n_words bigint, n_hit bigint")
-    return given.mapInArrow(lambda it: _scan(it, folder, paths, kept), f"{fields}, hits {_HITS}")
+    return given.mapInArrow(lambda it: _scan(it, folder, blocks, kept), f"{fields}, hits {_HITS}")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS,

@@ -81,6 +81,43 @@ def test_a_batch_is_searched_in_portions(monkeypatch, tmp_path):
     assert [b.num_rows for b in none] == [0]
 
 
+@pytest.mark.parametrize("block_bytes", [400, 1 << 20])
+def test_blocks_go_by_bytes_however_many_files_spark_writes(spark, monkeypatch, block_bytes):
+    items = [(i, f"the same long beginning of every item but {'one' if i % 2 else 'two'} end{i % 7}") for i in range(40)]
+    pairs = [(d, f"see: The same long beginning of every item but {'two' if d % 3 else 'one'} END{d} it is") for d in range(12)]
+    table = docs(spark, items).withColumnRenamed("doc_id", "item_id")
+    plain = type(table).repartitionByRange
+    monkeypatch.setattr(type(table), "repartitionByRange", lambda self, n, *by: plain(self, max(n, 30), *by))
+    folder, blocks = D.write_patterns(table, 9, block_bytes)
+    assert len(blocks) == 1 if block_bytes == 1 << 20 else len(blocks) > 1
+    names = [name for b in blocks for name in b]
+    octets = [sum(len(r["window"]) + len(r["item_id"]) for r in pq.read_table(f"{D.file_system(folder)[1]}/{n}").to_pylist()) for n in names]
+    assert len(names) > 10 and len(set(names)) == len(names)
+    size = dict(zip(names, octets, strict=True))
+    for b, following in zip(blocks, [*blocks[1:], [None]], strict=True):
+        assert len(b) == 1 or sum(map(size.get, b)) <= block_bytes
+        assert following == [None] or sum(map(size.get, b)) + size[following[0]] > block_bytes
+    assert found(D.find_benchmark(docs(spark, pairs), table, 9, block_bytes)) == brute(pairs, items, 9)
+
+
+@pytest.mark.parametrize(("group", "built"), [(1 << 20, 3), (1, 3 + 7 * 2)])
+def test_several_blocks_are_built_once_for_many_batches(monkeypatch, tmp_path, group, built):
+    r = random.Random(9)
+    items = [("x", "a b a c d"), ("y", "É c word b"), ("z", "word word a b")]
+    for item, text in items:
+        windows = sorted(D.windows_of(text, 3))
+        pq.write_table(pa.table({"window": windows, "item_id": [item] * len(windows)}), tmp_path / f"{item}.parquet")
+    texts = [" ".join(r.choices(["a", "b", "c", "É", "word"], k=r.randint(0, 30))) for _ in range(80)]
+    batches = [pa.record_batch([list(range(i, i + 10)), texts[i:i + 10]], names=["doc_id", "__text"]) for i in range(0, 80, 10)]
+    made, plain = [], D.Matcher
+    monkeypatch.setattr(D, "Matcher", lambda *a: made.append(1) or plain(*a))
+    monkeypatch.setattr(D, "GROUP_BYTES", group, raising=False)
+    out = list(D._scan(iter(batches), str(tmp_path), [f"{item}.parquet" for item, _ in items], ["doc_id"]))
+    assert [b.num_rows for b in out] == [10] * 8 and len(made) == built
+    got = [(x["doc_id"], x["n_words"], x["n_hit"], [tuple(h.values()) for h in x["hits"]]) for b in out for x in b.to_pylist()]
+    assert got == brute(list(enumerate(texts)), items, 3)
+
+
 def test_memory_of_a_large_batch(tmp_path):
     windows = sorted(D.windows_of("some words that are in no text", 4))
     pq.write_table(pa.table({"window": windows, "item_id": ["x"] * len(windows)}), tmp_path / "p.parquet")
