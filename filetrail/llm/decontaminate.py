@@ -108,18 +108,15 @@ def _blocks(octets: np.ndarray) -> np.ndarray:
 
 
 class Matcher:
-    """Finds all occurrences of windows, each of one or more benchmark items."""
+    """Finds all occurrences of windows, each of a benchmark item; an item's windows are distinct."""
 
     def __init__(self, windows: pa.ChunkedArray, items: pa.ChunkedArray):
-        coded = windows.cast(pa.large_binary()).combine_chunks().dictionary_encode()
-        codes = coded.indices.to_numpy()
-        self.owners = items.cast(pa.large_string()).combine_chunks().take(pa.array(np.argsort(codes, kind="stable")))
-        self.owned = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=len(coded.dictionary)))])
-        sizes = pc.binary_length(coded.dictionary).to_numpy()
-        self.ends = np.cumsum(sizes, dtype=np.int64)
-        self.begins = self.ends - sizes
-        self.data = b"".join([coded.dictionary.buffers()[2] or b"", bytes(8)])
+        rows = pa.concat_arrays(windows.cast(pa.large_binary()).chunks or [pa.array([], pa.large_binary())])
+        offsets = np.frombuffer(rows.buffers()[1] or bytes(8), dtype=np.int64)[rows.offset:rows.offset + len(rows) + 1]
+        self.begins, self.ends, self.items = offsets[:-1], offsets[1:], items
+        self.data = b"".join([rows.buffers()[2] or b"", bytes(8)])
         blocks = _blocks(np.frombuffer(self.data, dtype=np.uint8))
+        sizes = self.ends - self.begins
         classes = np.frexp(sizes)[1]  # as int.bit_length
         self.tables = []
         for c in np.unique(classes).tolist():
@@ -129,9 +126,6 @@ class Matcher:
     def window(self, i: int) -> bytes:
         return self.data[self.begins[i]:self.ends[i]]
 
-    def items(self, i: int) -> list[str]:
-        return sorted(set(self.owners[self.owned[i]:self.owned[i + 1]].to_pylist()))
-
     def search(self, text: bytes) -> Iterator[tuple[int, int]]:
         """Start in the text and window number of each occurrence."""
         blocks = _blocks(np.frombuffer(text + bytes(8), dtype=np.uint8))
@@ -184,12 +178,11 @@ class _Portion:
         known = {}
         for (_, i), d, k in zip(found, docs.tolist(), blank.tolist(), strict=True):
             if i not in known:
-                known[i] = matcher.window(i).count(b" ") - 1, matcher.items(i)
-            n, items = known[i]
+                known[i] = matcher.items[i].as_py(), matcher.window(i).count(b" ") - 1
+            item, n = known[i]
             self.cover[k] += 1
             self.cover[k + n] -= 1
-            for item in items:
-                self.hits[d].append((item, k - int(self.base[d]), n))
+            self.hits[d].append((item, k - int(self.base[d]), n))
 
     def n_hit(self) -> np.ndarray:
         """Covered words of each text."""
